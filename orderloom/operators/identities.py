@@ -31,6 +31,7 @@ from orderloom.spec import (
     ROUTE_MAPPING_SCHEMA,
 )
 
+CRITICAL_PRODUCT_COLUMNS = ("full_sku_code", "product_description", "product_category")
 FILE_ORDER = ("source_filename", "source_file_row_number")
 
 
@@ -63,9 +64,9 @@ def first_per_key(df: DataFrame, key: str, columns: Sequence[str], order: Sequen
 
 
 def product_profile(orders: DataFrame) -> DataFrame:
-    """One row per SKU, the earliest in file order; SKU and category must not be null."""
+    """One row per SKU, the earliest in file order; a null SKU, text or category fails the job."""
     require_columns(orders, PRODUCT_COLUMNS, "orders")
-    problem = identity_problem(*(F.col(name) for name in PRODUCT_COLUMNS))
+    problem = identity_problem(*(F.col(name) for name in CRITICAL_PRODUCT_COLUMNS))
     sku = or_fail(strip(F.col("full_sku_code")), problem, F.lit("Null critical product field"))
     rest = [name for name in PRODUCT_COLUMNS if name != "full_sku_code"]
     first = first_per_key(orders.withColumn("full_sku_code", sku), "full_sku_code", rest)

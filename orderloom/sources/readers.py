@@ -59,7 +59,7 @@ def number_csv_rows(df: DataFrame) -> DataFrame:
         F.col("_metadata.file_block_start").alias("_block"),
         F.monotonically_increasing_id().alias("_order"),
     )
-    counts = spot.groupBy("_file", "_block").agg(F.count("*").alias("_rows"), F.min("_order").alias("_first"))
+    counts = spot.groupBy("_file", "_block").agg(F.count("*").alias("_rows"))
     earlier = Window.partitionBy("_file").orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select(
         F.col("_file").alias("_f"), F.col("_block").alias("_b"),
