@@ -244,7 +244,7 @@ def pseudonym(i: Inputs) -> DataFrame:
 
 @query
 def pseudonym_collisions(i: Inputs) -> DataFrame:
-    return privacy.pseudonym_collisions(i.history("created_by_user"), "created_by_user", DEMO_SALT)
+    return privacy.pseudonym_collisions(i.history("source_customer_code"), "source_customer_code", DEMO_SALT)
 
 
 @query
@@ -913,7 +913,7 @@ def repeated_order_po_sku(i: Inputs) -> DataFrame:
 
 @query
 def top_repeated_hashes(i: Inputs) -> DataFrame:
-    return staging.top_repeats(i.raw_inventory(), ["row_hash"], 100)
+    return staging.top_repeats(i.raw_history(), ["row_hash"], 100)
 
 
 @query
