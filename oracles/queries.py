@@ -50,6 +50,11 @@ CATALOG = (
     + [("source_filename", "string"), ("source_file_row_number", "bigint"),
        ("source_file_last_modified", "timestamp_ntz"), ("loaded_at", "timestamp_ntz")]
 )
+NEVER_NULL = {
+    "product_description", "product_category", "original_product_description_removed",
+    "original_product_category_removed", "original_customer_name_removed", "original_sku_codes_removed", "row_hash",
+    "source_file_row_number",
+}
 PUBLISHED_HISTORY = [n for n, _ in CATALOG if n not in ("source_ingested_at", "loaded_at")] + [
     "order_amount", "ingested_at_datetime", "ingested_at"]
 
@@ -276,8 +281,8 @@ _SQL: dict[str, str] = {
     "column_catalog": " union all ".join(
         f"""select {n}::BIGINT AS column_position, '{c}' AS column_name, '{t}' AS data_type,
   {'18::BIGINT' if 'decimal' in t else 'NULL::BIGINT'} AS numeric_precision, {'4::BIGINT' if 'decimal' in t else 'NULL::BIGINT'} AS numeric_scale,
-  '{'NO' if c in CONSTANTS else 'YES'}' AS is_nullable, count({c}) AS filled_rows from stg_oh"""
-        for CONSTANTS in [()] for n, (c, t) in enumerate(CATALOG, start=1)
+  '{'NO' if c in NEVER_NULL else 'YES'}' AS is_nullable, count({c}) AS filled_rows from stg_oh"""
+        for n, (c, t) in enumerate(CATALOG, start=1)
     ),
     "batch_metadata": f"""select 'order_history' AS dataset, '20260715_181006_000001' AS batch_id, 'orders.csv' AS source_file,
   repeat('0', 32) AS source_file_hash, '2026-09-15T03:26:45' AS created_at, count(*) AS row_count, 27::BIGINT AS column_count,

@@ -29,7 +29,7 @@ def md5_of(columns: list[str], **instead: str) -> str:
 
 
 def pad(text: str, width: int) -> str:
-    return f"lpad({text}, greatest({width}, length({text})), '0')"
+    return f"lpad({text}, greatest({width}, length({text}))::INTEGER, '0')"
 
 
 def pseudonym(value: str) -> str:
@@ -56,7 +56,7 @@ def trailing(code: str, pattern: str = r"(\d+)$") -> str:
 
 
 CLEAN = "upper(trim({0}, E' \\t'))"
-_SKU = "lpad(regexp_extract(p_brand, '(\\d+)$', 1), 2, '0') || lpad(p_partkey::VARCHAR, greatest(9, length(p_partkey::VARCHAR)), '0')"
+_SKU = "lpad(regexp_extract(p_brand, '(\\d+)$', 1), 2, '0') || lpad(p_partkey::VARCHAR, greatest(9, length(p_partkey::VARCHAR))::INTEGER, '0')"
 _SHIPPED = "CASE WHEN l_returnflag = 'R' THEN 0 ELSE l_quantity::BIGINT END"
 _WEIGHT = "(l_quantity::BIGINT * p_size)::DECIMAL(18,4)::VARCHAR"
 _BATCH = "CASE l_linestatus WHEN 'O' THEN '20260715_181006_000001' WHEN 'F' THEN '20260708_170000_000002' END"
@@ -367,7 +367,7 @@ def backfill(fresh: str, existing: str) -> dict[str, str]:
 
 
 _RESTORED = (
-    "substr({d}, 1, 6) || '-' || substr({d}, 7)".format(d="lpad(regexp_replace(trim(raw_sku), '\\.0$', ''), greatest(11, length(regexp_replace(trim(raw_sku), '\\.0$', ''))), '0')")
+    "substr({d}, 1, 6) || '-' || substr({d}, 7)".format(d="lpad(regexp_replace(trim(raw_sku), '\\.0$', ''), greatest(11, length(regexp_replace(trim(raw_sku), '\\.0$', '')))::INTEGER, '0')")
 )
 TABLES.update(
     {

@@ -90,7 +90,11 @@ def route_profile(orders: DataFrame) -> DataFrame:
 
 
 def map_customers(profile: DataFrame, existing: DataFrame | None) -> DataFrame:
-    """Number new customers after the greatest assigned number, in key order."""
+    """Number new customers after the greatest assigned number, in key order.
+
+    With the profile of open orders this is the customer backfill. Pass a stored profile: the
+    numbering samples its input before sorting it.
+    """
     code = "pseudo_customer_name"
     keys = CUSTOMER_MAPPING_SCHEMA.names[:-1]
     if existing is not None:
@@ -154,7 +158,7 @@ def map_products(profile: DataFrame, categories: DataFrame, existing: DataFrame
         )
         existing = existing.withColumn("full_sku_code", strip(F.col("full_sku_code")))
         current = current.join(existing.select("full_sku_code"), "full_sku_code", "left_anti")
-    fresh = number_rows(current, ["product_description", "full_sku_code"], ["pseudo_category"], "_n")
+    fresh = number_rows(current, ["product_description", "full_sku_code"], ["pseudo_category"], "_n", bound=profile)
     number = F.col("_n")
     if existing is not None:
         last = last_sequence(existing, "pseudo_product_description", ["pseudo_category"], r"-(\d+)$")
@@ -232,7 +236,7 @@ def map_full_skus(products: DataFrame) -> DataFrame:
     coded = products.where(code.isNotNull())
     fresh = number_rows(
         products.where(code.isNull()).select(*rest),
-        ["pseudo_product_description", "full_sku_code"], ["pseudo_category"], "_n",
+        ["pseudo_product_description", "full_sku_code"], ["pseudo_category"], "_n", bound=products,
     )
     last = last_sequence(coded, "pseudo_full_sku_code", ["pseudo_category"], r"-(\d+)$", strict=True)
     numbers = fresh.join(category_prefixes(products), "pseudo_category", "left").join(last, "pseudo_category", "left")
@@ -358,10 +362,6 @@ def new_customers(orders: DataFrame, existing: DataFrame) -> DataFrame:
     return customer_profile(orders).join(existing.select("customer_hash_key"), "customer_hash_key", "left_anti")
 
 
-def backfill_customers(orders: DataFrame, existing: DataFrame) -> DataFrame:
-    return map_customers(customer_profile(orders), existing)
-
-
 # --- mapping checks -----------------------------------------------------------------------
 
 

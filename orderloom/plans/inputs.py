@@ -57,11 +57,11 @@ class Inputs:
     # mappings, each as committed after its run
 
     def prior_customers(self) -> DataFrame:
-        profile = identities.customer_profile(self.prior_history(*IDENTITY_COLUMNS))
+        profile = materialize(identities.customer_profile(self.prior_history(*IDENTITY_COLUMNS)), "profile")
         return materialize(identities.map_customers(profile, None), "customers")
 
     def customers(self) -> DataFrame:
-        profile = identities.customer_profile(self.history(*IDENTITY_COLUMNS))
+        profile = materialize(identities.customer_profile(self.history(*IDENTITY_COLUMNS)), "profile")
         return materialize(identities.map_customers(profile, self.prior_customers()), "customers")
 
     def prior_product_profile(self) -> DataFrame:
@@ -70,13 +70,18 @@ class Inputs:
     def product_profile(self) -> DataFrame:
         return identities.product_profile(self.history(*PRODUCT_COLUMNS, *extracts.POSITION))
 
+    def stored_product_profile(self) -> DataFrame:
+        """The profile as the profiling job leaves it; mapping reads it more than once."""
+        return materialize(self.product_profile(), "profile")
+
     def prior_products(self) -> DataFrame:
-        mapping = identities.build_product_mapping(self.prior_product_profile(), self.categories(), None)
+        profile = materialize(self.prior_product_profile(), "profile")
+        mapping = identities.build_product_mapping(profile, self.categories(), None)
         return materialize(mapping, "product-mapping")
 
     def products(self) -> DataFrame:
         mapping = identities.build_product_mapping(
-            self.product_profile(), self.categories(), self.prior_products()
+            self.stored_product_profile(), self.categories(), self.prior_products()
         )
         return materialize(mapping, "product-mapping")
 
@@ -89,10 +94,11 @@ class Inputs:
 
     def prior_routes(self) -> DataFrame:
         rows = self._prior(self.open_orders("delivery_route_name", "order_date"), ["delivery_route_name"])
-        return materialize(identities.map_routes(identities.route_profile(rows), None), "routes")
+        profile = materialize(identities.route_profile(rows), "profile")
+        return materialize(identities.map_routes(profile, None), "routes")
 
     def routes(self) -> DataFrame:
-        profile = identities.route_profile(self.open_orders("delivery_route_name"))
+        profile = materialize(identities.route_profile(self.open_orders("delivery_route_name")), "profile")
         return materialize(identities.map_routes(profile, self.prior_routes()), "routes")
 
     # pseudonymized batches

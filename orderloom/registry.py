@@ -72,7 +72,7 @@ def source_row_numbers(i: Inputs) -> DataFrame:
     return placed.join(first, F.col("file") == F.col("f")).select(
         F.col("line").cast("bigint").alias("line"),
         (F.col("first") + F.col("source_file_row_number") - 1).alias("found_line"),
-        "l_orderkey", "l_partkey",
+        F.col("l_orderkey").cast("bigint").alias("l_orderkey"), F.col("l_partkey").cast("bigint").alias("l_partkey"),
     )
 
 
@@ -260,7 +260,7 @@ def reconstruct_sku(i: Inputs) -> DataFrame:
 @query
 def category_prefixes(i: Inputs) -> DataFrame:
     """Prefixes of the second run: kept where the first run assigned them, else allocated."""
-    mapped = identities.map_products(i.product_profile(), i.categories(), i.prior_products())
+    mapped = identities.map_products(i.stored_product_profile(), i.categories(), i.prior_products())
     return identities.category_prefixes(mapped)
 
 
@@ -315,24 +315,24 @@ def category_profile(i: Inputs) -> DataFrame:
 @query
 def map_products(i: Inputs) -> DataFrame:
     """Second run: names assigned, SKU codes of the first run carried along."""
-    return identities.map_products(i.product_profile(), i.categories(), i.prior_products())
+    return identities.map_products(i.stored_product_profile(), i.categories(), i.prior_products())
 
 
 @query
 def map_full_skus(i: Inputs) -> DataFrame:
-    mapped = materialize(identities.map_products(i.product_profile(), i.categories(), i.prior_products()), "products")
+    mapped = materialize(identities.map_products(i.stored_product_profile(), i.categories(), i.prior_products()), "products")
     return identities.map_full_skus(mapped).select("full_sku_code", "pseudo_category", "pseudo_full_sku_code")
 
 
 @query
 def map_sku_groups(i: Inputs) -> DataFrame:
-    mapped = materialize(identities.map_products(i.product_profile(), i.categories(), i.prior_products()), "products")
+    mapped = materialize(identities.map_products(i.stored_product_profile(), i.categories(), i.prior_products()), "products")
     return identities.map_sku_groups(mapped)
 
 
 @query
 def map_sku_bases(i: Inputs) -> DataFrame:
-    mapped = materialize(identities.map_products(i.product_profile(), i.categories(), i.prior_products()), "products")
+    mapped = materialize(identities.map_products(i.stored_product_profile(), i.categories(), i.prior_products()), "products")
     return identities.map_sku_bases(mapped)
 
 
@@ -405,7 +405,8 @@ def backfill_inventory_products(i: Inputs) -> DataFrame:
 
 @query
 def backfill_open_order_customers(i: Inputs) -> DataFrame:
-    return identities.backfill_customers(i.open_orders(*IDENTITY_COLUMNS), i.prior_customers())
+    profile = materialize(identities.customer_profile(i.open_orders(*IDENTITY_COLUMNS)), "profile")
+    return identities.map_customers(profile, i.prior_customers())
 
 
 # --- mapping checks -----------------------------------------------------------------------
