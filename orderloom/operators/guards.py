@@ -83,10 +83,15 @@ def or_fail(value: Column, problem: Column, message: Column) -> Column:
     return F.when(problem, F.raise_error(message)).otherwise(value)
 
 
+def present_or_fail(value: Column, message: Column, data_type: str = "string") -> Column:
+    """The same for a value that must not be null; it is computed once."""
+    return F.coalesce(value, F.raise_error(message).cast(data_type))
+
+
 def mapped(value: Column, key: Column, label: str) -> Column:
     """A looked-up value that must be there."""
     text = F.concat(F.lit(f"Unmapped {label}: "), F.coalesce(key.cast("string"), F.lit("<null>")))
-    return or_fail(value, value.isNull(), text)
+    return present_or_fail(value, text)
 
 
 def identity_problem(*columns: Column) -> Column:
