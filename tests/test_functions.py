@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from orderloom.functions import codes, dates, hashing, text
+from orderloom.session import hide_in_plans
 
 SALT = "s4lt"
 
@@ -117,3 +118,13 @@ def test_fingerprint_text_per_type_and_null_token(spark):
 def test_null_tokens(values):
     df = values("v", ("NULL",), (" null ",), ("  ",), (" Null",), (" a ",))
     assert one(df, text.null_if_token(F.col("v"))) == [None, None, None, "Null", "a"]
+
+
+def test_salt_can_be_kept_out_of_plans(values, capsys):
+    df = values("v", ("a",)).select(hashing.salted_hash(F.col("v"), "top.secret"))
+    hide_in_plans(df.sparkSession, "top.secret")
+    try:
+        df.explain(True)
+        assert "top.secret" not in capsys.readouterr().out
+    finally:
+        df.sparkSession.conf.unset("spark.sql.redaction.string.regex")
