@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from oracles.tables import CLEAN, SALT, compose, initials, md5_of, open_day, pseudonym, trailing
+from oracles.tables import CLEAN, SALT, compose, open_day, pseudonym, trailing
 
 POSITION = "source_filename, source_file_row_number"
 BUSINESS = "company_code, order_number, unique_sku_code"
@@ -475,5 +475,3 @@ _SHARED = (
 def oracle_sql() -> dict[str, str]:
     return {name: compose(sql, _SHARED) for name, sql in _SQL.items()}
 
-
-__all__ = ["oracle_sql", "initials", "md5_of"]

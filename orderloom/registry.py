@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -29,7 +28,6 @@ from orderloom.spec import (
     OPEN_ORDERS_HEADERS,
     ORDER_HISTORY,
     ORDER_HISTORY_HEADERS,
-    PRODUCT_COLUMNS,
 )
 from orderloom.streaming.intake import run_file_intake
 
@@ -38,9 +36,16 @@ _QUERIES: dict[str, Query] = {}
 POSITION = extracts.POSITION
 
 
+def named(name: str) -> Callable[[Callable[[Inputs], DataFrame]], Callable[[Inputs], DataFrame]]:
+    def register(build: Callable[[Inputs], DataFrame]) -> Callable[[Inputs], DataFrame]:
+        _QUERIES[name] = lambda spark, sf_dir: build(Inputs(spark, sf_dir))
+        return build
+
+    return register
+
+
 def query(build: Callable[[Inputs], DataFrame]) -> Callable[[Inputs], DataFrame]:
-    _QUERIES[build.__name__] = lambda spark, sf_dir: build(Inputs(spark, sf_dir))
-    return build
+    return named(build.__name__)(build)
 
 
 def queries() -> dict[str, Query]:
@@ -142,8 +147,7 @@ def column_catalog(i: Inputs) -> DataFrame:
 
 
 def _raw_history(i: Inputs, extra: dict[str, Column] | None = None) -> DataFrame:
-    headers = {k: v for k, v in ORDER_HISTORY_HEADERS.items()}
-    return extracts.coded(i.history(*extracts.ORDER_HISTORY_COLUMNS), headers, extra)
+    return extracts.coded(i.history(*extracts.ORDER_HISTORY_COLUMNS), ORDER_HISTORY_HEADERS, extra)
 
 
 @query
@@ -168,15 +172,12 @@ def ingest_snapshot(i: Inputs) -> DataFrame:
     return standardize.tag_snapshot(raw, " 07 ", "20260710")
 
 
-@query
+@named("clean_headers")
 def clean_header_names(i: Inputs) -> DataFrame:
     df = i.history("company_code", "order_number", "ordered_quantity").toDF(" Company Code", "ORDER/Number", "Ordered-Quantity ")
     return clean_headers(df)
 
 
-_QUERIES["clean_headers"] = _QUERIES.pop("clean_header_names")
-
-
 @query
 def schema_drift(i: Inputs) -> DataFrame:
     raw = _raw_history(i, {"ord_channel": F.when(F.col("ord_type").isNotNull(), F.lit("web")), "promo_cd": F.lit("x")})
@@ -453,15 +454,12 @@ def duplicate_mapping_keys(i: Inputs) -> DataFrame:
     return repeated_keys(uncleaned, ["source_customer_code"])
 
 
-@query
+@named("unmapped_keys")
 def unmapped_customers(i: Inputs) -> DataFrame:
     keyed = identities.with_customer_key(i.history(*IDENTITY_COLUMNS))
     return unmapped_keys(keyed, i.prior_customers(), "customer_hash_key")
 
 
-_QUERIES["unmapped_keys"] = _QUERIES.pop("unmapped_customers")
-
-
 # --- pseudonymize -------------------------------------------------------------------------
 
 
@@ -564,13 +562,13 @@ def _gated(i: Inputs) -> tuple[DataFrame, DataFrame]:
     batches = good.groupBy("batch_id").agg(F.count("*").alias("row_count")).select(
         F.lit("order_history").alias("dataset"), "batch_id", "row_count"
     )
-    # One row of the older open-order batch was lost on the way to the landing.
     batches = batches.unionByName(
         bad.groupBy("batch_id").agg(F.count("*").alias("row_count")).select(
             F.lit("open_orders").alias("dataset"), "batch_id", "row_count"
         )
     )
     stocked = materialize(i.pseudonymized_inventory(), "batch")
+    # One row of the older snapshot was lost on the way to the landing.
     short = F.when(F.col("batch_id") == extracts.SNAPSHOTS["F"], 1).otherwise(0)
     batches = batches.unionByName(
         stocked.groupBy(F.col("snapshot_date").alias("batch_id")).agg(F.count("*").alias("n")).select(
@@ -883,15 +881,12 @@ def source_identity(i: Inputs) -> DataFrame:
     return staging.source_identity(damaged)
 
 
-@query
+@named("line_sequence")
 def line_sequence_numbers(i: Inputs) -> DataFrame:
     rows = i.history(*staging.LINE_KEY, *POSITION)
     return line_sequence(materialize(rows, "lines"), staging.LINE_KEY, POSITION)
 
 
-_QUERIES["line_sequence"] = _QUERIES.pop("line_sequence_numbers")
-
-
 @query
 def inventory_candidate_key_repeats(i: Inputs) -> DataFrame:
     return repeated_keys(i.raw_inventory(), staging.INVENTORY_KEY)
