@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from orderloom.llm.bpe_trie import op1_bpe_trie
+from orderloom.llm.simhash import op7_simhash
 from orderloom.llm.token_counts import op8_token_counts
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -15,6 +16,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 def queries() -> dict[str, Query]:
     return {
         "op1_bpe_trie": op1_bpe_trie,
+        "op7_simhash": op7_simhash,
         "op8_token_counts": op8_token_counts,
     }
 
