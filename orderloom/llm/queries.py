@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from orderloom.llm.bpe_trie import op1_bpe_trie
 from orderloom.llm.simhash import op7_simhash
 from orderloom.llm.token_counts import op8_token_counts
+from orderloom.llm.warc import OP10_SQL, op10_warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -18,8 +19,9 @@ def queries() -> dict[str, Query]:
         "op1_bpe_trie": op1_bpe_trie,
         "op7_simhash": op7_simhash,
         "op8_token_counts": op8_token_counts,
+        "op10_warc": op10_warc,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op10_warc": OP10_SQL}
