@@ -8,12 +8,10 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from orderloom.functions.codes import numbered, trailing_number
-from orderloom.session import estimated_bytes, materialize
+from orderloom.session import materialize
 
 # A monotonically increasing id keeps the position inside its partition in the low 33 bits.
 POSITION_BITS = 33
-# Up to this estimated size one sorting task per group is cheaper than a placed write.
-SMALL_SORT_BYTES = 32 * 1024**2
 
 
 def equal_keys(names: dict[str, str]) -> Column:
@@ -25,29 +23,18 @@ def equal_keys(names: dict[str, str]) -> Column:
 
 
 def number_rows(
-    df: DataFrame,
-    order: Sequence[str],
-    groups: Sequence[str] = (),
-    name: str = "sequence",
-    bound: DataFrame | None = None,
-    small_bytes: int = SMALL_SORT_BYTES,
+    df: DataFrame, order: Sequence[str], groups: Sequence[str] = (), name: str = "sequence"
 ) -> DataFrame:
     """Exact 1..n numbers per group in ``order``, however large one group is.
 
-    Input known to be small is numbered by a window; ``bound`` may name a stored table with at
-    least as many rows, whose file size is a better estimate than that of a chain of joins. Otherwise rows are range-partitioned on
-    group and order together, so a hot group spreads over many tasks; the sorted rows are
-    written once with their slot, and the count of rows a group has in earlier partitions is
-    added to the position inside the partition. ``order`` must end in a unique column, else
-    equal rows have no defined order.
+    Rows are range-partitioned on group and order together, so a hot group spreads over many
+    tasks; the sorted rows are written once with their slot, and the count of rows a group has
+    in earlier partitions is added to the position inside the partition. Every size takes this
+    path. ``order`` must end in a unique column, else equal rows have no defined order.
     """
-    if min(estimated_bytes(df), estimated_bytes(df if bound is None else bound)) <= small_bytes:
-        window = Window.partitionBy(*groups).orderBy(*order)
-        return df.withColumn(name, F.row_number().over(window).cast("bigint"))
     keys = [*groups, *order]
-    partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     placed = materialize(
-        df.repartitionByRange(partitions, *keys)
+        df.repartitionByRange(*keys)
         .sortWithinPartitions(*keys)
         .withColumn("_slot", F.monotonically_increasing_id())
         .withColumn("_part", F.shiftright("_slot", POSITION_BITS)),
@@ -111,7 +98,7 @@ def assign_codes(
         existing = existing.where(F.col(code).isNotNull())
         fresh = keys.join(existing.select(key), key, "left_anti")
         last = last_sequence(existing, code, strict=strict).scalar()
-    added = number_rows(fresh, [key], name="_n", bound=keys).withColumn(
+    added = number_rows(fresh, [key], name="_n").withColumn(
         code, numbered(F.lit(prefix), F.col("_n") + last, width)
     ).drop("_n")
     return added if existing is None else existing.select(added.columns).unionByName(added)

@@ -79,24 +79,3 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     path = scratch_path(df.sparkSession, label)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
-# A table up to this size may be shuffled once to put idle cores to work.
-SMALL_TABLE_BYTES = 1024**3
-
-
-def estimated_bytes(df: DataFrame) -> int:
-    """The optimizer's size estimate; for stored tables it starts from their file sizes."""
-    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-
-
-def spread(df: DataFrame, key: str) -> DataFrame:
-    """Give every core work when a small table is stored in fewer pieces than there are cores.
-
-    Meant for one file with one row group. A large table splits into enough scan tasks by
-    itself and is returned as it is, without a shuffle.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    if estimated_bytes(df) <= SMALL_TABLE_BYTES and df._jdf.rdd().getNumPartitions() < cores:
-        return df.repartition(cores, key)
-    return df

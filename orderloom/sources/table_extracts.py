@@ -17,7 +17,6 @@ from pyspark.sql import functions as F
 
 from orderloom.functions.codes import zero_pad
 from orderloom.functions.hashing import NULL_TEXT
-from orderloom.session import spread
 from orderloom.spec import (
     INVENTORY,
     INVENTORY_FINGERPRINT,
@@ -245,7 +244,6 @@ def _lines(spark: SparkSession, sf_dir: str, copies: bool) -> DataFrame:
         "*", col("_metadata.file_name").alias("file_name"), col("_metadata.row_index").alias("row_index"),
         lit(0).alias("copy"),
     )
-    lines = spread(lines, "row_index")
     if not copies:
         return lines
     exported_twice = (col("l_discount") == 0) & (col("l_tax") == 0)
