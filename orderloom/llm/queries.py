@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from orderloom.llm.bpe_trie import op1_bpe_trie
+from orderloom.llm.sharding import op9_sharding
 from orderloom.llm.simhash import op7_simhash
 from orderloom.llm.token_counts import op8_token_counts
 from orderloom.llm.warc import OP10_SQL, op10_warc
@@ -19,6 +20,7 @@ def queries() -> dict[str, Query]:
         "op1_bpe_trie": op1_bpe_trie,
         "op7_simhash": op7_simhash,
         "op8_token_counts": op8_token_counts,
+        "op9_sharding": op9_sharding,
         "op10_warc": op10_warc,
     }
 
