@@ -1,9 +1,9 @@
 """Quality classifier from weak labels.
 
 Overlapping heuristic labellers vote good, bad or abstain on every document. Expectation
-maximisation estimates how each labeller votes given the hidden label, from the counts of vote
+maximisation estimates how often each labeller is right when it votes, from the counts of vote
 patterns over the whole corpus; there are at most 3^labellers of them, whatever the corpus
-size. The posterior labels train a linear scorer over hashed word and word-shape features plus
+size. To abstain says nothing, and a detector of one kind of junk abstains on all else. The posterior labels train a linear scorer over hashed word and word-shape features plus
 the votes, and the scorer decides. Two tasks are learned side by side by the same code: junk
 text, and insulting text.
 
@@ -39,11 +39,14 @@ LEXICON_TEXTS = 6
 LEXICON_OTHERS = 0.03
 LEXICON_WORDS = 5_000
 KEEP_BELOW = 0.5
+#: A labeller's votes are right more often than not, and never always; few texts are bad.
+RIGHT_RANGE = (0.55, 0.995)
+PRIOR_RANGE = (0.005, 0.5)
 # Plain English insults, for corpora without labels.
 INSULTS = ("stupid", "disgusting", "clown", "trash", "moron", "worthless", "scum", "pathetic", "idiot", "loser")
 
 GOOD, ABSTAIN, BAD = 0, 1, 2
-JUNK = ("capitals", "decorated", "table", "stutter", "variety", "symbols", "upper", "dominant")
+JUNK = ("capitals", "decorated", "table", "stutter", "variety", "symbols", "upper", "dominant", "prose")
 TOXIC = ("insults", "several_insults", "listed_insults", "insult_share")
 LABELLERS = JUNK + TOXIC
 TASKS = {"junk": range(len(JUNK)), "toxic": range(len(JUNK), len(LABELLERS))}
@@ -59,6 +62,10 @@ def vote(value: float, good_below: float, bad_above: float) -> int:
     return BAD if value > bad_above else GOOD if value < good_below else ABSTAIN
 
 
+def against(value: float, bad_above: float) -> int:
+    return BAD if value > bad_above else ABSTAIN
+
+
 class Labellers:
     """Votes and hashed features of texts; facts about words are remembered per process."""
 
@@ -110,21 +117,23 @@ class Labellers:
                 listed += insult == 2
         stutter = sum(map(str.__eq__, words, words[1:])) / n
         letters = max(1, len(text))
-        votes = [
-            vote(capitals / n, 0.08, 0.25),
-            vote(decorated / n, 0.03, 0.2),
-            vote(counts.get("|", 0) / n, 0.02, 0.1),
-            vote(stutter, 0.03, 0.15),
+        plain = sum(c for w, c in counts.items() if w.rstrip(".,").isalpha() and not w.isupper()) / n
+        seen = [
+            against(capitals / n, 0.2),
+            against(decorated / n, 0.15),
+            against(counts.get("|", 0) / n, 0.1),
+            against(stutter, 0.12),
             vote(-len(counts) / n, -0.4, -0.15) if n >= 30 else ABSTAIN,
-            vote(len(_SYMBOL.findall(text)) / letters, 0.02, 0.06),
-            vote(len(_UPPER.findall(text)) / letters, 0.08, 0.25),
-            vote(max(counts.values()) / n, 0.12, 0.3) if n >= 30 else ABSTAIN,
-            BAD if insults else GOOD,
-            BAD if len(insults) > 1 or hits > 2 else ABSTAIN if insults else GOOD,
+            against(len(_SYMBOL.findall(text)) / letters, 0.06),
+            against(len(_UPPER.findall(text)) / letters, 0.25),
+            against(max(counts.values()) / n, 0.3) if n >= 30 else ABSTAIN,
+            vote(stutter - plain, -0.85, -0.6),
+            BAD if hits > 1 else ABSTAIN if hits else GOOD,
+            BAD if len(insults) > 1 else ABSTAIN if insults else GOOD,
             BAD if listed else ABSTAIN,
-            vote(hits / n, 0.0002, 0.002),
+            against(hits / n, 0.003),
         ]
-        return bytes(votes), (features / n).astype("f2").tobytes()
+        return bytes(seen), (features / n).astype("f2").tobytes()
 
 
 def _class(c: str) -> str:
@@ -133,36 +142,38 @@ def _class(c: str) -> str:
 
 @dataclass
 class Task:
-    """One hidden label: how labellers vote given it, and the scorer trained on its posteriors."""
+    """One hidden label: how often each labeller's votes are right, and the scorer trained on that."""
 
     members: list[int]
     prior: float = 0.1
-    tables: np.ndarray = field(default_factory=lambda: np.zeros((0, 2, 3)))
+    right: np.ndarray = field(default_factory=lambda: np.zeros(0))
     weights: np.ndarray = field(default_factory=lambda: np.zeros(0))
 
-    def posterior(self, patterns: np.ndarray) -> np.ndarray:
+    def sides(self, votes: np.ndarray) -> np.ndarray:
+        """1 for bad, -1 for good, 0 for no vote."""
+        return votes[:, self.members].astype("i8") - 1
+
+    def posterior(self, votes: np.ndarray) -> np.ndarray:
         """P(bad | votes) for rows of votes."""
-        logs = np.log([1 - self.prior, self.prior])[None, :].repeat(len(patterns), 0)
-        for k, column in enumerate(self.members):
-            logs = logs + np.log(self.tables[k][:, patterns[:, column]]).T
-        return 1 / (1 + np.exp(np.clip(logs[:, 0] - logs[:, 1], -500, 500)))
-
-    def estimate(self, patterns: np.ndarray, counts: np.ndarray, rounds: int = 50) -> None:
-        """Expectation maximisation, started from each pattern's balance of votes."""
-        balance = (patterns[:, self.members].astype("i8") - 1).sum(1)
-        bad = 1 / (1 + np.exp(-1.5 * (balance + 0.5)))
+        odds = np.log(self.prior / (1 - self.prior)) + self.sides(votes) @ np.log(self.right / (1 - self.right))
+        return 1 / (1 + np.exp(-np.clip(odds, -500, 500)))
+
+    def estimate(self, patterns: np.ndarray, counts: np.ndarray, rounds: int = 100) -> None:
+        """Expectation maximisation over vote patterns, from labellers that are all right nine times in ten."""
+        sides = self.sides(patterns)
+        self.right = np.full(len(self.members), 0.9)
         for _ in range(rounds):
-            both = np.stack([counts * (1 - bad), counts * bad])
-            self.prior = float(np.clip(both[1].sum() / max(counts.sum(), 1), 1e-4, 0.5))
-            seen = [[np.bincount(patterns[:, c], w, 3) for w in both] for c in self.members]
-            self.tables = (np.array(seen) + 0.5) / (np.array(seen).sum(2, keepdims=True) + 1.5)
-            new = self.posterior(patterns)
-            if np.abs(new - bad).max() < 1e-6:
+            bad = self.posterior(patterns)
+            self.prior = float(np.clip((counts @ bad + 1) / (counts.sum() + 10), *PRIOR_RANGE))
+            agree = counts @ np.where(sides > 0, bad[:, None], np.where(sides < 0, 1 - bad[:, None], 0))
+            new = np.clip((agree + 9) / (counts @ (sides != 0) + 10), *RIGHT_RANGE)
+            done = np.abs(new - self.right).max() < 1e-7
+            self.right = new
+            if done:
                 break
-            bad = new
 
     def inputs(self, votes: np.ndarray, features: np.ndarray) -> np.ndarray:
-        shown = np.eye(3)[votes[:, self.members]].reshape(len(votes), -1)
+        shown = np.eye(3)[votes[:, self.members]].reshape(len(votes), 3 * len(self.members))
         return np.hstack([np.ones((len(votes), 1)), 4 * shown, 4 * features])
 
     def fit(self, votes: np.ndarray, features: np.ndarray, steps: int = 300, penalty: float = 1e-4) -> None:
@@ -187,15 +198,8 @@ class Model:
     tasks: dict[str, Task]
 
     def accuracies(self) -> dict[str, float]:
-        """P(vote agrees with the hidden label | the labeller votes), as estimated."""
-        out = {}
-        for task in self.tasks.values():
-            both = np.array([1 - task.prior, task.prior])[:, None]
-            for k, column in enumerate(task.members):
-                joint = task.tables[k] * both
-                voted = joint[:, [GOOD, BAD]]
-                out[LABELLERS[column]] = float((voted[0, 0] + voted[1, 1]) / voted.sum())
-        return out
+        """How often each labeller is right when it votes, as estimated."""
+        return {LABELLERS[c]: float(r) for t in self.tasks.values() for c, r in zip(t.members, t.right)}
 
 
 def _pick(rate: float, name: str):
