@@ -4,8 +4,10 @@ Reading plans one partition per range of files. A record's headers are parsed fi
 types and headers the query filters on are compared there, and the payload of a record that is
 not wanted, or not asked for, is passed over by its length without being read or decoded.
 
-Every record has its length in its own header, so a file is read front to back with memory for
-one record. Files are opened through ``pyarrow.fs``, so any store it knows will do.
+Records are gzip members of their own, as WARC files have them, with the format's skip-length
+field in front: an unwanted record is inflated up to its last header and then passed over. Plain
+files and members without that field are read as well, front to back with memory for one record.
+Files are opened through ``pyarrow.fs``, so any store it knows will do.
 
 Defined cases: null html is an empty payload; equal payloads, empty ones among them, have one
 response, the row with the smallest page id, and revisits; a repeated row repeats its record;
@@ -16,7 +18,9 @@ from __future__ import annotations
 
 import base64
 import hashlib
+import struct
 import uuid
+import zlib
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
@@ -34,7 +38,7 @@ from pyspark.sql.datasource import (
 )
 
 from orderloom.llm.common import map_rows, table, text_of
-from orderloom.session import materialize, scratch_path
+from orderloom.session import scratch_path
 
 #: Columns the reader can compare while only a record's headers are known.
 HEADER_COLUMNS = {
@@ -96,19 +100,41 @@ def record_bytes(row: dict) -> bytes:
     return b"\r\n".join(lines) + b"\r\n\r\n" + block + b"\r\n\r\n"
 
 
+def gzip_member(record: bytes, level: int = 1) -> bytes:
+    """``record`` as one gzip member whose extra field tells the lengths before and after."""
+    packer = zlib.compressobj(level, zlib.DEFLATED, -15)
+    body = packer.compress(record) + packer.flush()
+    tail = struct.pack("<II", zlib.crc32(record), len(record) & 0xFFFFFFFF)
+    total = 24 + len(body) + len(tail)
+    if max(total, len(record)) >= 1 << 32:
+        return b"\x1f\x8b\x08\0\0\0\0\0\0\xff" + body + tail
+    extra = b"sl" + struct.pack("<HII", 8, total, len(record))
+    return b"\x1f\x8b\x08\x04\0\0\0\0\0\xff" + struct.pack("<H", len(extra)) + extra + body + tail
+
+
 class _Stream:
     """Buffered reading that can pass over bytes without keeping them."""
 
     def __init__(self, file):
         self.file, self.held, self.at = file, b"", 0
 
+    def more(self) -> bool:
+        new = self.file.read(BLOCK_BYTES)
+        self.held, self.at = self.held[self.at :] + new, 0
+        return bool(new)
+
+    def peek(self, size: int) -> bytes:
+        while len(self.held) - self.at < size and self.more():
+            pass
+        return self.held[self.at : self.at + size]
+
     def line(self) -> bytes:
-        while (end := self.held.find(b"\n", self.at)) < 0:
-            more = self.file.read(BLOCK_BYTES)
-            if not more:
-                rest, self.held, self.at = self.held[self.at :], b"", 0
+        looked = self.at
+        while (end := self.held.find(b"\n", looked)) < 0:
+            looked = len(self.held) - self.at
+            if not self.more():
+                rest, self.held, self.at = self.held, b"", 0
                 return rest
-            self.held, self.at = self.held[self.at :] + more, 0
         found = self.held[self.at : end + 1]
         self.at = end + 1
         return found
@@ -132,34 +158,95 @@ class _Stream:
         if size > kept:
             self.file.seek(self.file.tell() + size - kept)
 
+    def end(self) -> None:
+        """Nothing to do after a plain record: blank lines are passed over before the next."""
+
+
+class _Member(_Stream):
+    """The inflated bytes of the gzip member at the front of ``outer``."""
+
+    def __init__(self, outer: _Stream):
+        super().__init__(None)
+        self.outer, self.inflater, self.left = outer, zlib.decompressobj(-15), None
+        head = outer.take(10)
+        flags, used = head[3], 10
+        if flags & 4:
+            size = struct.unpack("<H", outer.take(2))[0]
+            extra, used = outer.take(size), used + 2 + size
+            if extra[:4] == b"sl\x08\0":
+                self.left = struct.unpack("<I", extra[4:8])[0] - used
+        for bit in (8, 16):
+            while flags & bit and outer.take(1) != b"\0":
+                self.left = None
+        if flags & 2:
+            outer.take(2)
+
+    def more(self) -> bool:
+        if self.inflater.eof:
+            return False
+        if not self.outer.peek(1):
+            raise EOFError("A WARC record ends before its stated length.")
+        given = self.outer.held[self.outer.at : self.outer.at + (1 << 14)]
+        new = self.inflater.decompress(given)
+        used = len(given) - len(self.inflater.unused_data)
+        self.outer.at += used
+        if self.left is not None:
+            self.left -= used
+        self.held, self.at = self.held[self.at :] + new, 0
+        return True
+
+    def take(self, size: int) -> bytes:
+        parts, missing = [], size
+        while missing:
+            found = self.held[self.at : self.at + missing]
+            self.at += len(found)
+            missing -= len(found)
+            parts.append(found)
+            if missing and not self.more():
+                raise EOFError("A WARC record ends before its stated length.")
+        return b"".join(parts)
+
+    def skip(self, size: int) -> None:
+        """Left to ``end``, which need not inflate."""
+
+    def end(self) -> None:
+        if self.left is not None:
+            self.outer.skip(self.left)
+            return
+        while not self.inflater.eof:
+            self.held, self.at = b"", 0
+            self.more()
+        self.outer.take(8)
+
 
 def read_records(file, wanted=lambda headers: True, payloads: bool = True) -> Iterator[tuple[dict, bytes | None]]:
     """Headers and payload of each wanted record, in file order; names keep their case."""
-    stream = _Stream(file)
-    while True:
-        start = stream.line()
-        if not start:
-            return
-        if not start.strip():
+    whole = _Stream(file)
+    while start := whole.peek(2):
+        stream = _Member(whole) if start == b"\x1f\x8b" else whole
+        line = stream.line()
+        if not line.strip():
+            stream.end()
             continue
-        if not start.startswith(b"WARC/"):
-            raise ValueError(f"No WARC record starts with {start[:40]!r}.")
+        if not line.startswith(b"WARC/"):
+            raise ValueError(f"No WARC record starts with {line[:40]!r}.")
         headers: dict[str, str] = {}
         while (line := stream.line()).strip():
             name, _, value = line.decode("utf-8", "replace").partition(":")
             headers[name.strip()] = value.strip()
         size = int(headers["Content-Length"])
-        if not wanted(headers):
-            stream.skip(size)
-            continue
-        if not payloads:
+        if not wanted(headers) or not payloads:
+            found = wanted(headers)
             stream.skip(size)
-            yield headers, None
+            stream.end()
+            if found:
+                yield headers, None
             continue
         block = stream.take(size)
+        stream.end()
         http = headers.get("Content-Type", "").startswith("application/http")
         cut = block.find(b"\r\n\r\n") if http else -4
-        yield headers, block[cut + 4 :] if cut >= -4 else b""
+        yield headers, block[cut + 4 :] if cut >= 0 or not http else b""
 
 
 @dataclass
@@ -198,7 +285,7 @@ class WarcReader(DataSourceReader):
 
         system, root = _filesystem(self.path)
         found = system.get_file_info(fs.FileSelector(root, recursive=True, allow_not_found=True))
-        paths = sorted(f.path for f in found if f.type == fs.FileType.File and f.path.endswith(".warc"))
+        paths = sorted(f.path for f in found if f.type == fs.FileType.File and f.path.endswith((".warc", ".warc.gz")))
         step = self.files_per_partition
         return [_Files(paths[k : k + step]) for k in range(0, len(paths), step)] or [_Files(())]
 
@@ -238,12 +325,12 @@ class WarcWriter(DataSourceWriter):
     def write(self, iterator) -> WriterCommitMessage:
         system, root = _filesystem(self.path)
         system.create_dir(root, recursive=True)
-        path, records, out = f"{root}/part-{uuid.uuid4().hex}.warc.open", 0, None
+        path, records, out = f"{root}/part-{uuid.uuid4().hex}.warc.gz.open", 0, None
         try:
             for row in iterator:
                 if out is None:
                     out = system.open_output_stream(path)
-                out.write(record_bytes(dict(zip(self.names, row))))
+                out.write(gzip_member(record_bytes(dict(zip(self.names, row)))))
                 records += 1
         finally:
             if out is not None:
@@ -305,8 +392,8 @@ def page_records(pages: DataFrame, min_revisit_bytes: int = 0) -> DataFrame:
     rows = pages.select("page_id", F.col("url").cast("string").alias("url"), text_of("html").alias("html"))
     kind = rows.schema["page_id"].dataType.simpleString()
     schema = f"page_id {kind}, url string, payload binary, payload_digest string, payload_length bigint"
-    # Written once, so that the digests are not computed again on both sides of the join.
-    digested = materialize(map_rows(rows, digests, schema, rows=500), "payloads")
+    # Digests are cheaper to compute twice than payloads are to write once more.
+    digested = map_rows(rows, digests, schema, rows=500)
     # A null page id can be a revisit but never what others refer to, unless no other page has the payload.
     first = digested.groupBy("payload_digest").agg(F.min("page_id").alias("first_id"))
     joined = digested.join(first, "payload_digest")

@@ -1,6 +1,8 @@
 import base64
+import gzip
 import hashlib
 import io
+import random
 
 import duckdb
 import pytest
@@ -71,12 +73,22 @@ def test_unwanted_payloads_are_not_read():
             return found
 
     row = {"record_id": "<urn:a>", "target_uri": "u", "record_date": "d", "payload_digest": "X", "payload_length": 1, "refers_to": None}
-    big = b"".join(
-        warc.record_bytes(row | {"record_type": t, "payload": b"p" * 9_000_000}) for t in ("resource", "response", "resource")
-    )
-    found = list(warc.read_records(Counting(big), lambda h: h["WARC-Type"] == "response"))
-    assert [len(p) for _, p in found] == [9_000_000]
-    assert Counting.bytes_read < 14_000_000
+    big = random.Random(1).randbytes(9_000_000)
+    records = [warc.record_bytes(row | {"record_type": t, "payload": big}) for t in ("resource", "response", "resource")]
+    for pack in (bytes, warc.gzip_member):
+        Counting.bytes_read = 0
+        found = list(warc.read_records(Counting(b"".join(map(pack, records))), lambda h: h["WARC-Type"] == "response"))
+        assert [p for _, p in found] == [big]
+        assert Counting.bytes_read < 14_000_000
+
+
+def test_other_gzip_writers_are_read():
+    row = {"record_type": "response", "record_id": "a", "target_uri": "u", "record_date": "d", "payload_digest": "X",
+           "payload_length": 3, "refers_to": None}
+    records = [warc.record_bytes(row | {"payload": bytes([65 + k]) * (k * 50_000)}) for k in range(4)]
+    mixed = b"".join([gzip.compress(records[0]), warc.gzip_member(records[1]), records[2], gzip.compress(records[3])])
+    assert [len(p) for _, p in warc.read_records(io.BytesIO(mixed))] == [0, 50_000, 100_000, 150_000]
+    assert len(list(warc.read_records(io.BytesIO(mixed), payloads=False))) == 4
 
 
 def test_broken_archives_are_refused():
