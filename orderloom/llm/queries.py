@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from orderloom.llm.bpe_trie import op1_bpe_trie
+from orderloom.llm.decontamination import op3_decontamination
 from orderloom.llm.quality import op2_quality
 from orderloom.llm.secrets import op6_secrets
 from orderloom.llm.sharding import op9_sharding
@@ -21,6 +22,7 @@ def queries() -> dict[str, Query]:
     return {
         "op1_bpe_trie": op1_bpe_trie,
         "op2_quality": op2_quality,
+        "op3_decontamination": op3_decontamination,
         "op6_secrets": op6_secrets,
         "op7_simhash": op7_simhash,
         "op8_token_counts": op8_token_counts,
