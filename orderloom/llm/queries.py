@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from orderloom.llm.bpe_trie import op1_bpe_trie
 from orderloom.llm.decontamination import op3_decontamination
+from orderloom.llm.neighbours import OP4_SQL, op4_neighbours
 from orderloom.llm.quality import op2_quality
 from orderloom.llm.secrets import op6_secrets
 from orderloom.llm.sharding import op9_sharding
@@ -23,6 +24,7 @@ def queries() -> dict[str, Query]:
         "op1_bpe_trie": op1_bpe_trie,
         "op2_quality": op2_quality,
         "op3_decontamination": op3_decontamination,
+        "op4_neighbours": op4_neighbours,
         "op6_secrets": op6_secrets,
         "op7_simhash": op7_simhash,
         "op8_token_counts": op8_token_counts,
@@ -32,4 +34,4 @@ def queries() -> dict[str, Query]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op10_warc": OP10_SQL}
+    return {"op4_neighbours": OP4_SQL, "op10_warc": OP10_SQL}
