@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from orderloom.llm.bpe_trie import op1_bpe_trie
+from orderloom.llm.context_mixing import op5_context_mixing
 from orderloom.llm.decontamination import op3_decontamination
 from orderloom.llm.neighbours import OP4_SQL, op4_neighbours
 from orderloom.llm.quality import op2_quality
@@ -25,6 +26,7 @@ def queries() -> dict[str, Query]:
         "op2_quality": op2_quality,
         "op3_decontamination": op3_decontamination,
         "op4_neighbours": op4_neighbours,
+        "op5_context_mixing": op5_context_mixing,
         "op6_secrets": op6_secrets,
         "op7_simhash": op7_simhash,
         "op8_token_counts": op8_token_counts,
