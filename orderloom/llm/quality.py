@@ -181,7 +181,7 @@ class Task:
         x, y = self.inputs(votes, features), self.posterior(votes)
         w = np.zeros(x.shape[1])
         w[0] = np.log(self.prior / (1 - self.prior))
-        speed, rate = np.zeros_like(w), 4.0 / max((x**2).sum(1).mean(), 1e-9)
+        speed, rate = np.zeros_like(w), 4.0 * max(len(x), 1) / max((x**2).sum(), 1e-9)
         for _ in range(steps):
             p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
             speed = 0.9 * speed - rate * (x.T @ (p - y) / max(len(y), 1) + penalty * w)

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import corpus_pipeline
 from pyspark.sql import DataFrame, SparkSession
 
 from orderloom.llm.bpe_trie import op1_bpe_trie
@@ -22,6 +23,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 def queries() -> dict[str, Query]:
     return {
+        "pipeline": corpus_pipeline.run,
         "op1_bpe_trie": op1_bpe_trie,
         "op2_quality": op2_quality,
         "op3_decontamination": op3_decontamination,

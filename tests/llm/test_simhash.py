@@ -38,7 +38,7 @@ def test_fingerprints_equal_a_plain_count(documents):
 
 def test_fingerprint_hash_is_sparks(spark):
     row = spark.range(1).select(F.xxhash64(F.lit("a b c d")).alias("h")).first()
-    assert simhash.fingerprint("a b c d") == row.h
+    assert simhash.fingerprint("a b c d") == (row.h,)
 
 
 def test_links_equal_brute_force(spark):
@@ -80,3 +80,23 @@ def test_empty_table_and_null_ids(documents):
     assert simhash.near_duplicates(documents().select("doc_id", "text")).count() == 0
     found = simhash.near_duplicates(documents((None, "a b c d e"), (3, "a b c d e"))).collect()
     assert {r.component_id for r in found} == {3}
+
+
+def test_wide_form_links_texts_that_agree_by_four_fifths(documents):
+    rnd = random.Random(4)
+    rows, groups = [], 40
+    for k in range(groups):
+        words = [f"w{rnd.randint(0, 5000)}" for _ in range(250)]
+        rows.append((10 * k, " ".join(words)))
+        for c in (1, 2):
+            other = list(words)
+            for at in rnd.sample(range(250), 4):
+                other[at] = f"x{rnd.randint(0, 5000)}"
+            rows.append((10 * k + c, " ".join(other)))
+    rows += [(1000 + k, " ".join(f"w{rnd.randint(0, 5000)}" for _ in range(250))) for k in range(200)]
+    found = {r.doc_id: r.component_id for r in simhash.near_duplicates(documents(*rows), wide=True).collect()}
+    assert all(found[k] == k for k in range(1000, 1200))
+    assert all(found[k] // 10 == k // 10 for k in found if k < 1000)
+    assert sum(found[10 * k + c] == 10 * k for k in range(groups) for c in (1, 2)) >= 0.75 * 2 * groups
+    twice = {r.doc_id: r.component_id for r in simhash.near_duplicates(documents((1, ""), (2, None), (3, "a")), wide=True).collect()}
+    assert twice == {1: 1, 2: 1, 3: 3}
