@@ -4,23 +4,11 @@ from __future__ import annotations
 
 import re
 
+from orderloom.spec import INVENTORY_FINGERPRINT, OPEN_ORDERS_FINGERPRINT, ORDER_HISTORY_FINGERPRINT
+
 SALT = "demonstration-salt"
-HISTORY_FINGERPRINT = (
-    "company_code source_customer_code ship_to_customer_code customer_name purchase_order_number order_number "
-    "order_type order_date scheduled_ship_date shipped_date delivery_route order_status ordered_quantity "
-    "full_sku_code first_half_sku_code unique_sku_code final_order_quantity shipped_order_quantity "
-    "quantity_short shipped_order_weight order_amount product_category product_description"
-).split()
-OPEN_FINGERPRINT = (
-    "company_code source_customer_code ship_to_customer_code customer_name purchase_order_number order_number "
-    "order_type order_date scheduled_ship_date order_status full_sku_code first_half_sku_code unique_sku_code "
-    "final_order_quantity shipped_order_quantity estimated_order_weight shipped_order_weight delivery_route "
-    "delivery_route_name customer_requested_date revised_delivery_date order_amount product_description"
-).split()
-INVENTORY_FINGERPRINT = (
-    "warehouse_code snapshot_date full_sku_code pallet_number lot_number slot_location production_date "
-    "best_before_date reserved_quantity quantity_on_hand weight"
-).split()
+HISTORY_FINGERPRINT = list(ORDER_HISTORY_FINGERPRINT)
+OPEN_FINGERPRINT = list(OPEN_ORDERS_FINGERPRINT)
 
 
 def md5_of(columns: list[str], **instead: str) -> str:

@@ -621,16 +621,9 @@ def publish_partition_replace(i: Inputs) -> DataFrame:
     table = publish.CommittedTable(
         i.spark, scratch_path(i.spark, "published"), "order_history", ORDER_HISTORY.published
     )
-    newest_batch = F.col("batch_id") == extracts.BATCHES["O"]
-    counts = raw.groupBy("source_filename").agg(
-        F.count("*").alias("all_rows"), F.count_if(newest_batch).alias("newest_rows")
-    )
-    # As many rows as there are files to publish.
-    for name, rows, newest in sorted(counts.collect()):
-        incoming = raw.where(F.col("source_filename") == name)
-        if extracts.RUNS["R"] in name:
-            table.replace(incoming.where(newest_batch), name, newest, ORDER_HISTORY, at=RUN_AT)
-        table.replace(incoming, name, rows, ORDER_HISTORY, incoming, at=RUN_AT)
+    incomplete = (F.col("batch_id") == extracts.BATCHES["O"]) & F.col("source_filename").contains(extracts.RUNS["R"])
+    table.replace_all(raw.where(incomplete), "source_filename", ORDER_HISTORY, at=RUN_AT)
+    table.replace_all(raw, "source_filename", ORDER_HISTORY, expected_batches=raw, at=RUN_AT)
     return table.read().select(*_PUBLISHED).withColumn("ordered_quantity", F.col("ordered_quantity").cast("bigint"))
 
 
@@ -647,9 +640,8 @@ def file_intake(i: Inputs) -> DataFrame:
     table = publish.CommittedTable(i.spark, root, "order_history", schema)
     later = F.col("source_filename").contains(extracts.CORRECTION_RUN)
     for arriving in (rows.where(~later), rows.where(later)):
-        # Each source file lands as a file of its own.
-        arriving.repartition("source_filename").write.mode("append").option("header", True).csv(landing)
-        run_file_intake(i.spark, landing, "csv", schema, f"{root}/checkpoint", table, files_per_batch=1000)
+        arriving.write.mode("append").option("header", True).csv(landing)
+        run_file_intake(i.spark, landing, "csv", schema, f"{root}/checkpoint", table)
     return table.read().groupBy("source_filename").agg(F.count("*").alias("row_count"))
 
 

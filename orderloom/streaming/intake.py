@@ -5,7 +5,6 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
@@ -21,25 +20,25 @@ def run_file_intake(
     table: CommittedTable,
     transform: Callable[[DataFrame], DataFrame] = lambda df: df,
     publication: str = "source_filename",
-    files_per_batch: int = 1,
+    files_per_batch: int | None = None,
 ) -> StreamingQuery:
     """Process what has arrived since the last run, then stop.
 
     The checkpoint remembers files already taken. A batch that fails is replayed, which is
-    safe because publishing replaces a whole publication. Batches run one after another, so
+    safe because publishing replaces whole publications. All files of a batch are published
+    together, with one write and one commit. Batches run one after another, so
     each dataset keeps its single writer.
     """
-    reader = spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_batch)
+    reader = spark.readStream.schema(schema)
+    if files_per_batch:
+        reader = reader.option("maxFilesPerTrigger", files_per_batch)
     if fmt == "csv":
         reader = reader.option("header", True).option("mode", "FAILFAST")
     arrived = reader.format(fmt).load(landing)
 
     def publish(batch: DataFrame, batch_number: int) -> None:
-        ready = transform(batch)
-        # One row per publication in the batch: at most the files of one trigger.
-        counts = ready.groupBy(publication).agg(F.count("*").alias("n")).collect()
-        for value, rows in counts:
-            table.replace(ready.where(F.col(publication).eqNullSafe(F.lit(value))), value, rows)
+        if not batch.isEmpty():
+            table.replace_all(transform(batch), publication)
 
     query = (
         arrived.writeStream.foreachBatch(publish)
