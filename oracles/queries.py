@@ -57,9 +57,11 @@ def labelled(column: str, **tables: str) -> str:
 
 def changed(raw: str, view: str, columns: dict[str, str]) -> str:
     shown = ", ".join(f"r.{c} AS raw_{a}, s.{c} AS staging_{a}" for c, a in columns.items())
+    only = ", ".join(columns)
     differs = " or ".join(f"r.{c} is distinct from s.{c}" for c in columns)
     return (
-        f"select r.source_filename, r.source_file_row_number, {shown} from {raw} r join {view} s "
+        f"select r.source_filename, r.source_file_row_number, {shown} from (select {POSITION}, {only} from {raw}) r join "
+        f"(select {POSITION}, {only} from {view}) s "
         f"on r.source_filename = s.source_filename and r.source_file_row_number = s.source_file_row_number where {differs}"
     )
 
@@ -244,9 +246,15 @@ PRODUCT_RULE = ("product_description", "contains(product_description, ' Product
 ROUTE_RULE = ("delivery_route_name", "starts_with(delivery_route_name, 'Route RT-')")
 SKU_RULE = ("full_sku_code", "starts_with(full_sku_code, 'SKU-')")
 
-HISTORY_DIGEST = """select source_filename, md5(count(*)::VARCHAR || '|' ||
-  sum(('0x' || substr(row_hash, 1, 8))::BIGINT)::VARCHAR || '|' || sum(('0x' || substr(row_hash, 25, 8))::BIGINT)::VARCHAR)
-  AS source_file_hash from raw_oh group by 1"""
+def file_digest(source: str) -> str:
+    words = " || '|' || ".join(f"sum(('0x' || substr(placed, {start}, 8))::BIGINT)::VARCHAR" for start in (1, 9, 17, 25))
+    return (
+        f"select source_filename, md5(count(*)::VARCHAR || '|' || {words}) AS source_file_hash from "
+        f"(select source_filename, md5(source_file_row_number::VARCHAR || '|' || row_hash) AS placed from {source}) group by 1"
+    )
+
+
+HISTORY_DIGEST = file_digest("raw_oh")
 
 _SQL: dict[str, str] = {
     "latest_batch": f"select batch_id, order_number, unique_sku_code, {POSITION} from oh where batch_id = (select max(batch_id) from oh)",
@@ -256,6 +264,7 @@ _SQL: dict[str, str] = {
   from (select o_orderkey, CASE o_orderpriority WHEN '4-NOT SPECIFIED' THEN 'NULL' WHEN '5-LOW' THEN ' null '
   WHEN '1-URGENT' THEN '  ' ELSE '  ' || o_orderpriority || ' ' END AS exported from orders)""",
     "new_files_only": f"select * from ({HISTORY_DIGEST}) where source_file_hash not in (select source_file_hash from ({HISTORY_DIGEST}) where regexp_extract(source_filename, '(\\d{{8}}_\\d{{6}})', 1) < '20260915_032626')",
+    "source_file_fingerprints": f"{file_digest('raw_oo')} union all {file_digest('raw_inv')}",
     "filename_ids": """select source_filename, count(*) AS row_count,
   nullif(regexp_extract(source_filename, '(\\d{8}_\\d{6})', 1), '') AS run_id,
   nullif(regexp_extract(source_filename, '(\\d{8})', 1), '') AS snapshot_id
@@ -306,8 +315,8 @@ _SQL: dict[str, str] = {
     "map_skus": "select * from products",
     "distinct_routes": "select * from route_base",
     "map_routes": "select * from routes",
-    "next_sequence": f"""select 'customer' AS scope, max({trailing('pseudo_customer_name')}) + 1 AS next_number from prior_customers
-  union all select pseudo_category, max({trailing('pseudo_full_sku_code')}) + 1 from prior_products group by 1""",
+    "next_sequence": f"""select 'customer' AS scope, max({trailing('pseudo_customer_name')}) + 1 AS next_number from customers
+  union all select pseudo_category, max({trailing('pseudo_full_sku_code')}) + 1 from products group by 1""",
     # backfills
     "open_orders_only_products": "select * from opened",
     "open_orders_only_customers": "select * from customer_base where customer_hash_key not in (select customer_hash_key from prior_customers)",
@@ -324,12 +333,12 @@ _SQL: dict[str, str] = {
     # pseudonymize
     "lookup_products": f"""select f.full_sku_code, f.source_filename, f.source_file_row_number, p.pseudo_category,
   p.pseudo_product_description, p.pseudo_full_sku_code, p.pseudo_first_half_sku_code, p.pseudo_unique_sku_code
-  from oh f left join prior_products p on f.full_sku_code = p.full_sku_code""",
+  from oh f left join products p on f.full_sku_code = p.full_sku_code""",
     "lookup_customers": f"""select {', '.join(f"{CLEAN.format('f.' + c)} AS {c}" for c in HISTORY[1:4])}, f.customer_hash_key,
   f.source_filename, f.source_file_row_number, c.pseudo_customer_name
-  from keyed_oh f left join prior_customers c on f.customer_hash_key = c.customer_hash_key""",
+  from keyed_oh f left join customers c on f.customer_hash_key = c.customer_hash_key""",
     "lookup_routes": """select f.delivery_route_name, f.source_filename, f.source_file_row_number, r.pseudo_delivery_route_name
-  from oo f left join prior_routes r on f.delivery_route_name = r.delivery_route_name""",
+  from oo f left join routes r on f.delivery_route_name = r.delivery_route_name""",
     "pseudonymize_order_history": "select * from pseudo_oh",
     "pseudonymize_open_orders": "select * from pseudo_oo",
     "pseudonymize_inventory": "select * from pseudo_inv",

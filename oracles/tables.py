@@ -362,9 +362,9 @@ TABLES.update(
         "opened": "select * from ("
         + _first("oo", "full_sku_code", "first_half_sku_code, unique_sku_code, product_description")
         + ") where full_sku_code not in (select full_sku_code from prior_products)",
-        "half_year": "select * from oo where order_date >= '19950701' and order_date < '19960101'",
+        "every_opened": "select * from oo",
         "opened_half": "select * from ("
-        + _first("half_year", "full_sku_code", "first_half_sku_code, unique_sku_code, product_description")
+        + _first("every_opened", "full_sku_code", "first_half_sku_code, unique_sku_code, product_description")
         + ") where full_sku_code not in (select full_sku_code from prior_products)",
         "restored": f"select *, {_RESTORED} AS full_sku from inv",
         "stock_base": """select full_sku AS full_sku_code, split_part(full_sku, '-', 1) AS first_half_sku_code,

@@ -34,9 +34,7 @@ def canonical_text(column: Column, data_type: T.DataType) -> Column:
         text = F.date_format(column, "yyyyMMdd")
     elif isinstance(data_type, (T.TimestampType, T.TimestampNTZType)):
         text = F.date_format(column, "yyyy-MM-dd HH:mm:ss.SSSSSS")
-    elif isinstance(data_type, (T.FloatType, T.DoubleType)):
-        text = column.cast(T.DecimalType(38, 4)).cast("string")
-    else:
+    else:  # Spark's text of a float or double is the shortest that reads back as the same number
         text = column.cast("string")
     return F.coalesce(text, F.lit(NULL_TEXT))
 

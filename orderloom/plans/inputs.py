@@ -85,13 +85,6 @@ class Inputs:
         )
         return materialize(mapping, "product-mapping")
 
-    def half_year_open_orders(self, *columns: str) -> DataFrame:
-        """The open orders that were backfilled after the previous history run."""
-        rows = self.open_orders(*dict.fromkeys((*columns, "order_date")))
-        return rows.where(
-            (F.col("order_date") >= extracts.PRIOR_BEFORE) & (F.col("order_date") < extracts.OPEN_ORDERS_BEFORE)
-        ).select(*columns)
-
     def prior_routes(self) -> DataFrame:
         rows = self._prior(self.open_orders("delivery_route_name", "order_date"), ["delivery_route_name"])
         profile = materialize(identities.route_profile(rows), "profile")

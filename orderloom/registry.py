@@ -111,7 +111,8 @@ def null_tokens(i: Inputs) -> DataFrame:
 def new_files_only(i: Inputs) -> DataFrame:
     """Content digests of the history files; those of committed runs are left out."""
     files = readers.content_digest(
-        i.raw_history().select("source_filename", "row_hash"), ["source_filename"], F.col("row_hash")
+        i.raw_history().select("source_filename", "row_hash", "source_file_row_number"),
+        ["source_filename"], F.col("row_hash"), F.col("source_file_row_number"),
     )
     files = materialize(files, "digests")
     committed = readers.run_id(F.col("source_filename")) < extracts.RUNS["R"]
@@ -130,8 +131,10 @@ def filename_ids(i: Inputs) -> DataFrame:
 
 @query
 def source_file_fingerprints(i: Inputs) -> DataFrame:
-    hashes = readers.file_hashes(i.spark, f"{i.sf_dir}/*.parquet")
-    return hashes.select(F.element_at(F.split("source_file", "/"), -1).alias("file"), "source_file_hash")
+    """The digest of every open-order and inventory file, from its rows in their places."""
+    names = ["source_filename", "row_hash", "source_file_row_number"]
+    rows = i.raw_open_orders().select(*names).unionAll(i.raw_inventory().select(*names))
+    return readers.content_digest(rows, names[:1], F.col("row_hash"), F.col("source_file_row_number"))
 
 
 @query
@@ -355,10 +358,10 @@ def map_routes(i: Inputs) -> DataFrame:
 @query
 def next_sequence(i: Inputs) -> DataFrame:
     """The next free number overall, and per category."""
-    customers = last_sequence(i.prior_customers(), "pseudo_customer_name").select(
+    customers = last_sequence(i.customers(), "pseudo_customer_name").select(
         F.lit("customer").alias("scope"), (F.col("last_number") + 1).alias("next_number")
     )
-    products = last_sequence(i.prior_products(), "pseudo_full_sku_code", ["pseudo_category"], r"-(\d+)$", strict=True)
+    products = last_sequence(i.products(), "pseudo_full_sku_code", ["pseudo_category"], r"-(\d+)$", strict=True)
     return customers.unionByName(
         products.select(F.col("pseudo_category").alias("scope"), (F.col("last_number") + 1).alias("next_number"))
     )
@@ -393,11 +396,11 @@ def backfill_open_order_products(i: Inputs) -> DataFrame:
 
 @query
 def backfill_inventory_products(i: Inputs) -> DataFrame:
-    """Inventory after a backfill from half a year of open orders: the Unknown category exists
-    by then, and its prefix and numbers continue."""
+    """Inventory after a backfill from open orders: the Unknown category exists by then, and its
+    prefix and numbers continue."""
     existing = i.prior_products()
     opened = materialize(
-        identities.new_products(i.half_year_open_orders(*_OPEN_PRODUCT, *POSITION), existing), "fresh"
+        identities.new_products(i.open_orders(*_OPEN_PRODUCT, *POSITION), existing), "fresh"
     )
     existing = materialize(identities.backfill_products(opened, existing), "product-mapping")
     stocked = identities.inventory_products(i.inventory("raw_sku", "product_description", *POSITION), existing)
@@ -466,18 +469,18 @@ def unmapped_customers(i: Inputs) -> DataFrame:
 @query
 def lookup_products(i: Inputs) -> DataFrame:
     facts = i.history("full_sku_code", *POSITION)
-    return privacy.lookup_products(facts, i.prior_products())
+    return privacy.lookup_products(facts, i.products())
 
 
 @query
 def lookup_customers(i: Inputs) -> DataFrame:
     facts = i.history(*IDENTITY_COLUMNS, *POSITION)
-    return privacy.lookup_customers(facts, i.prior_customers())
+    return privacy.lookup_customers(facts, i.customers())
 
 
 @query
 def lookup_routes(i: Inputs) -> DataFrame:
-    return privacy.lookup_routes(i.open_orders("delivery_route_name", *POSITION), i.prior_routes())
+    return privacy.lookup_routes(i.open_orders("delivery_route_name", *POSITION), i.routes())
 
 
 @query

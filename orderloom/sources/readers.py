@@ -46,12 +46,24 @@ def with_file_lineage(df: DataFrame, root: str = "") -> DataFrame:
     )
 
 
+def _block_starts(spot: DataFrame) -> DataFrame:
+    """Per file and block the id of its first row and the rows of the file's earlier blocks."""
+    blocks = spot.groupBy("_file", "_block").agg(F.count("*").alias("_rows"), F.min("_order").alias("_first"))
+    earlier = Window.partitionBy("_file").orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
+    return blocks.select(
+        F.col("_file").alias("_f"), F.col("_block").alias("_b"), "_first",
+        F.coalesce(F.sum("_rows").over(earlier), F.lit(0)).alias("_before"),
+    )
+
+
 def number_csv_rows(df: DataFrame) -> DataFrame:
     """``source_file_row_number``: the position of every row in its delimited file.
 
-    Text files carry no row index. Each scan task reads one block of a file in order, so rows
-    are ranked inside their block and the row counts of the file's earlier blocks are added.
-    A task never holds more than one block. ``df`` must come straight from the scan.
+    Text files carry no row index. A scan task reads one block of a file after another, in
+    order, so a row's increasing id less that of its block's first row is its place in the
+    block; the rows of the file's earlier blocks are added. Only the table of blocks is
+    windowed; the rows themselves are neither sorted nor gathered. ``df`` must come straight
+    from the scan.
     """
     spot = df.select(
         "*",
@@ -59,16 +71,9 @@ def number_csv_rows(df: DataFrame) -> DataFrame:
         F.col("_metadata.file_block_start").alias("_block"),
         F.monotonically_increasing_id().alias("_order"),
     )
-    counts = spot.groupBy("_file", "_block").agg(F.count("*").alias("_rows"))
-    earlier = Window.partitionBy("_file").orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select(
-        F.col("_file").alias("_f"), F.col("_block").alias("_b"),
-        F.coalesce(F.sum("_rows").over(earlier), F.lit(0)).alias("_before"),
-    )
-    within = Window.partitionBy("_file", "_block").orderBy("_order")
-    ranked = spot.withColumn("_rank", F.row_number().over(within))
-    joined = ranked.join(offsets, (F.col("_file") == F.col("_f")) & (F.col("_block") == F.col("_b")))
-    return joined.select(*df.columns, (F.col("_before") + F.col("_rank")).cast("bigint").alias("source_file_row_number"))
+    joined = spot.join(_block_starts(spot), (F.col("_file") == F.col("_f")) & (F.col("_block") == F.col("_b")))
+    position = F.col("_before") + F.col("_order") - F.col("_first") + 1
+    return joined.select(*df.columns, position.cast("bigint").alias("source_file_row_number"))
 
 
 def parquet_row_number() -> Column:
@@ -142,31 +147,31 @@ def list_files(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.format("binaryFile").load(path).select("path", "length", "modificationTime")
 
 
-def file_hashes(spark: SparkSession, path: str, whole_file_limit: int = 512 * 1024 * 1024) -> DataFrame:
-    """``source_file``, ``source_file_hash``: md5 of the content.
+def file_hashes(spark: SparkSession, path: str) -> DataFrame:
+    """``source_file``, ``source_file_hash``: one digest rule for files of any size.
 
-    Content larger than the limit does not belong in one task's memory. Such a file is read
-    as lines and digested from its line count and line hashes, in parallel.
+    A file is read as lines that end in a line feed, in parallel, and digested from its length
+    and from every line's position and bytes. Carriage returns belong to the line.
     """
-    whole = (
-        spark.read.format("binaryFile").load(path).where(F.col("length") <= whole_file_limit)
-        .select(F.col("path").alias("source_file"), F.md5("content").alias("source_file_hash"))
+    files = list_files(spark, path).select(F.col("path").alias("source_file"), "length")
+    lines = number_csv_rows(
+        spark.read.option("lineSep", "\n").text(path).select(F.col("_metadata.file_path").alias("source_file"), "value")
     )
-    large = [
-        row.path for row in list_files(spark, path).where(F.col("length") > whole_file_limit).select("path").collect()
+    digests = content_digest(lines, ["source_file"], F.md5("value"), F.col("source_file_row_number"))
+    whole = F.md5(F.concat_ws("|", F.col("length").cast("string"), F.coalesce("source_file_hash", F.lit(""))))
+    return files.join(digests, "source_file", "left").select("source_file", whole.alias("source_file_hash"))
+
+
+def content_digest(df: DataFrame, files: Sequence[str], row_hash: Column, position: Column) -> DataFrame:
+    """A digest per file from the hashes of all positions and rows, which may be added in any order."""
+    placed = F.md5(F.concat_ws("|", position.cast("string"), row_hash))
+    rows = df.select(*files, placed.alias("_placed"))
+    words = [
+        F.sum(F.conv(F.substring("_placed", start, 8), 16, 10).cast("decimal(38,0)")).alias(f"_{start}")
+        for start in (1, 9, 17, 25)
     ]
-    if not large:
-        return whole
-    lines = spark.read.text(large).select(F.col("_metadata.file_path").alias("source_file"), "value")
-    return whole.unionByName(content_digest(lines, ["source_file"], F.md5("value")))
-
-
-def content_digest(df: DataFrame, files: Sequence[str], row_hash: Column) -> DataFrame:
-    """A digest per file from row count and row hashes; parts can be added in any order."""
-    head = F.conv(F.substring(row_hash, 1, 8), 16, 10).cast("decimal(38,0)")
-    tail = F.conv(F.substring(row_hash, 25, 8), 16, 10).cast("decimal(38,0)")
-    parts = df.groupBy(*files).agg(F.count("*").alias("n"), F.sum(head).alias("a"), F.sum(tail).alias("b"))
-    digest = F.md5(F.concat_ws("|", F.col("n").cast("string"), F.col("a").cast("string"), F.col("b").cast("string")))
+    parts = rows.groupBy(*files).agg(F.count("*").alias("_n"), *words)
+    digest = F.md5(F.concat_ws("|", *(F.col(n).cast("string") for n in ("_n", "_1", "_9", "_17", "_25"))))
     return parts.select(*files, digest.alias("source_file_hash"))
 
 

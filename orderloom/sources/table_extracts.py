@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from orderloom.functions.codes import zero_pad
-from orderloom.functions.hashing import NULL_TEXT
+from orderloom.functions.hashing import row_fingerprint
 from orderloom.spec import (
     INVENTORY,
     INVENTORY_FINGERPRINT,
@@ -303,15 +303,11 @@ def category_mapping(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- published rows -----------------------------------------------------------------------
 
 
-def _fingerprint(columns: tuple[str, ...]) -> Column:
-    return F.md5(F.concat_ws("|", *(F.coalesce(col(name), lit(NULL_TEXT)) for name in columns)))
-
-
 def _published(
     standardized: DataFrame, fingerprint: tuple[str, ...], typed: dict[str, Column], flags: tuple[str, ...],
     order: tuple[str, ...],
 ) -> DataFrame:
-    rows = standardized.withColumns({**{flag: lit(True) for flag in flags}, "row_hash": _fingerprint(fingerprint)})
+    rows = standardized.withColumns({**{flag: lit(True) for flag in flags}, "row_hash": row_fingerprint(standardized.schema, fingerprint)})
     return rows.withColumns(
         {
             **typed,

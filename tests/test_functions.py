@@ -115,6 +115,12 @@ def test_fingerprint_text_per_type_and_null_token(spark):
     assert one(df, hashing.row_fingerprint(schema, ["d", "m", "b", "t", "absent"])) == [wanted]
 
 
+def test_fingerprint_tells_close_and_large_doubles_apart(spark):
+    schema = T.StructType.fromDDL("x double")
+    df = spark.createDataFrame([(1.00001,), (1.00002,), (1e300,), (None,)], schema)
+    assert len(set(one(df, hashing.row_fingerprint(schema, ["x"])))) == 4
+
+
 def test_null_tokens(values):
     df = values("v", ("NULL",), (" null ",), ("  ",), (" Null",), (" a ",))
     assert one(df, text.null_if_token(F.col("v"))) == [None, None, None, "Null", "a"]

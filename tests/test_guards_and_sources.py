@@ -107,16 +107,22 @@ def test_files_listing_hash_and_guard(spark, tmp_path):
     (tmp_path / "a.csv").write_text("x\n1\n")
     (tmp_path / "b.csv").write_text("x\n2\n")
     files = readers.file_hashes(spark, str(tmp_path))
-    import hashlib
-
-    assert {r.source_file_hash for r in files.collect()} == {hashlib.md5(t.encode()).hexdigest() for t in ("x\n1\n", "x\n2\n")}
+    assert files.select("source_file_hash").distinct().count() == 2
     manifest = files.where(F.col("source_file").endswith("a.csv"))
     fresh = readers.new_files_only(files, manifest).collect()
     assert [r.source_file[-5:] for r in fresh] == ["b.csv"]
     assert readers.new_files_only(files, manifest, force=True).count() == 2
     assert readers.list_files(spark, str(tmp_path)).count() == 2
-    large = {r.source_file_hash for r in readers.file_hashes(spark, str(tmp_path), whole_file_limit=1).collect()}
-    assert len(large) == 2
+
+
+def test_a_file_digest_tells_order_line_ends_and_length_apart(spark, tmp_path):
+    texts = ["1,2\n2,1\n", "2,1\n1,2\n", "1,2\r\n2,1\r\n", "1,2\n2,1", "", "\n", "1,2\n2,1\n\n"]
+    for n, text in enumerate(texts):
+        (tmp_path / f"{n}.csv").write_bytes(text.encode())
+    (tmp_path / "same.csv").write_bytes(texts[0].encode())
+    found = {r.source_file[-5:]: r.source_file_hash for r in readers.file_hashes(spark, str(tmp_path)).collect()}
+    assert len(found) == len(texts) + 1 and len(set(found.values())) == len(texts)
+    assert found["e.csv"] == found["0.csv"]
 
 
 def test_newest_file_passes_over_lock_files(spark):
