@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -24,6 +24,20 @@ def require_salt(salt: str | None) -> str:
     return salt
 
 
+def salt_column(df: DataFrame, salt: str | DataFrame) -> Column:
+    """The salt as the value of a one-row table, so that no plan or setting shows it.
+
+    ``salt`` is the secret itself or a one-row, one-column table of a protected source. Add the
+    result to ``df`` as a column of its own and pass that column on.
+    """
+    if isinstance(salt, str) or salt is None:
+        salt = df.sparkSession.createDataFrame([(require_salt(salt),)], "salt string")
+    value = salt.select(F.col(f"`{salt.columns[0]}`").alias("salt"))
+    blank = F.col("salt").isNull() | (F.trim("salt") == "")
+    message = F.lit("A non-blank pseudonymization salt is required.")
+    return value.select(F.when(blank, F.raise_error(message)).otherwise(F.col("salt"))).scalar()
+
+
 def customer_key(source_code: Column, ship_to: Column, name: Column) -> Column:
     return F.md5(joined_key(identity_text(source_code), identity_text(ship_to), identity_text(name)))
 
@@ -47,12 +61,12 @@ def row_fingerprint(schema: T.StructType, columns: Iterable[str]) -> Column:
     )
 
 
-def salted_hash(column: Column, salt: str) -> Column:
+def salted_hash(column: Column, salt: Column) -> Column:
     """SHA-256 of value and salt; null stays null."""
-    return F.sha2(F.concat(column.cast("string"), F.lit(require_salt(salt))), 256)
+    return F.sha2(F.concat(column.cast("string"), salt), 256)
 
 
-def pseudonym(column: Column, salt: str) -> Column:
+def pseudonym(column: Column, salt: Column) -> Column:
     """A stable replacement of the same length, drawn from letters and digits.
 
     One digest covers 32 characters. The digests are computed once per row: the one-element
@@ -60,7 +74,7 @@ def pseudonym(column: Column, salt: str) -> Column:
     """
     text = column.cast("string")
     length = F.length(text)
-    salted = F.concat(text, F.lit(require_salt(salt)))
+    salted = F.concat(text, salt)
     last_round = F.floor((F.greatest(length, F.lit(1)) - 1) / DIGEST_BYTES).cast("int")
     hex_text = F.array_join(
         F.transform(

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from orderloom.functions.codes import full_sku_from_number
-from orderloom.functions.hashing import pseudonym, require_salt, row_fingerprint
+from orderloom.functions.hashing import pseudonym, row_fingerprint, salt_column
 from orderloom.functions.text import strip
 from orderloom.operators.guards import (
     clean_headers,
@@ -25,6 +25,9 @@ PRODUCT_CODES = (
     "pseudo_first_half_sku_code", "pseudo_unique_sku_code",
 )
 
+# Name of the working column that carries the salt.
+SALT = "_salt"
+
 
 def lookup(facts: DataFrame, mapping: DataFrame, key: str, *columns: str) -> DataFrame:
     """Left lookup on a key that is unique in the mapping.
@@ -56,6 +59,11 @@ def _checked_mapping(mapping: DataFrame, key: str, columns: tuple[str, ...], lab
     return require_unique(cleaned, key, label)
 
 
+def salted(df: DataFrame, salt: str | DataFrame) -> DataFrame:
+    """``df`` with the salt as a column, for the functions that mix it in; it never leaves this module."""
+    return df.withColumn(SALT, salt_column(df, salt))
+
+
 def _finish(
     joined: DataFrame,
     replaced: dict[str, Column],
@@ -76,14 +84,13 @@ def _flags(*names: str) -> dict[str, Column]:
 
 
 def pseudonymize_order_history(
-    orders: DataFrame, products: DataFrame, customers: DataFrame, salt: str, at: datetime
+    orders: DataFrame, products: DataFrame, customers: DataFrame, salt: str | DataFrame, at: datetime
 ) -> DataFrame:
     """Order history without real identities.
 
     Unmapped keys and null identities fail the job that writes the result. The fingerprint
     still covers the real source and ship-to codes, which do not leave this function.
     """
-    require_salt(salt)
     orders = clean_headers(orders, "spaces")
     require_columns(
         orders,
@@ -93,7 +100,7 @@ def pseudonymize_order_history(
     )
     products = _checked_mapping(products, "full_sku_code", PRODUCT_CODES, "product mapping")
     customers = _checked_mapping(customers, "customer_hash_key", ("pseudo_customer_name",), "customer mapping")
-    joined = lookup_customers(lookup_products(orders, products), customers)
+    joined = salted(lookup_customers(lookup_products(orders, products), customers), salt)
     sku = F.col("full_sku_code")
     replaced = {
         "product_description": F.col("pseudo_product_description"),
@@ -102,8 +109,8 @@ def pseudonymize_order_history(
         "full_sku_code": mapped(F.col("pseudo_full_sku_code"), sku, "SKU"),
         "first_half_sku_code": F.col("pseudo_first_half_sku_code"),
         "unique_sku_code": F.col("pseudo_unique_sku_code"),
-        "purchase_order_number": pseudonym(F.col("purchase_order_number"), salt),
-        "company_code": pseudonym(F.col("company_code"), salt),
+        "purchase_order_number": pseudonym(F.col("purchase_order_number"), F.col(SALT)),
+        "company_code": pseudonym(F.col("company_code"), F.col(SALT)),
     }
     added = _flags(
         "product_description", "product_category", "customer_name", "sku_codes", "purchase_order_number",
@@ -115,10 +122,9 @@ def pseudonymize_order_history(
 
 
 def pseudonymize_open_orders(
-    orders: DataFrame, products: DataFrame, customers: DataFrame, routes: DataFrame, salt: str, at: datetime
+    orders: DataFrame, products: DataFrame, customers: DataFrame, routes: DataFrame, salt: str | DataFrame, at: datetime
 ) -> DataFrame:
     """Open orders without real identities; the category is new information from the mapping."""
-    require_salt(salt)
     orders = clean_headers(orders, "spaces")
     require_columns(
         orders,
@@ -129,7 +135,7 @@ def pseudonymize_open_orders(
     products = _checked_mapping(products, "full_sku_code", PRODUCT_CODES, "product mapping")
     customers = _checked_mapping(customers, "customer_hash_key", ("pseudo_customer_name",), "customer mapping")
     routes = _checked_mapping(routes, "delivery_route_name", ("pseudo_delivery_route_name",), "route mapping")
-    joined = lookup_routes(lookup_customers(lookup_products(orders, products), customers), routes)
+    joined = salted(lookup_routes(lookup_customers(lookup_products(orders, products), customers), routes), salt)
     replaced = {
         "product_description": F.col("pseudo_product_description"),
         "customer_name": mapped(F.col("pseudo_customer_name"), F.col("customer_hash_key"), "customer"),
@@ -139,8 +145,8 @@ def pseudonymize_open_orders(
         "delivery_route_name": mapped(
             F.col("pseudo_delivery_route_name"), F.col("delivery_route_name"), "route name"
         ),
-        "purchase_order_number": pseudonym(F.col("purchase_order_number"), salt),
-        "company_code": pseudonym(F.col("company_code"), salt),
+        "purchase_order_number": pseudonym(F.col("purchase_order_number"), F.col(SALT)),
+        "company_code": pseudonym(F.col("company_code"), F.col(SALT)),
     }
     added = {
         **_flags("product_description", "customer_name", "sku_codes"),
@@ -153,19 +159,18 @@ def pseudonymize_open_orders(
     return _finish(joined, replaced, added, output, OPEN_ORDERS, at)
 
 
-def pseudonymize_inventory(inventory: DataFrame, products: DataFrame, salt: str, at: datetime) -> DataFrame:
+def pseudonymize_inventory(inventory: DataFrame, products: DataFrame, salt: str | DataFrame, at: datetime) -> DataFrame:
     """Inventory without real SKUs; the raw number is restored to a SKU before the lookup."""
-    require_salt(salt)
     inventory = clean_headers(inventory, "spaces")
     require_columns(
         inventory, ("raw_sku", "product_description", "snapshot_date", "warehouse_code"), "inventory"
     )
     products = _checked_mapping(products, "full_sku_code", PRODUCT_CODES, "product mapping")
     restored = inventory.withColumn("full_sku_code", full_sku_from_number(F.col("raw_sku")))
-    joined = lookup_products(restored, products)
+    joined = salted(lookup_products(restored, products), salt)
     replaced = {
         "product_description": F.col("pseudo_product_description"),
-        "warehouse_code": pseudonym(F.col("warehouse_code"), salt),
+        "warehouse_code": pseudonym(F.col("warehouse_code"), F.col(SALT)),
     }
     added = {
         "full_sku_code": mapped(F.col("pseudo_full_sku_code"), F.col("full_sku_code"), "SKU"),
@@ -206,10 +211,10 @@ def unconfirmed_flags(df: DataFrame, flags: tuple[str, ...]) -> list[Column]:
     return [F.count_if(~F.col(flag).eqNullSafe(F.lit(True))).alias(flag.replace("original_", "").replace("_removed", "_not_confirmed")) for flag in flags]
 
 
-def pseudonym_collisions(df: DataFrame, column: str, salt: str) -> DataFrame:
+def pseudonym_collisions(df: DataFrame, column: str, salt: str | DataFrame) -> DataFrame:
     """Replacements shared by several real values: short values collide by design."""
-    values = df.select(F.col(column).cast("string").alias("value")).distinct()
+    values = salted(df.select(F.col(column).cast("string").alias("value")).distinct(), salt)
     return (
-        values.select("value", pseudonym(F.col("value"), salt).alias("replacement"))
+        values.select("value", pseudonym(F.col("value"), F.col(SALT)).alias("replacement"))
         .groupBy("replacement").agg(F.count("value").alias("real_values")).where("real_values > 1")
     )

@@ -226,21 +226,22 @@ def row_hash(i: Inputs) -> DataFrame:
 
 @query
 def salted_hash(i: Inputs) -> DataFrame:
-    rows = i.history("purchase_order_number", "order_type", *POSITION)
+    rows = privacy.salted(i.history("purchase_order_number", "order_type", *POSITION), DEMO_SALT)
     return rows.select(
         *POSITION,
-        hashing.salted_hash(F.col("purchase_order_number"), DEMO_SALT).alias("purchase_order_hash"),
-        hashing.salted_hash(F.col("order_type"), DEMO_SALT).alias("order_type_hash"),
+        hashing.salted_hash(F.col("purchase_order_number"), F.col(privacy.SALT)).alias("purchase_order_hash"),
+        hashing.salted_hash(F.col("order_type"), F.col(privacy.SALT)).alias("order_type_hash"),
     )
 
 
 @query
 def pseudonym(i: Inputs) -> DataFrame:
     rows = i.history("purchase_order_number", "order_type", "product_description", *POSITION)
+    rows = privacy.salted(rows, DEMO_SALT)
     return rows.select(
         *POSITION,
         *(
-            hashing.pseudonym(F.col(name), DEMO_SALT).alias(f"{name}_pseudonym")
+            hashing.pseudonym(F.col(name), F.col(privacy.SALT)).alias(f"{name}_pseudonym")
             for name in ("purchase_order_number", "order_type", "product_description")
         ),
     )

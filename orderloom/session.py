@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import re
 import tempfile
 import uuid
 
@@ -44,11 +43,6 @@ def prepare(spark: SparkSession) -> SparkSession:
     return spark
 
 
-def hide_in_plans(spark: SparkSession, secret: str) -> None:
-    """Have Spark print a mark instead of ``secret`` wherever it explains a plan."""
-    spark.conf.set("spark.sql.redaction.string.regex", re.escape(secret))
-
-
 def shared_root(spark: SparkSession) -> str:
     """The folder all executors can reach, as the session names it.
 

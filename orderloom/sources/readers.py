@@ -152,6 +152,7 @@ def file_hashes(spark: SparkSession, path: str) -> DataFrame:
 
     A file is read as lines that end in a line feed, in parallel, and digested from its length
     and from every line's position and bytes. Carriage returns belong to the line.
+    Spark's listing leaves out empty files.
     """
     files = list_files(spark, path).select(F.col("path").alias("source_file"), "length")
     lines = number_csv_rows(

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from orderloom.functions import codes, dates, hashing, text
-from orderloom.session import hide_in_plans
+from orderloom.operators import privacy
 
 SALT = "s4lt"
 
@@ -94,18 +94,18 @@ def expected_pseudonym(value):
 def test_pseudonym_keeps_length_and_is_stable(values):
     cases = ["PO-1", "", "a" * 32, "b" * 33, "x" * 70, "é漢字", None]
     df = values("v", *((c,) for c in cases))
-    assert one(df, hashing.pseudonym(F.col("v"), SALT)) == [expected_pseudonym(c) for c in cases]
+    assert one(privacy.salted(df, SALT), hashing.pseudonym(F.col("v"), F.col(privacy.SALT))) == [expected_pseudonym(c) for c in cases]
 
 
 def test_salted_hash(values):
     df = values("v", ("a",), (None,))
-    assert one(df, hashing.salted_hash(F.col("v"), SALT)) == [hashlib.sha256(f"a{SALT}".encode()).hexdigest(), None]
+    assert one(df, hashing.salted_hash(F.col("v"), F.lit(SALT))) == [hashlib.sha256(f"a{SALT}".encode()).hexdigest(), None]
 
 
 @pytest.mark.parametrize("salt", [None, "", "  "])
 def test_salt_is_required(spark, salt):
     with pytest.raises(ValueError, match="salt"):
-        hashing.pseudonym(F.lit("x"), salt)
+        hashing.salt_column(spark.range(1), salt)
 
 
 def test_fingerprint_text_per_type_and_null_token(spark):
@@ -126,11 +126,17 @@ def test_null_tokens(values):
     assert one(df, text.null_if_token(F.col("v"))) == [None, None, None, "Null", "a"]
 
 
-def test_salt_can_be_kept_out_of_plans(values, capsys):
-    df = values("v", ("a",)).select(hashing.salted_hash(F.col("v"), "top.secret"))
-    hide_in_plans(df.sparkSession, "top.secret")
-    try:
-        df.explain(True)
-        assert "top.secret" not in capsys.readouterr().out
-    finally:
-        df.sparkSession.conf.unset("spark.sql.redaction.string.regex")
+def test_salt_is_in_no_plan_and_no_setting(values, capsys):
+    df = privacy.salted(values("v", ("a",)), "top.secret")
+    out = df.select(hashing.salted_hash(F.col("v"), F.col("_salt")), hashing.pseudonym(F.col("v"), F.col("_salt")))
+    out.collect()
+    out.explain(True)
+    assert "secret" not in capsys.readouterr().out
+    assert not [r for r in df.sparkSession.sql("SET").collect() if "secret" in str(r)]
+
+
+def test_salt_may_come_from_a_table(values):
+    table, given = values("s", ("pepper",)), values("v", ("a",))
+    assert one(privacy.salted(given, table), F.col("_salt")) == ["pepper"]
+    with pytest.raises(Exception, match="non-blank"):
+        privacy.salted(given, values("s", (" ",))).collect()
