@@ -246,16 +246,24 @@ PRODUCT_RULE = ("product_description", "contains(product_description, ' Product
 ROUTE_RULE = ("delivery_route_name", "starts_with(delivery_route_name, 'Route RT-')")
 SKU_RULE = ("full_sku_code", "starts_with(full_sku_code, 'SKU-')")
 
+DIGEST_WORDS = " || '|' || ".join(f"sum(('0x' || substr(placed, {start}, 8))::BIGINT)::VARCHAR" for start in (1, 9, 17, 25))
+
+
 def file_digest(source: str) -> str:
-    words = " || '|' || ".join(f"sum(('0x' || substr(placed, {start}, 8))::BIGINT)::VARCHAR" for start in (1, 9, 17, 25))
     return (
-        f"select source_filename, md5(count(*)::VARCHAR || '|' || {words}) AS source_file_hash from "
+        f"select source_filename, md5(count(*)::VARCHAR || '|' || {DIGEST_WORDS}) AS source_file_hash from "
         f"(select source_filename, md5(source_file_row_number::VARCHAR || '|' || row_hash) AS placed from {source}) group by 1"
     )
 
 
 HISTORY_DIGEST = file_digest("raw_oh")
 
+# What inference makes of the delimited columns.
+DISCOVERED = {
+    "order_number": "int", "full_sku_code": "string", "order_date": "int", "ordered_quantity": "int",
+    "order_amount": "double", "ingested_at_datetime": "timestamp",
+}
+
 _SQL: dict[str, str] = {
     "latest_batch": f"select batch_id, order_number, unique_sku_code, {POSITION} from oh where batch_id = (select max(batch_id) from oh)",
     "source_row_numbers": "select line_row AS line, line_row AS found_line, l_orderkey, l_partkey from lines",
@@ -264,6 +272,14 @@ _SQL: dict[str, str] = {
   from (select o_orderkey, CASE o_orderpriority WHEN '4-NOT SPECIFIED' THEN 'NULL' WHEN '5-LOW' THEN ' null '
   WHEN '1-URGENT' THEN '  ' ELSE '  ' || o_orderpriority || ' ' END AS exported from orders)""",
     "new_files_only": f"select * from ({HISTORY_DIGEST}) where source_file_hash not in (select source_file_hash from ({HISTORY_DIGEST}) where regexp_extract(source_filename, '(\\d{{8}}_\\d{{6}})', 1) < '20260915_032626')",
+    "intake_refused": f"select * from ({HISTORY_DIGEST}) where source_file_hash in (select source_file_hash from ({HISTORY_DIGEST}) where regexp_extract(source_filename, '(\\d{{8}}_\\d{{6}})', 1) < '20260915_032626')",
+    "snapshot_exists": """select strftime(snapshot_date, '%Y%m%d') AS snapshot_id, count(*) AS published_rows from raw_inv
+  where strftime(snapshot_date, '%Y%m%d') in (select regexp_extract(source_filename, '(\\d{8})', 1) from inv) group by 1""",
+    "schema_discovery": " union all ".join(
+        f"select {n}::BIGINT AS column_position, '{c}' AS column_name, '{t}' AS data_type, NULL::BIGINT AS numeric_precision, "
+        f"NULL::BIGINT AS numeric_scale, 'YES' AS is_nullable where exists (select 1 from oh)"
+        for n, (c, t) in enumerate(DISCOVERED.items(), start=1)
+    ),
     "source_file_fingerprints": f"{file_digest('raw_oo')} union all {file_digest('raw_inv')}",
     "filename_ids": """select source_filename, count(*) AS row_count,
   nullif(regexp_extract(source_filename, '(\\d{8}_\\d{6})', 1), '') AS run_id,
@@ -276,8 +292,8 @@ _SQL: dict[str, str] = {
         for n, (c, t) in enumerate(CATALOG, start=1)
     ),
     "batch_metadata": f"""select 'order_history' AS dataset, '20260715_181006_000001' AS batch_id, 'orders.csv' AS source_file,
-  repeat('0', 32) AS source_file_hash, '2026-09-15T03:26:45' AS created_at, count(*) AS row_count, 27::BIGINT AS column_count,
-  '{",".join([*RAW_HEADERS, "batch_id", "ingested_at"])}' AS columns from oh""",
+  (select md5(count(*)::VARCHAR || '|' || {DIGEST_WORDS}) from (select md5(source_file_row_number::VARCHAR || '|' || row_hash) AS placed from raw_oh)) AS source_file_hash, '2026-09-15T03:26:45' AS created_at, count(*) AS row_count, 27::BIGINT AS column_count,
+  '{",".join([*RAW_HEADERS, "batch_id", "ingested_at"])}' AS columns, 1.5::DOUBLE AS duration_seconds from oh""",
     "ingest_tagged": "select " + ", ".join(f"{r} AS {c}" for c, r in RAW_HEADERS.items())
     + ", '20260715_181006_000001' AS batch_id, '2026-09-15T03:26:45' AS ingested_at from oh",
     "ingest_snapshot": "select " + ", ".join(f'{r} AS "{c}"' for c, r in INVENTORY_RAW.items())

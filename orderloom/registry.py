@@ -68,7 +68,7 @@ def source_row_numbers(i: Inputs) -> DataFrame:
     lines = extracts.table(i.spark, i.sf_dir, "lineitem").select(
         readers.parquet_row_number().alias("line"), "l_orderkey", "l_partkey"
     )
-    lines.write.option("header", True).option("maxRecordsPerFile", 10_000).csv(path)
+    lines.write.option("header", True).csv(path)
     placed = readers.number_csv_rows(
         readers.read_extract(i.spark, path).select("line", "l_orderkey", "l_partkey")
         .withColumn("file", F.col("_metadata.file_path"))
@@ -119,6 +119,24 @@ def new_files_only(i: Inputs) -> DataFrame:
     return readers.new_files_only(files, files.where(committed))
 
 
+@query
+def intake_refused(i: Inputs) -> DataFrame:
+    """History files that the guard refuses: their content was committed before."""
+    files = materialize(readers.content_digest(
+        i.raw_history().select("source_filename", "row_hash", "source_file_row_number"),
+        ["source_filename"], F.col("row_hash"), F.col("source_file_row_number"),
+    ), "digests")
+    committed = readers.run_id(F.col("source_filename")) < extracts.RUNS["R"]
+    return readers.refused_files(files, files.where(committed))
+
+
+@query
+def snapshot_exists(i: Inputs) -> DataFrame:
+    """Snapshot dates of arriving inventory files that the published stock already has."""
+    arriving = i.inventory("source_filename").select(readers.snapshot_id(F.col("source_filename")).alias("snapshot_id"))
+    return readers.known_snapshots(arriving, i.raw_inventory())
+
+
 @query
 def filename_ids(i: Inputs) -> DataFrame:
     names = i.history("source_filename").unionAll(i.inventory("source_filename"))
@@ -140,7 +158,8 @@ def source_file_fingerprints(i: Inputs) -> DataFrame:
 @query
 def schema_discovery(i: Inputs) -> DataFrame:
     path = scratch_path(i.spark, "delimited")
-    i.history().write.option("header", True).csv(path)
+    columns = ("order_number", "full_sku_code", "order_date", "ordered_quantity", "order_amount", "ingested_at_datetime")
+    i.history(*columns).select(*columns).write.option("header", True).csv(path)
     return readers.discover_schema(i.spark, path)
 
 
@@ -155,8 +174,10 @@ def _raw_history(i: Inputs, extra: dict[str, Column] | None = None) -> DataFrame
 
 @query
 def batch_metadata(i: Inputs) -> DataFrame:
+    rows = i.raw_history().select("row_hash", "source_file_row_number")
+    digest = readers.content_digest(rows, [], F.col("row_hash"), F.col("source_file_row_number")).scalar()
     record = standardize.batch_metadata(
-        _raw_history(i), "order_history", "20260715_181006_000001", "orders.csv", "0" * 32, RUN_AT
+        _raw_history(i), "order_history", "20260715_181006_000001", F.lit("orders.csv"), digest, RUN_AT, 1.5
     )
     return record.withColumn("columns", F.array_join("columns", ","))
 

@@ -185,6 +185,20 @@ def new_files_only(files: DataFrame, manifest: DataFrame, force: bool = False) -
     )
 
 
+def refused_files(files: DataFrame, manifest: DataFrame) -> DataFrame:
+    """The files whose content a committed batch has, whatever their names."""
+    return files.join(manifest.select("source_file_hash").distinct(), "source_file_hash", "left_semi").select(*files.columns)
+
+
+def known_snapshots(arriving: DataFrame, published: DataFrame) -> DataFrame:
+    """Arriving ``snapshot_id`` values whose day has published rows, with their number."""
+    held = published.groupBy("snapshot_date").agg(F.count("*").alias("published_rows"))
+    day = F.try_to_date("snapshot_id", "yyyyMMdd")
+    return arriving.select("snapshot_id").distinct().join(held, day == F.col("snapshot_date")).select(
+        "snapshot_id", "published_rows"
+    )
+
+
 def newest_file(files: DataFrame, time: str = "modificationTime", path: str = "path") -> DataFrame:
     """One row: the file modified last, lock files left out."""
     visible = files.where(~F.element_at(F.split(path, "/"), -1).startswith("~$"))
