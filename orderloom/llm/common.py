@@ -22,12 +22,14 @@ def text_of(name: str = "text") -> Column:
 
 
 def map_rows(
-    df: DataFrame, function: Callable[[dict[str, list]], dict[str, list]], schema: str, rows: int = 2000
+    df: DataFrame, function: Callable[[dict[str, list]], dict[str, list]], schema: str, rows: int = 2000,
+    after: Callable[[], None] = lambda: None,
 ) -> DataFrame:
     """Apply ``function`` to the columns of at most ``rows`` rows at a time.
 
     Columns arrive and leave as Python lists, so one call holds a bounded piece of a partition
-    whatever the partition's size. Arrow's own limit on bytes per batch holds as well.
+    whatever the partition's size. Arrow's own limit on bytes per batch holds as well. ``after``
+    is called once a partition is done, to let go of what the process remembers.
     """
     from pyspark.sql.types import StructType
     from pyspark.sql.pandas.types import to_arrow_schema
@@ -42,6 +44,7 @@ def map_rows(
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(out[f.name], type=f.type) for f in arrow_schema], schema=arrow_schema
                 )
+        after()
 
     return df.mapInArrow(run, schema)
 

@@ -55,7 +55,7 @@ _DECORATED = re.compile(r"[!$*&#%@~^=]{2,}$").search
 _WORD = re.compile(r"\w+")
 _UPPER = re.compile(r"[A-ZÀ-ÖØ-Þ]")
 _SYMBOL = re.compile(r"[^\w\s.,;:'\"()-]")
-MEMORY_WORDS = 500_000
+MEMORY_WORDS = 150_000
 
 
 def vote(value: float, good_below: float, bad_above: float) -> int:
@@ -242,6 +242,11 @@ def _labellers(lexicon: frozenset[str]) -> Labellers:
     return _LABELLERS[key]
 
 
+def _forget() -> None:
+    """The worker process goes on to other tasks, which need the memory."""
+    _LABELLERS.clear()
+
+
 def votes(df: DataFrame, lexicon: frozenset[str], id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """``id, votes, features`` per row: a byte per labeller, and hashed features as 16-bit floats."""
     kind = df.schema[id_column].dataType.simpleString()
@@ -252,7 +257,7 @@ def votes(df: DataFrame, lexicon: frozenset[str], id_column: str = "doc_id", tex
         return {id_column: columns[id_column], "votes": [v for v, _ in found], "features": [f for _, f in found]}
 
     rows = df.select(id_column, text_of(text_column).alias("text"))
-    return map_rows(rows, run, f"`{id_column}` {kind}, votes binary, features binary")
+    return map_rows(rows, run, f"`{id_column}` {kind}, votes binary, features binary", after=_forget)
 
 
 def _matrices(rows_votes: list[bytes], rows_features: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
@@ -315,7 +320,7 @@ def filter_rows(df: DataFrame, model: Model, text_column: str = "text") -> DataF
         keep = np.flatnonzero(~bad)
         return {n: [c[k] for k in keep] for n, c in columns.items()}
 
-    return map_rows(df, run, schema)
+    return map_rows(df, run, schema, after=_forget)
 
 
 def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
