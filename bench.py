@@ -33,8 +33,7 @@ def track(spark, sf_dir: str) -> dict[str, float]:
     """The order-history track, every stage written as the real job writes it."""
     seconds: dict[str, float] = {}
     inputs = Inputs(spark, sf_dir)
-    # Mappings and the delivered extract exist before the track starts.
-    products, customers = inputs.products(), inputs.customers()
+    # The delivered extract exists before the track starts.
     delivered = materialize(
         extracts.coded(inputs.history(*extracts.ORDER_HISTORY_COLUMNS), ORDER_HISTORY_HEADERS), "delivered"
     )
@@ -49,6 +48,7 @@ def track(spark, sf_dir: str) -> dict[str, float]:
         "track_standardize",
         lambda: materialize(standardize.checked_standardize(delivered, ORDER_HISTORY, STANDARDIZED), "standardized"),
     )
+    products, customers = timed("track_mappings", lambda: (inputs.products(), inputs.customers()))
     batch = timed(
         "track_pseudonymize",
         lambda: materialize(
@@ -74,6 +74,16 @@ def track(spark, sf_dir: str) -> dict[str, float]:
     return seconds
 
 
+def peak_memory_mb(spark) -> int | None:
+    """The largest resident size so far of the JVM that runs everything in local mode."""
+    pid = spark.sparkContext._gateway.proc.pid
+    try:
+        with open(f"/proc/{pid}/status") as status:
+            return next(int(line.split()[1]) // 1024 for line in status if line.startswith("VmHWM"))
+    except (OSError, StopIteration):
+        return None
+
+
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", "8")
@@ -94,6 +104,7 @@ def main() -> None:
                 "rows": rows,
                 "rows_per_sec": round(rows / seconds["whole_track"]),
                 "cpus": cpus,
+                "peak_memory_mb": peak_memory_mb(spark),
                 "sf": os.path.basename(sf_dir.rstrip("/")).removeprefix("sf"),
                 "queries": seconds,
             }

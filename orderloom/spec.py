@@ -102,6 +102,7 @@ INVENTORY_FINGERPRINT = (
     "quantity_on_hand", "weight",
 )
 
+# Identity, product and lineage columns, and the schemas of mappings and publications.
 IDENTITY_COLUMNS = ("source_customer_code", "ship_to_customer_code", "customer_name")
 PRODUCT_COLUMNS = (
     "full_sku_code", "first_half_sku_code", "unique_sku_code", "product_description",
