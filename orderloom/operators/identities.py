@@ -58,9 +58,15 @@ def customer_profile(orders: DataFrame) -> DataFrame:
 
 
 def first_per_key(df: DataFrame, key: str, columns: Sequence[str], order: Sequence[str] = FILE_ORDER) -> DataFrame:
-    """Keep the row of each key that comes first in file order."""
+    """Keep the row of each key that comes first in file order.
+
+    The earliest row number of equal rows of a file is a hash aggregate, which leaves a row per
+    distinct value and file; only those meet the ordered comparison, for which Spark sorts.
+    """
+    *files, number = order
+    distinct = df.groupBy(key, *columns, *files).agg(F.min(number).alias(number))
     kept = F.min_by(F.struct(*columns), F.struct(*order))
-    return df.groupBy(key).agg(kept.alias("kept")).select(key, "kept.*")
+    return distinct.groupBy(key).agg(kept.alias("kept")).select(key, "kept.*")
 
 
 def product_profile(orders: DataFrame) -> DataFrame:
@@ -185,13 +191,17 @@ def _present_or_null(mapping: DataFrame):
     ]
 
 
+# Categories whose initials share a stem are settled in one row; more than this fail the job.
+MAX_STEM_CATEGORIES = 10_000
+
+
 def category_prefixes(products: DataFrame) -> DataFrame:
     """One SKU prefix per pseudo category.
 
     A category with assigned codes keeps the prefix found in them; having several is an error.
     A new one takes its initials, or the initials with the smallest free number from 2, in
     category order. Only categories whose initials share a stem can collide, so each stem is
-    settled on its own by folding over its few categories.
+    settled on its own by folding over its few categories, whose number is checked.
     """
     found = products.groupBy("pseudo_category").agg(
         F.min(codes.sku_code_prefix("pseudo_full_sku_code")).alias("lowest"),
@@ -208,7 +218,9 @@ def category_prefixes(products: DataFrame) -> DataFrame:
         codes.initials("pseudo_category").alias("base"),
     )
     stem = F.regexp_replace(F.coalesce("prefix", "base"), r"\d+$", "")
+    crowded = F.count("*") > MAX_STEM_CATEGORIES
     families = named.groupBy(stem.alias("stem")).agg(
+        or_fail(F.lit(True), crowded, F.lit("Too many categories share one SKU prefix stem.")).alias("bounded"),
         F.array_sort(
             F.collect_list(F.when(F.col("prefix").isNull(), F.struct("pseudo_category", "base")))
         ).alias("waiting"),
@@ -224,7 +236,7 @@ def category_prefixes(products: DataFrame) -> DataFrame:
         chosen = F.struct(entry["pseudo_category"].alias("pseudo_category"), F.get(free, F.lit(0)).alias("prefix"))
         return F.concat(done, F.array(chosen))
 
-    return families.select(F.inline(F.aggregate("waiting", F.col("kept"), settle)))
+    return families.where("bounded").select(F.inline(F.aggregate("waiting", F.col("kept"), settle)))
 
 
 def map_full_skus(products: DataFrame) -> DataFrame:
