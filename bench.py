@@ -13,7 +13,7 @@ from orderloom.operators import privacy, publish, quality, standardize  # noqa:
 from orderloom.plans import staging  # noqa: E402
 from orderloom.plans.inputs import DEMO_SALT, RUN_AT, STANDARDIZED, Inputs  # noqa: E402
 from orderloom.registry import queries  # noqa: E402
-from orderloom.session import local_session, materialize, scratch_path  # noqa: E402
+from orderloom.session import local_session, materialize, remove_scratch, scratch_path  # noqa: E402
 from orderloom.sources import readers  # noqa: E402
 from orderloom.sources import table_extracts as extracts  # noqa: E402
 from orderloom.spec import ORDER_HISTORY, ORDER_HISTORY_HEADERS  # noqa: E402
@@ -110,6 +110,7 @@ def main() -> None:
             }
         )
     )
+    remove_scratch(spark)
     spark.stop()
 
 

@@ -60,8 +60,18 @@ def shared_root(spark: SparkSession) -> str:
     return _local_scratch
 
 
+def _scratch_root(spark: SparkSession) -> str:
+    return f"{shared_root(spark)}/orderloom/{spark.sparkContext.applicationId}"
+
+
 def scratch_path(spark: SparkSession, label: str) -> str:
-    return f"{shared_root(spark)}/orderloom/{label}-{uuid.uuid4().hex}"
+    return f"{_scratch_root(spark)}/{label}-{uuid.uuid4().hex}"
+
+
+def remove_scratch(spark: SparkSession) -> None:
+    """Remove every intermediate table of this application; call it once its results are written."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(_scratch_root(spark))
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def materialize(df: DataFrame, label: str) -> DataFrame:

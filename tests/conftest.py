@@ -5,13 +5,14 @@ import pytest
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
-from orderloom.session import local_session  # noqa: E402
+from orderloom.session import local_session, remove_scratch  # noqa: E402
 
 
 @pytest.fixture(scope="session")
 def spark():
     session = local_session("4", "4g", 4)
     yield session
+    remove_scratch(session)
     session.stop()
 
 
