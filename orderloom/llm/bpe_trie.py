@@ -188,27 +188,39 @@ class TrieEncoder:
         return b"".join([table[n] for n in memoryview(ids).cast("I")]).decode("utf-8", "replace")
 
 
-_ENCODERS: dict[str, TrieEncoder] = {}
+_ENCODERS: dict[tuple[str, int], TrieEncoder] = {}
 
 
-def _encoder(path: str, vocabulary) -> TrieEncoder:
-    """One encoder per worker process, kept for its later tasks."""
-    if path not in _ENCODERS:
-        _ENCODERS[path] = TrieEncoder(vocabulary())
-    return _ENCODERS[path]
+def _encoder(path: str, vocabulary, memory_words: int = MEMORY_WORDS) -> TrieEncoder:
+    """One encoder per worker process and memory, whose vocabulary is kept for later tasks."""
+    if (path, memory_words) not in _ENCODERS:
+        _ENCODERS[(path, memory_words)] = TrieEncoder(vocabulary(), memory_words)
+    return _ENCODERS[(path, memory_words)]
 
 
-def encode(df: DataFrame, path: str, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
-    """``id, n_tokens, ids`` per row; ``ids`` are little-endian unsigned 32-bit integers."""
+def _forget() -> None:
+    """The worker process goes on to other tasks, which need the memory."""
+    for encoder in _ENCODERS.values():
+        encoder.pieces.clear()
+        encoder.words.clear()
+
+
+def encode(
+    df: DataFrame, path: str, id_column: str = "doc_id", text_column: str = "text", memory_words: int = MEMORY_WORDS
+) -> DataFrame:
+    """``id, n_tokens, ids`` per row; ``ids`` are little-endian unsigned 32-bit integers.
+
+    ``memory_words`` bounds what a process remembers; a smaller number costs time, not results.
+    """
     vocabulary = shared(df.sparkSession, bytelevel.Vocabulary(path))
     kind = df.schema[id_column].dataType.simpleString()
 
     def run(columns):
-        ids = _encoder(path, vocabulary).encode(columns["text"])
+        ids = _encoder(path, vocabulary, memory_words).encode(columns["text"])
         return {id_column: columns[id_column], "n_tokens": [len(i) // 4 for i in ids], "ids": ids}
 
     rows = df.select(id_column, text_of(text_column).alias("text"))
-    return map_rows(rows, run, f"`{id_column}` {kind}, n_tokens bigint, ids binary")
+    return map_rows(rows, run, f"`{id_column}` {kind}, n_tokens bigint, ids binary", rows=500, after=_forget)
 
 
 def decode(df: DataFrame, path: str, id_column: str = "doc_id", ids_column: str = "ids") -> DataFrame:
@@ -240,7 +252,7 @@ def round_trip(df: DataFrame, path: str, id_column: str = "doc_id", text_column:
         }
 
     rows = df.select(id_column, text_of(text_column).alias("text"))
-    return map_rows(rows, run, f"`{id_column}` {kind}, n_tokens bigint, ids binary, decoded string")
+    return map_rows(rows, run, f"`{id_column}` {kind}, n_tokens bigint, ids binary, decoded string", after=_forget)
 
 
 def op1_bpe_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
