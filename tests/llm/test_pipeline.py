@@ -47,3 +47,16 @@ def test_empty_table(spark, documents, folder):
         benchmark=spark.createDataFrame([], "item_id bigint, text string"),
     )
     assert corpus_pipeline.run(spark, sf_dir).count() == 0
+
+
+def test_rows_without_id_or_with_one_id_stay_if_their_texts_differ(spark, documents):
+    texts = [prose(60) for _ in range(8)]
+    rows = [
+        (1, texts[0]), (None, texts[0]), (None, texts[1]), (None, texts[2]), (None, texts[2]), (None, texts[3]),
+        (5, texts[4]), (5, texts[5]), (5, texts[5]), (7, texts[6]), (6, texts[6]), (None, texts[7]),
+    ]
+    kept = corpus_pipeline.near_duplicate_stage(spark, documents(*rows), "")
+    assert kept.columns == documents().columns
+    expected = [(1, 0), (None, 1), (None, 2), (None, 3), (5, 4), (5, 5), (6, 6), (None, 7)]
+    found = sorted(((r.doc_id, r.text) for r in kept.collect()), key=lambda r: r[1])
+    assert found == sorted(((k, texts[n]) for k, n in expected), key=lambda r: r[1])
