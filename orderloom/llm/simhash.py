@@ -5,9 +5,7 @@ segment gets at most one, so linked fingerprints agree on one segment but for on
 distinct fingerprint is indexed under its 64 signatures, one for every bit made a wildcard
 inside its segment; equal signatures meet, and the full distance is verified.
 
-A wider form takes two such words of 64 bits, six segments, and more differing bits than the
-segments can promise; it finds documents whose shingles agree by four fifths with the
-probability that one of six segments differs by at most one bit, and is meant for filtering.
+For filtering, ``near_duplicates(wide=True)`` compares the shingles themselves, see ``overlap``.
 
 Only distinct fingerprints are indexed, so exact copies never meet each other. A signature
 that more than ``BLOCK`` fingerprints share is worked off in pairs of blocks, each of bounded
@@ -30,6 +28,7 @@ from pyspark.sql import functions as F
 
 from orderloom.llm.common import map_rows, table, text_of
 from orderloom.llm.components import components
+from orderloom.llm.overlap import near_copies
 from orderloom.session import materialize
 
 SHINGLE_WORDS = 4
@@ -37,47 +36,39 @@ MAX_BITS = 4
 SEED = 42
 # First bit and length of each segment of a 64-bit word; MAX_BITS // len(SEGMENTS) must be 1.
 SEGMENTS = ((0, 21), (21, 21), (42, 22))
-# The wide form: five-word shingles, two words, and a distance that nine of ten pairs at a similarity of 0.8 keep to.
-WIDE_SHINGLE_WORDS = 5
-WIDE_BITS = 24
 BLOCK = 2048
 _CHUNK = 1 << 16
 
 
-def fingerprint(text: str, width: int = SHINGLE_WORDS, wide: bool = False) -> tuple[int, ...]:
+def fingerprint(text: str, width: int = SHINGLE_WORDS) -> tuple[int, ...]:
     """SimHash of the text's shingles of ``width`` words, repeats included, as signed 64-bit words."""
     import xxhash
 
     words = text.encode().lower().split()  # bytes: only A-Z change, only ASCII white space splits
-    size = 16 if wide else 8
     if not words:
-        return (0,) * (size // 8)
+        return (0,)
     if len(words) < width:
         words, width = [b" ".join(words)], 1
-    total, counts = len(words) - width + 1, np.zeros(8 * size, "i8")
-    digest = xxhash.xxh3_128_digest if wide else xxhash.xxh64_digest
+    total, counts = len(words) - width + 1, np.zeros(64, "i8")
     for start in range(0, total, _CHUNK):
         part = words[start : start + _CHUNK + width - 1]
         # Digests are big-endian: reversed, bit k of the number is bit k of the array.
-        hashes = b"".join([digest(b" ".join(s), SEED) for s in zip(*(part[k:] for k in range(width)))])
-        rows = np.frombuffer(hashes, "u1").reshape(-1, size)[:, ::-1]
+        hashes = b"".join([xxhash.xxh64_digest(b" ".join(s), SEED) for s in zip(*(part[k:] for k in range(width)))])
+        rows = np.frombuffer(hashes, "u1").reshape(-1, 8)[:, ::-1]
         counts += np.unpackbits(rows, axis=1, bitorder="little").sum(0, dtype="i8")
     return tuple(np.packbits(counts * 2 > total, bitorder="little").view("<i8").tolist())
 
 
 def fingerprints(
-    df: DataFrame, id_column: str = "doc_id", text_column: str = "text", width: int = SHINGLE_WORDS, wide: bool = False
+    df: DataFrame, id_column: str = "doc_id", text_column: str = "text", width: int = SHINGLE_WORDS
 ) -> DataFrame:
-    """``id, print`` per row, and ``print2`` if wide; prints are signed longs."""
+    """``id, print`` per row; prints are signed longs."""
     kind = df.schema[id_column].dataType.simpleString()
-    names = ["print", "print2"][: 1 + wide]
 
     def run(columns):
-        found = [fingerprint(t, width, wide) for t in columns["text"]]
-        return {id_column: columns[id_column]} | {n: [f[k] for f in found] for k, n in enumerate(names)}
+        return {id_column: columns[id_column], "print": [fingerprint(t, width)[0] for t in columns["text"]]}
 
-    schema = ", ".join([f"`{id_column}` {kind}", *(f"{n} bigint" for n in names)])
-    return map_rows(df.select(id_column, text_of(text_column).alias("text")), run, schema)
+    return map_rows(df.select(id_column, text_of(text_column).alias("text")), run, f"`{id_column}` {kind}, print bigint")
 
 
 def _words(df: DataFrame) -> list[str]:
@@ -186,14 +177,16 @@ def near_duplicates(
 ) -> DataFrame:
     """``id, print, component_id`` per row; the component is its smallest id, over any chain of links.
 
-    ``wide`` links by the wide form: five-word shingles with a similarity of about 0.8 or more.
+    ``wide`` links texts of which four fifths of the five-word shingles agree, and has ``node`` for
+    ``print``; ids must then be neither null nor repeated.
     """
-    width, bits = (WIDE_SHINGLE_WORDS, WIDE_BITS) if wide else (SHINGLE_WORDS, MAX_BITS)
-    printed = materialize(fingerprints(df, id_column, text_column, width, wide), "fingerprints")
+    if wide:
+        return near_copies(df, id_column, text_column)
+    printed = materialize(fingerprints(df, id_column, text_column), "fingerprints")
     words = _words(printed)
     classes = materialize(printed.groupBy(*words).agg(F.min(id_column).alias("least")), "fingerprint-classes")
     node = F.col("print") if len(words) == 1 else F.xxhash64(*words)
-    member = components(links(classes.select(*words), bits=bits))
+    member = components(links(classes.select(*words)))
     joined = classes.withColumn("node", node).join(member, "node", "left")
     joined = joined.withColumn("component", F.coalesce("component", "node"))
     least = joined.groupBy("component").agg(F.min("least").alias("component_id"))
