@@ -128,20 +128,31 @@ def _exact(queries: np.ndarray, vectors: np.ndarray) -> np.ndarray:
 def _best(
     query_ids: np.ndarray, queries: np.ndarray, ids: np.ndarray, vectors: np.ndarray, least: np.ndarray, wanted: int
 ) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Per query its best ``wanted`` of these vectors among those that reach ``least``."""
+    """Per query its best ``wanted`` ids, with their best scores, of these vectors that reach ``least``.
+
+    A repeated id counts once towards the wanted ones, and the query's own id not at all.
+    """
     out = [], [], []
+    order = np.argsort(ids, kind="stable")
+    ids, vectors = ids[order], vectors[order]
+    names, firsts = np.unique(ids, return_index=True)
     step = max(1, (1 << 22) // max(1, len(ids)))
     for start in range(0, len(queries), step):
         part = slice(start, start + step)
         rough = queries[part] @ vectors.T
         room = 1e-9 * (1 + np.abs(rough).max(initial=0))
         bar = least[part] - room
-        if len(ids) > wanted:
-            bar = np.maximum(bar, np.partition(rough, -wanted - 1, axis=1)[:, -wanted - 1] - room)
-        row, column = np.nonzero(rough >= bar[:, None])
-        other = query_ids[part][row] != ids[column]
-        row, column = row[other], column[other]
+        rough[query_ids[part][:, None] == ids[None, :]] = -np.inf
+        if len(names) > wanted:
+            best = np.maximum.reduceat(rough, firsts, axis=1) if len(names) < len(ids) else rough
+            bar = np.maximum(bar, np.partition(best, -wanted, axis=1)[:, -wanted] - room)
+        row, column = np.nonzero((rough >= bar[:, None]) & (rough > -np.inf))
         score = _exact(queries[part][row], vectors[column])
+        # The best score of each id, which comes first, stays.
+        order = np.lexsort((-score, ids[column], row))
+        row, column, score = row[order], column[order], score[order]
+        once = np.r_[True, (np.diff(row) != 0) | (np.diff(ids[column]) != 0)][: len(row)]
+        row, column, score = row[once], column[once], score[once]
         order = np.lexsort((ids[column], -score, row))
         row, column, score = row[order], column[order], score[order]
         rank = np.arange(len(row)) - np.searchsorted(row, row)
@@ -175,7 +186,9 @@ def _stored(df: DataFrame, id_column: str, embedding: str) -> tuple[DataFrame, s
         }
 
     kept = rows.where(F.size("e") == size).select("vec_id", F.xxhash64(F.lit(SEED), "vec_id").alias("tie"), "e")
-    return materialize(map_rows(kept, pack, "vec_id bigint, tie bigint, v binary"), "vectors"), kind, size
+    # Repeated rows are settled here, so that copies of one id cannot fill a block.
+    packed = map_rows(kept, pack, "vec_id bigint, tie bigint, v binary").dropDuplicates(["vec_id", "v"])
+    return materialize(packed, "vectors"), kind, size
 
 
 def _indexed(stored: DataFrame, curves, kind: str, numbers: range) -> DataFrame:

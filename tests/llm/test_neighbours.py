@@ -92,3 +92,26 @@ def test_query_equals_its_sql(spark):
     got = nn.op4_neighbours(spark, "/root/testdata/sf0.001")
     assert got.columns == ["query_id", "rank", "vec_id", "score"]
     assert sorted(map(tuple, got.collect())) == sorted(connection.execute(nn.OP4_SQL).fetchall())
+
+
+def test_many_vectors_of_one_id_hide_no_other_id(spark, monkeypatch):
+    monkeypatch.setattr(nn, "BLOCK_ROWS", 60)
+    rnd = np.random.default_rng(5)
+    rows = [(k, rnd.normal(size=8).tolist()) for k in range(1, 200)] * 2
+    near, own = rnd.normal(size=8), rnd.normal(size=8)
+    rows += [(0, near.tolist()), (1001, (3 * near).tolist())] + [(1001, (3 * near).tolist())] * 30
+    rows += [(1003, (2 * near + 0.01 * rnd.normal(size=8)).tolist()) for _ in range(40)]
+    rows += [(500, (own + 0.01 * rnd.normal(size=8)).tolist()) for _ in range(40)]
+    best = {}
+    for q, v in rows:
+        for k, w in rows:
+            if q % 20 == 0 and k != q:
+                score = 0.0
+                for a, b in zip(v, w):
+                    score += float(np.float32(a)) * float(np.float32(b))
+                best.setdefault(q, {})[k] = max(best.get(q, {}).get(k, -math.inf), score)
+    expected = [
+        (q, n + 1, k, s) for q, found in best.items()
+        for n, (k, s) in enumerate(sorted(found.items(), key=lambda x: (-x[1], x[0]))[:20])
+    ]
+    assert sorted(map(tuple, nn.nearest(frame(spark, rows)).collect())) == sorted(expected)
