@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from orderloom.llm.bpe_trie import op1_bpe_trie
 from orderloom.llm.context_mixing import op5_context_mixing
+from orderloom.llm.conversation_trie import OP11_SQL, op11_conversation_trie
 from orderloom.llm.decontamination import op3_decontamination
 from orderloom.llm.neighbours import OP4_SQL, op4_neighbours
 from orderloom.llm.quality import op2_quality
@@ -34,8 +35,9 @@ def queries() -> dict[str, Query]:
         "op8_token_counts": op8_token_counts,
         "op9_sharding": op9_sharding,
         "op10_warc": op10_warc,
+        "op11_conversation_trie": op11_conversation_trie,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op4_neighbours": OP4_SQL, "op10_warc": OP10_SQL}
+    return {"op4_neighbours": OP4_SQL, "op10_warc": OP10_SQL, "op11_conversation_trie": OP11_SQL}
