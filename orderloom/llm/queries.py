@@ -11,6 +11,7 @@ from orderloom.llm.bpe_trie import op1_bpe_trie
 from orderloom.llm.context_mixing import op5_context_mixing
 from orderloom.llm.conversation_trie import OP11_SQL, op11_conversation_trie
 from orderloom.llm.decontamination import op3_decontamination
+from orderloom.llm.deobfuscation import op12_personal_data
 from orderloom.llm.neighbours import OP4_SQL, op4_neighbours
 from orderloom.llm.quality import op2_quality
 from orderloom.llm.secrets import op6_secrets
@@ -36,6 +37,7 @@ def queries() -> dict[str, Query]:
         "op9_sharding": op9_sharding,
         "op10_warc": op10_warc,
         "op11_conversation_trie": op11_conversation_trie,
+        "op12_personal_data": op12_personal_data,
     }
 
 
