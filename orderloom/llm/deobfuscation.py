@@ -126,7 +126,6 @@ def _glyphs() -> dict[str, str]:
 
 
 GLYPHS = _glyphs()
-GLYPH_RUN = re.compile("[" + re.escape("".join(GLYPHS)) + "]")
 
 # The digits in four languages, nought first, and the words for the two signs.
 SPELLED = (
@@ -136,15 +135,16 @@ SPELLED = (
     "cero uno dos tres cuatro cinco seis siete ocho nueve",
 )
 DIGIT_OF = {word: str(k) for line in SPELLED for k, word in enumerate(line.split())}
-AT_WORDS, DOT_WORDS, PLUS_WORDS = "at|arroba|ät", "dot|punto|punkt|point", "plus|más"
+AT_WORDS, DOT_WORDS, PLUS_WORDS = "at|arroba|ät", "dot|punto|punkt|point", ("plus", "más")
+JOINS = " -"
 
-_word = "|".join(sorted(DIGIT_OF, key=len, reverse=True))
-DIGITS = re.compile(rf"(?:(?:{PLUS_WORDS})[\x20-])?\b(?:{_word})(?:[\x20-](?:{_word}))*\b", re.IGNORECASE)
 _open, _close = r"\x20{0,2}[\[({<]\x20?", r"\x20?[\])}>]\x20{0,2}"
 DOT = rf"(?:{_open}(?:{DOT_WORDS}|\.){_close}|\x20?[\x20_-](?:{DOT_WORDS})[\x20_-]\x20?)"
 AT = rf"(?:{_open}(?:{AT_WORDS}|@){_close})"
-BARE_AT = rf"(?:\x20?[\x20_-](?:{AT_WORDS})[\x20_-]\x20?)(?=[A-Za-z0-9-]{{1,63}}{DOT}[A-Za-z0-9])"
-SIGNS = re.compile(rf"(?<=[A-Za-z0-9])(?:({AT}|{BARE_AT})|{DOT})(?=[A-Za-z0-9])", re.IGNORECASE)
+BARE_AT = rf"(?:\x20?[\x20_-](?:{AT_WORDS})[\x20_-]\x20?)(?=[a-z0-9-]{{1,63}}{DOT}[a-z0-9])"
+SIGNS = re.compile(rf"(?:({AT}|{BARE_AT})|{DOT})(?=[a-z0-9])")
+# No sign can be there without one of these.
+SIGN_MARKS = (*"[({<", *DOT_WORDS.split("|"))
 
 
 class Rewritten:
@@ -192,21 +192,57 @@ class Rewritten:
         return False
 
 
+def _small_letters(text: str) -> str:
+    """Lower case of the same length; the one letter that would become two is replaced first."""
+    return text.replace("\u0130", "i").lower()
+
+
 def _plain_glyphs(text: str) -> list[tuple[int, int, str]]:
-    return [] if text.isascii() else [(*m.span(), GLYPHS[m[0]]) for m in GLYPH_RUN.finditer(text)]
+    odd = "" if text.isascii() else "".join(sorted(GLYPHS.keys() & set(text)))
+    if not odd:
+        return []
+    return [(*m.span(), GLYPHS[m[0]]) for m in re.finditer(f"[{re.escape(odd)}]", text)]
 
 
 def _digits(text: str) -> list[tuple[int, int, str]]:
-    out = []
-    for m in DIGITS.finditer(text):
-        words = m[0].lower().replace("-", " ").split(" ")
-        by = "".join(DIGIT_OF.get(word, "+") for word in words)
-        out.append((*m.span(), by))
+    """Runs of digit words that one blank or hyphen joins, with a plus word before them."""
+    small = _small_letters(text)
+    hits = []
+    for word, digit in DIGIT_OF.items():
+        at = small.find(word)
+        while at >= 0:
+            end = at + len(word)
+            if not (small[at - 1 : at].isalnum() or small[end : end + 1].isalnum()):
+                hits.append((at, end, digit))
+            at = small.find(word, end)
+    out: list[tuple[int, int, str]] = []
+    run: list[str] = []
+    start = last = -1
+    for at, end, digit in [*sorted(hits), (len(text) + 2, -1, "")]:
+        if run and at == last + 1 and small[last] in JOINS:
+            run.append(digit)
+        else:
+            if run:
+                plus = next((w for w in PLUS_WORDS if small.endswith((f"{w} ", f"{w}-"), max(0, start - len(w) - 1), start)), None)
+                plus = None if plus is None or small[max(0, start - len(plus) - 2) : start - len(plus) - 1].isalnum() else plus
+                out.append((start - (len(plus) + 1 if plus else 0), last, ("+" if plus else "") + "".join(run)))
+            run, start = [digit], at
+        last = end
     return out
 
 
 def _signs(text: str) -> list[tuple[int, int, str]]:
-    return [(*m.span(), "@" if m[1] else ".") for m in SIGNS.finditer(text)]
+    small = _small_letters(text)
+    if not any(mark in small for mark in SIGN_MARKS):
+        return []
+    out, match = [], SIGNS.search(small)
+    while match:
+        at = match.start()
+        stands = small[at - 1 : at].isascii() and small[at - 1 : at].isalnum()
+        if stands:
+            out.append((*match.span(), "@" if match[1] else "."))
+        match = SIGNS.search(small, match.end() if stands else at + 1)
+    return out
 
 
 TRANSDUCERS = (_plain_glyphs, _digits, _signs)

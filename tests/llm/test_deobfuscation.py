@@ -47,7 +47,7 @@ def made_texts(seed, n):
 
 
 def test_base_spans_equal_the_patterns(spark, documents, folder):
-    rows = [*enumerate(made_texts(5, 1500)), (9000, None), (9001, ""), (9001, ""), (None, "mail a@b.cd"), (9002, "1" * 30_000 + " a@b.c")]
+    rows = [*enumerate(made_texts(5, 1500)), (9000, None), (9001, ""), (9001, ""), (None, "mail a@b.cd"), (9002, "1" * 3_000 + " a@b.c")]
     df = documents(*rows).selectExpr("*", "'x' as id", "1 as found", "2 as spans")
     got = pii.op12_personal_data(spark, folder(documents=df)).collect()
     expected = []
@@ -55,11 +55,12 @@ def test_base_spans_equal_the_patterns(spark, documents, folder):
         spans = plain_base(text or "")
         counts = [sum(k == kind for _, k, _ in spans) for kind in range(4)]
         expected.append((key, *counts, hashlib.sha256(listed(spans).encode()).hexdigest()))
+    texts = dict(rows)
     shown = [(r.doc_id, r.n_email, r.n_ip, r.n_card, r.n_phone, r.base_sha256) for r in got]
     assert sorted(shown, key=str) == sorted(expected, key=str)
     for r in got:
         spans = set(filter(None, r.spans.split(",")))
-        assert {s for s in listed(plain_base(dict(rows)[r.doc_id] or "")).split(",") if s} <= spans and r.n_spans == len(spans)
+        assert {s for s in listed(plain_base(texts[r.doc_id] or "")).split(",") if s} <= spans and r.n_spans == len(spans)
 
 
 def added(text):
