@@ -8,6 +8,7 @@ import corpus_pipeline
 from pyspark.sql import DataFrame, SparkSession
 
 from orderloom.llm.bpe_trie import op1_bpe_trie
+from orderloom.llm.collocations import OP13_SQL, op13_collocations
 from orderloom.llm.context_mixing import op5_context_mixing
 from orderloom.llm.conversation_trie import OP11_SQL, op11_conversation_trie
 from orderloom.llm.decontamination import op3_decontamination
@@ -38,8 +39,14 @@ def queries() -> dict[str, Query]:
         "op10_warc": op10_warc,
         "op11_conversation_trie": op11_conversation_trie,
         "op12_personal_data": op12_personal_data,
+        "op13_collocations": op13_collocations,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op4_neighbours": OP4_SQL, "op10_warc": OP10_SQL, "op11_conversation_trie": OP11_SQL}
+    return {
+        "op4_neighbours": OP4_SQL,
+        "op10_warc": OP10_SQL,
+        "op11_conversation_trie": OP11_SQL,
+        "op13_collocations": OP13_SQL,
+    }
