@@ -5,13 +5,13 @@ padded at the piece's end. Only these longest windows are counted. ROLLUP over t
 then sums the counts of ever shorter prefixes: a phrase occurs as often as windows begin with it,
 so one pass of counting gives all phrases of one to five words, and its grand total all words.
 
-A window is cut, that is padded further, before its first word or neighbouring pair that surely
-occurs less than ``LEAST`` times: no phrase across that place can be a candidate or part of one, and
-the counts of all others stay exact. What is surely rare, a filter says: each word and pair of a
-language falls into one of ``2 ** FILTER_BITS`` buckets, whose counts are summed over all documents
-and stop at ``LEAST``. The filter is a bitmap of 32 MB at any input size, so sending it is bounded.
-On far more text than buckets it rules out less and more of each window is shuffled; results do not
-depend on it.
+A window is cut, that is padded further, where the phrase up to there surely occurs less than
+``LEAST`` times: no phrase beyond that place can be a candidate or part of one, and the counts of
+all others stay exact. What is surely rare, two filters say, one on words and neighbouring pairs,
+the next on the phrases of three to five words that the first one leaves: each phrase of a language
+falls into one of ``2 ** FILTER_BITS`` buckets, whose counts are summed over all documents and stop
+at ``LEAST``. A filter is a bitmap of 32 MB at any input size, so sending it is bounded. On far more
+text than buckets it rules out less and more of each window is shuffled; results do not depend on it.
 
 Tasks read whole texts in parts of about ``PART`` bytes, carry the last four words over, and let
 their window counts go once there are ``HELD`` of them, so neither a text nor a corpus is held. All
@@ -47,7 +47,7 @@ FILTER_BITS = 28
 #: Buckets that travel together.
 BLOCK_BITS = 16
 #: Bytes of a text read at a time, window counts held by a task, words whose hash a task remembers.
-PART, HELD, REMEMBERED = 1 << 20, 400_000, 500_000
+PART, HELD, REMEMBERED = 1 << 20, 400_000, 300_000
 #: Bucket hits that are sorted and counted together.
 HITS = 4_000_000
 
@@ -99,13 +99,18 @@ class _Hashes(dict):
         return value
 
 
-def _buckets(words: np.ndarray, language: int) -> tuple[np.ndarray, np.ndarray]:
-    """The bucket of every word, and of every word with its next; where either is a break they say nothing."""
-    at = words * _ODD[0] ^ np.uint64(language)
+def _levels(words: np.ndarray, language: int) -> list[np.ndarray]:
+    """Buckets of the phrases of one to ``LONGEST`` words from every place on; meaningless across a break or the end."""
     shift = np.uint64(64 - FILTER_BITS)
-    single = (at ^ at >> np.uint64(31)) * _ODD[1] >> shift
-    pair = at[:-1] * _ODD[2] + at[1:]
-    return single, (pair ^ pair >> np.uint64(31)) * _ODD[1] >> shift
+    at = words * _ODD[0] ^ np.uint64(language)
+    phrase, out = at, []
+    for k in range(LONGEST):
+        if k:
+            following = np.zeros_like(at)
+            following[: max(0, len(at) - k)] = at[k:]
+            phrase = (phrase ^ phrase >> np.uint64(31)) * _ODD[2] + following
+        out.append(((phrase ^ phrase >> np.uint64(31)) * _ODD[1] >> shift).astype("u4"))
+    return out
 
 
 def _language(name: str) -> int:
@@ -118,36 +123,74 @@ def _rows(batches: Batches) -> Iterator[tuple[str, str]]:
             yield batch.column(0)[k].as_py(), batch.column(1)[k].as_py()
 
 
-# --- the filter -----------------------------------------------------------------------------------
+# --- the filters ----------------------------------------------------------------------------------
+
+
+def _passes(bitmap: np.ndarray, bucket: np.ndarray) -> np.ndarray:
+    return (bitmap[bucket >> np.uint32(3)] >> (bucket & np.uint32(7)).astype("u1")) & 1 == 1
+
+
+def _lengths(words: np.ndarray, levels: list[np.ndarray], short: np.ndarray, long: np.ndarray | None = None) -> np.ndarray:
+    """Per word how many words its window keeps, 0 where the word itself is rare; -1 at breaks.
+
+    The bitmap ``short`` judges words and pairs, ``long`` the phrases of three words and more.
+    """
+    is_word = words > 0
+    alone = is_word.copy()
+    alone[is_word] = _passes(short, levels[0][is_word])
+    joined = np.zeros(len(words) + LONGEST, bool)
+    joined[: len(words) - 1] = alone[:-1] & alone[1:]
+    pairs = np.flatnonzero(joined)
+    joined[pairs] = _passes(short, levels[1][pairs])
+    lengths, going = alone.astype("i1"), alone
+    for k in range(LONGEST - 1):
+        going = going & joined[k : k + len(words)]
+        lengths += going
+    for k in range(3, LONGEST + 1) if long is not None else ():
+        reach = np.flatnonzero(lengths >= k)
+        lengths[reach[~_passes(long, levels[k - 1][reach])]] = k - 1
+    lengths[~is_word] = -1
+    return lengths
+
 
+def _bucket_counts(short: Callable[[], bytes] | None = None) -> Callable[[Batches], Batches]:
+    """``block, places, counts``: hit buckets and how often, up to LEAST, a block of buckets per row.
 
-def _bucket_counts(batches: Batches) -> Batches:
-    """``block, places, counts``: hit buckets and how often, up to LEAST, a block of buckets per row."""
-    hashes, hits, waiting = _Hashes(), [], 0
+    Words and pairs are counted first; with their filter, the phrases of three words and more it leaves.
+    """
 
-    def counted() -> pa.RecordBatch:
+    def counted(hits: list[np.ndarray]) -> pa.RecordBatch:
         buckets, counts = np.unique(np.concatenate(hits), return_counts=True)
-        places = (buckets & np.uint64((1 << BLOCK_BITS) - 1)).astype("<u2")
-        block = (buckets >> np.uint64(BLOCK_BITS)).astype("int32")
+        places = (buckets & np.uint32((1 << BLOCK_BITS) - 1)).astype("<u2")
+        block = (buckets >> np.uint32(BLOCK_BITS)).astype("int32")
         counts = np.minimum(counts, LEAST).astype("u1")
         starts = np.flatnonzero(np.concatenate(([True], block[1:] != block[:-1])))
         cut = lambda a: [x.tobytes() for x in np.split(a, starts[1:])]
         return pa.RecordBatch.from_pydict({"block": pa.array(block[starts]), "places": pa.array(cut(places)), "counts": pa.array(cut(counts))})
 
-    for lang, text in _rows(batches):
-        language = _language(lang)
-        for tokens, fresh in token_runs(text):
-            words = np.fromiter(map(hashes.__getitem__, tokens), "u8", len(tokens))
-            single, pair = _buckets(words, language)
-            is_word = words > 0
-            both = is_word[:-1] & is_word[1:]
-            hits += (single[:fresh][is_word[:fresh]], pair[:fresh][both[:fresh]])
-            waiting += 2 * fresh
-            if waiting >= HITS:
-                yield counted()
-                hits, waiting = [], 0
-    if waiting:
-        yield counted()
+    def run(batches: Batches) -> Batches:
+        bitmap = None if short is None else np.frombuffer(short(), "u1")
+        hashes, hits, waiting = _Hashes(), [], 0
+        for lang, text in _rows(batches):
+            language = _language(lang)
+            for tokens, fresh in token_runs(text):
+                words = np.fromiter(map(hashes.__getitem__, tokens), "u8", len(tokens))
+                levels = _levels(words, language)
+                if bitmap is None:
+                    is_word = words > 0
+                    new = [levels[0][:fresh][is_word[:fresh]], levels[1][:-1][:fresh][(is_word[:-1] & is_word[1:])[:fresh]]]
+                else:
+                    lengths = _lengths(words, levels, bitmap)[:fresh]
+                    new = [levels[k - 1][:fresh][lengths >= k] for k in range(3, LONGEST + 1)]
+                hits += new
+                waiting += sum(map(len, new))
+                if waiting >= HITS:
+                    yield counted(hits)
+                    hits, waiting = [], 0
+        if waiting:
+            yield counted(hits)
+
+    return run
 
 
 def _block_bits(batches: Batches) -> Batches:
@@ -171,9 +214,9 @@ def _block_bits(batches: Batches) -> Batches:
         yield done()
 
 
-def frequent_filter(texts: DataFrame) -> Callable[[], bytes]:
-    """The bitmap of buckets that ``LEAST`` words or pairs fall into, for all executors."""
-    counts = texts.mapInArrow(_bucket_counts, "block int, places binary, counts binary")
+def frequent_filter(texts: DataFrame, short: Callable[[], bytes] | None = None) -> Callable[[], bytes]:
+    """The bitmap of buckets that ``LEAST`` of the phrases in question fall into, for all executors."""
+    counts = texts.mapInArrow(_bucket_counts(short), "block int, places binary, counts binary")
     merged = counts.repartition("block").sortWithinPartitions("block").mapInArrow(_block_bits, "block int, bits binary")
     size = 1 << BLOCK_BITS - 3
     bitmap = bytearray(1 << FILTER_BITS - 3)
@@ -186,27 +229,9 @@ def frequent_filter(texts: DataFrame) -> Callable[[], bytes]:
 # --- the windows ----------------------------------------------------------------------------------
 
 
-def _lengths(words: np.ndarray, language: int, bitmap: np.ndarray) -> np.ndarray:
-    """Per word how many words its window keeps, 0 where the word itself is rare; -1 at breaks."""
-    is_word = words > 0
-    single, pair = _buckets(words, language)
-    ok = lambda bucket: (bitmap[bucket >> np.uint64(3)] >> (bucket & np.uint64(7)).astype("u1")) & 1 == 1
-    alone = is_word & ok(single)
-    joined = alone[:-1] & alone[1:]
-    joined[joined] = ok(pair[joined])
-    joined = np.concatenate((joined, np.zeros(LONGEST, bool)))
-    lengths = alone.astype("i1")
-    going = alone
-    for k in range(LONGEST - 1):
-        going = going & joined[k : k + len(words)]
-        lengths += going
-    lengths[~is_word] = -1
-    return lengths
-
-
-def _windows(filter_: Callable[[], bytes]) -> Callable[[Batches], Batches]:
+def _windows(short: Callable[[], bytes], long: Callable[[], bytes]) -> Callable[[Batches], Batches]:
     def run(batches: Batches) -> Batches:
-        bitmap = np.frombuffer(filter_(), "u1")
+        bitmaps = [np.frombuffer(f(), "u1") for f in (short, long)]
         hashes, counts, held = _Hashes(), {}, 0
 
         def flushed() -> pa.RecordBatch:
@@ -223,11 +248,11 @@ def _windows(filter_: Callable[[], bytes]) -> Callable[[Batches], Batches]:
             before = len(of)
             for tokens, fresh in token_runs(text):
                 words = np.fromiter(map(hashes.__getitem__, tokens), "u8", len(tokens))
-                lengths = _lengths(words, language, bitmap)[:fresh]
+                lengths = _lengths(words, _levels(words, language), *bitmaps)[:fresh]
                 of[b""] += int((lengths == 0).sum())
                 of.update([tokens[k] for k in np.flatnonzero(lengths == 1).tolist()])
-                long = np.flatnonzero(lengths > 1)
-                of.update([b" ".join(tokens[a:b]) for a, b in zip(long.tolist(), (long + lengths[long]).tolist(), strict=True)])
+                several = np.flatnonzero(lengths > 1)
+                of.update([b" ".join(tokens[a:b]) for a, b in zip(several.tolist(), (several + lengths[several]).tolist(), strict=True)])
             held += len(of) - before
             if held >= HELD:
                 yield flushed()
@@ -244,7 +269,8 @@ def phrase_counts(df: DataFrame, text_column: str = "text", lang_column: str = "
     The row with 0 words has the number of all words of the language.
     """
     texts = df.select(F.coalesce(F.col(lang_column).cast("string"), F.lit(UNKNOWN)).alias("lang"), text_of(text_column).alias("text"))
-    windows = texts.mapInArrow(_windows(frequent_filter(texts)), "lang string, window string, n bigint")
+    short = frequent_filter(texts)
+    windows = texts.mapInArrow(_windows(short, frequent_filter(texts, short)), "lang string, window string, n bigint")
     split = F.split("window", " ")
     padded = windows.select("lang", "n", *(F.coalesce(F.get(split, F.lit(k)), F.lit("")).alias(w) for k, w in enumerate(W)))
     rolled = padded.rollup("lang", *W).agg(F.sum("n").alias("f"), F.grouping_id().alias("gone"))

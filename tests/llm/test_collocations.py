@@ -88,13 +88,18 @@ def test_cut_windows_keep_all_frequent_counts(monkeypatch, bits):
     for name, value in {"FILTER_BITS": bits, "BLOCK_BITS": min(bits, 16) - 2, "PART": 40, "HELD": 50, "REMEMBERED": 9, "HITS": 500, "LEAST": 20}.items():
         monkeypatch.setattr(col, name, value)
     batch = pa.RecordBatch.from_arrays([pa.array([r[2] or "und" for r in rows]), pa.array([r[1] for r in rows])], names=["lang", "text"])
-    counts = pa.Table.from_batches(col._bucket_counts([batch])).sort_by("block").combine_chunks()
-    size, bitmap = 1 << col.BLOCK_BITS - 3, bytearray(1 << bits - 3)
-    for piece in col._block_bits(counts.to_batches()):
-        for block, found in zip(piece.column(0).to_pylist(), piece.column(1).to_pylist(), strict=True):
-            bitmap[block * size : (block + 1) * size] = found
+
+    def bitmap(short=None):
+        counts = pa.Table.from_batches(col._bucket_counts(short)([batch])).sort_by("block").combine_chunks()
+        size, found = 1 << col.BLOCK_BITS - 3, bytearray(1 << bits - 3)
+        for piece in col._block_bits(counts.to_batches()):
+            for block, held in zip(piece.column(0).to_pylist(), piece.column(1).to_pylist(), strict=True):
+                found[block * size : (block + 1) * size] = held
+        return lambda: bytes(found)
+
+    short = bitmap()
     prefixes, total = Counter(), Counter()
-    for out in col._windows(lambda: bytes(bitmap))([batch]):
+    for out in col._windows(short, bitmap(short))([batch]):
         for lang, window, n in zip(*(c.to_pylist() for c in out.columns), strict=True):
             words = tuple(window.split(" ")) if window else ()
             total[lang] += n
