@@ -26,6 +26,7 @@ order. An empty table, or one without frequent phrases, gives no rows. Other col
 
 from __future__ import annotations
 
+import zlib
 from collections import Counter
 from collections.abc import Callable, Iterator
 
@@ -48,6 +49,8 @@ FILTER_BITS = 28
 BLOCK_BITS = 16
 #: Bytes of a text read at a time, window counts held by a task, words whose hash a task remembers.
 PART, HELD, REMEMBERED = 1 << 20, 400_000, 300_000
+#: Groups that windows are merged in, by their first word.
+GROUPS = 1024
 #: Bucket hits that are sorted and counted together.
 HITS = 4_000_000
 
@@ -235,12 +238,19 @@ def _windows(short: Callable[[], bytes], long: Callable[[], bytes]) -> Callable[
         hashes, counts, held = _Hashes(), {}, 0
 
         def flushed() -> pa.RecordBatch:
-            rows = [(lang, window, n) for lang, of in counts.items() for window, n in of.items()]
+            """A row per group of first words, its windows sorted: neighbours share their front and compress well."""
+            groups: dict[int, list] = {}
+            for lang, of in counts.items():
+                for window, n in of.items():
+                    first = window.partition(b" ")[0]
+                    groups.setdefault(zlib.crc32(first) % GROUPS, []).append((lang, window.decode("utf-8", "surrogatepass"), n))
             counts.clear()
+            for rows in groups.values():
+                rows.sort()
+            column = lambda k, kind: pa.array([[r[k] for r in rows] for rows in groups.values()], pa.list_(kind))
             return pa.RecordBatch.from_pydict({
-                "lang": pa.array([r[0] for r in rows], pa.string()),
-                "window": pa.array([r[1].decode("utf-8", "surrogatepass") for r in rows], pa.string()),
-                "n": pa.array([r[2] for r in rows], pa.int64()),
+                "part": pa.array(list(groups), pa.int32()), "langs": column(0, pa.string()),
+                "windows": column(1, pa.string()), "counts": column(2, pa.int64()),
             })
 
         for lang, text in _rows(batches):
@@ -263,6 +273,28 @@ def _windows(short: Callable[[], bytes], long: Callable[[], bytes]) -> Callable[
     return run
 
 
+def _merged(batches: Batches) -> Batches:
+    """``lang, window, n`` of the groups of a partition that is sorted by group, a window once unless ``HELD`` are passed."""
+    part, sums = None, Counter()
+
+    def done() -> pa.RecordBatch:
+        keys = list(sums)
+        out = [pa.array([k[0] for k in keys], pa.string()), pa.array([k[1] for k in keys], pa.string()), pa.array(list(sums.values()), pa.int64())]
+        sums.clear()
+        return pa.RecordBatch.from_arrays(out, names=["lang", "window", "n"])
+
+    for batch in batches:
+        for k in range(batch.num_rows):
+            row = [column[k].as_py() for column in batch.columns]
+            if sums and (row[0] != part or len(sums) >= HELD):
+                yield done()
+            part = row[0]
+            for lang, window, n in zip(*row[1:], strict=True):
+                sums[lang, window] += n
+    if sums:
+        yield done()
+
+
 def phrase_counts(df: DataFrame, text_column: str = "text", lang_column: str = "lang") -> DataFrame:
     """``lang, words, phrase, f``: phrases of one to five words with at least ``LEAST`` occurrences.
 
@@ -270,7 +302,10 @@ def phrase_counts(df: DataFrame, text_column: str = "text", lang_column: str = "
     """
     texts = df.select(F.coalesce(F.col(lang_column).cast("string"), F.lit(UNKNOWN)).alias("lang"), text_of(text_column).alias("text"))
     short = frequent_filter(texts)
-    windows = texts.mapInArrow(_windows(short, frequent_filter(texts, short)), "lang string, window string, n bigint")
+    found = texts.mapInArrow(
+        _windows(short, frequent_filter(texts, short)), "part int, langs array<string>, windows array<string>, counts array<bigint>"
+    )
+    windows = found.repartition("part").sortWithinPartitions("part").mapInArrow(_merged, "lang string, window string, n bigint")
     split = F.split("window", " ")
     padded = windows.select("lang", "n", *(F.coalesce(F.get(split, F.lit(k)), F.lit("")).alias(w) for k, w in enumerate(W)))
     rolled = padded.rollup("lang", *W).agg(F.sum("n").alias("f"), F.grouping_id().alias("gone"))

@@ -99,7 +99,8 @@ def test_cut_windows_keep_all_frequent_counts(monkeypatch, bits):
 
     short = bitmap()
     prefixes, total = Counter(), Counter()
-    for out in col._windows(short, bitmap(short))([batch]):
+    found = pa.Table.from_batches(col._windows(short, bitmap(short))([batch])).sort_by("part").combine_chunks()
+    for out in col._merged(found.to_batches()):
         for lang, window, n in zip(*(c.to_pylist() for c in out.columns), strict=True):
             words = tuple(window.split(" ")) if window else ()
             total[lang] += n
