@@ -238,6 +238,7 @@ def privacy(dataset: str, source: str, rules: tuple[tuple[str, str], ...]) -> st
         for c, fits in rules
     ]
     parts.append(f"select '{dataset}' AS dataset, 'row_hash' AS column_name, 'missing' AS problem, count_if(row_hash is null) AS row_count from {source}")
+    parts.append(f"select '{dataset}', 'row_hash', 'duplicate', count(*) - (select count(*) from (select distinct row_hash from {source})) from {source}")
     return f"select * from ({' union all '.join(parts)}) where row_count > 0"
 
 
@@ -386,6 +387,17 @@ _SQL: dict[str, str] = {
     "source_batch_diff": """select batch_id, count_if(not contains(source_filename, '20260922_041500')) AS expected_rows, count(*) AS staged_rows
   from oh group by 1 having count_if(not contains(source_filename, '20260922_041500')) <> count(*)""",
     "publish_partition_replace": f"select order_number, unique_sku_code, ordered_quantity, order_date, batch_id, {POSITION} from raw_oh",
+    "duplicate_members": f"""select batch_id, row_hash, count(*) over (partition by batch_id, row_hash) AS copies, {POSITION} from raw_oh
+  qualify copies > 1""",
+    "drift_findings": """select 'order_history' AS dataset, '20260908_020000' AS run, 'missing' AS finding, unnest(['qty_short', 'ord_amt']) AS column_name,
+  'warning' AS status, 0::BIGINT AS filled_rows
+  union all select 'open_orders', '20260915_032626', 'unknown', 'note', 'failed', count(order_number) from oo""",
+    "extract_positions_kept": f"select order_number, {POSITION}, 0::BIGINT AS moved from oh",
+    "file_intake_gated": """select source_filename, CASE WHEN lost > 0 THEN 'failed' WHEN doubled > 0 THEN 'passed_with_warnings' ELSE 'passed' END AS overall_status,
+  row_count, CASE WHEN lost > 0 THEN 'critical_nulls' ELSE '' END AS failed_checks,
+  CASE WHEN lost > 0 THEN 0 ELSE row_count END AS published_rows, CASE WHEN lost > 0 THEN row_count ELSE 0 END AS held_rows
+  from (select source_filename, count(*) AS row_count, count(*) - count(distinct row_hash) AS doubled,
+    count_if(contains(source_filename, '20260922_041500') and ends_with(order_number, '2')) AS lost from raw_oh group by 1)""",
     "file_intake": "select source_filename, count(*) AS row_count from oh group by 1",
     "rows_per_source_file": "select source_filename, count(*) AS row_count from raw_oh group by 1",
     "batch_file_lineage": """select batch_id, source_filename, count(*) AS row_count, min(shipped_date) AS earliest_shipped_date,

@@ -18,6 +18,7 @@ from orderloom.operators.guards import (
     require_unique,
 )
 from orderloom.operators.identities import with_customer_key
+from orderloom.operators.repeats import copies_beyond_first
 from orderloom.spec import INVENTORY, OPEN_ORDERS, ORDER_HISTORY, DatasetSpec
 
 PRODUCT_CODES = (
@@ -25,6 +26,9 @@ PRODUCT_CODES = (
     "pseudo_first_half_sku_code", "pseudo_unique_sku_code",
 )
 
+#: The one finding that does not stop a batch.
+DUPLICATE = "duplicate"
+
 # Name of the working column that carries the salt.
 SALT = "_salt"
 
@@ -184,7 +188,10 @@ def pseudonymize_inventory(inventory: DataFrame, products: DataFrame, salt: str
 
 
 def violations(df: DataFrame, spec: DatasetSpec) -> DataFrame:
-    """Privacy validator: what still looks real, one aggregate over the batch."""
+    """Privacy validator: what still looks real, one aggregate over the batch; and repeated fingerprints.
+
+    Repeats (problem ``duplicate``, copies beyond the first) are reported and stop nothing.
+    """
     require_columns(df, spec.validator_required, spec.name)
     counters = [
         F.struct(
@@ -201,9 +208,11 @@ def violations(df: DataFrame, spec: DatasetSpec) -> DataFrame:
             F.count_if(F.col("row_hash").isNull()).alias("row_count"),
         )
     )
-    return df.agg(F.array(*counters).alias("found")).select(F.lit(spec.name).alias("dataset"), F.inline("found")).where(
-        "row_count > 0"
+    found = df.agg(F.array(*counters).alias("found")).select(F.inline("found"))
+    doubles = copies_beyond_first(df, ["row_hash"]).select(
+        F.lit("row_hash").alias("column_name"), F.lit(DUPLICATE).alias("problem"), F.col("duplicates").alias("row_count")
     )
+    return found.unionByName(doubles).where("row_count > 0").select(F.lit(spec.name).alias("dataset"), "*")
 
 
 def unconfirmed_flags(df: DataFrame, flags: tuple[str, ...]) -> list[Column]:

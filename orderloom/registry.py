@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -11,12 +12,13 @@ from pyspark.sql import types as T
 from orderloom.functions import codes, hashing
 from orderloom.functions.dates import checked_day, checked_short_day
 from orderloom.functions.text import null_if_token
-from orderloom.operators import identities, privacy, publish, quality, standardize
+from orderloom.operators import identities, privacy, publish, quality, reports, standardize
 from orderloom.operators.guards import clean_headers, repeated_keys, unmapped_keys
 from orderloom.operators.numbering import last_sequence
 from orderloom.operators.repeats import line_sequence, repeated_rows
-from orderloom.plans import staging
+from orderloom.plans import jobs, staging
 from orderloom.plans.inputs import DEMO_SALT, RUN_AT, STANDARDIZED, Inputs
+from orderloom.plans.jobs import Workspace
 from orderloom.session import materialize, scratch_path
 from orderloom.sources import readers
 from orderloom.sources import table_extracts as extracts
@@ -29,7 +31,7 @@ from orderloom.spec import (
     ORDER_HISTORY,
     ORDER_HISTORY_HEADERS,
 )
-from orderloom.streaming.intake import run_file_intake
+from orderloom.streaming.intake import quarantined, run_file_intake
 
 Query = Callable[[SparkSession, str], DataFrame]
 _QUERIES: dict[str, Query] = {}
@@ -601,23 +603,73 @@ def _gated(i: Inputs) -> tuple[DataFrame, DataFrame]:
         )
     )
     report = quality.gate(good, ORDER_HISTORY).unionByName(quality.gate(bad, OPEN_ORDERS))
-    report = report.unionByName(quality.gate(stocked, INVENTORY))
-    return batches, quality.rollup(report)
+    return batches, report.unionByName(quality.gate(stocked, INVENTORY))
+
+
+def _saved(i: Inputs) -> tuple[DataFrame, DataFrame]:
+    """The same with the reports as the gate job leaves them: JSON documents, read back."""
+    batches, report = _gated(i)
+    path = scratch_path(i.spark, "reports")
+    reports.save(reports.documents(materialize(report, "report")), path)
+    return batches, reports.read(i.spark, path)
 
 
 @query
 def gate_status(i: Inputs) -> DataFrame:
-    return _gated(i)[1]
+    return quality.rollup(_gated(i)[1])
 
 
 @query
 def authorized_batches(i: Inputs) -> DataFrame:
-    return quality.authorized(*_gated(i))
+    return quality.authorized(*_saved(i))
 
 
 @query
 def publishable_batches(i: Inputs) -> DataFrame:
-    return quality.publishable(*_gated(i))
+    return quality.publishable(*_saved(i))
+
+
+@query
+def duplicate_members(i: Inputs) -> DataFrame:
+    """The gate's export of repeated rows, as written and read again."""
+    path = scratch_path(i.spark, "duplicates")
+    quality.duplicate_members(i.raw_history(), "batch_id").write.parquet(path)
+    return i.spark.read.parquet(path).select("batch_id", "row_hash", "copies", *POSITION)
+
+
+@query
+def drift_findings(i: Inputs) -> DataFrame:
+    """Header findings of two runs, kept next to their data and read back."""
+    space = Workspace(i.spark, scratch_path(i.spark, "space"), DEMO_SALT)
+    history = extracts.coded(i.history(), ORDER_HISTORY_HEADERS)
+    opened = extracts.coded(i.open_orders(), OPEN_ORDERS_HEADERS, {"note": F.when(F.col("ord_no").isNotNull(), "x")})
+    jobs.save_drift(space, history.drop("qty_short", "ord_amt", *POSITION), ORDER_HISTORY, extracts.RUNS["N"])
+    jobs.save_drift(space, opened.drop(*POSITION), OPEN_ORDERS, extracts.RUNS["R"])
+    return space.drift()
+
+
+@query
+def extract_positions_kept(i: Inputs) -> DataFrame:
+    """A whole track from a delimited extract: each published row tells the extract's line it was.
+
+    The delivery route carries a number that rises by one along each file of the extract, and the
+    row's given place; ``moved`` is how far the published position is from that line.
+    """
+    place = F.concat_ws("|", F.monotonically_increasing_id(), *POSITION)
+    rows = i.history(*extracts.ORDER_HISTORY_COLUMNS, *POSITION).withColumn("delivery_route", place).drop(*POSITION)
+    extract = scratch_path(i.spark, "extract")
+    extracts.coded(rows, ORDER_HISTORY_HEADERS).write.option("header", True).csv(extract)
+    space = Workspace(i.spark, scratch_path(i.spark, "space"), DEMO_SALT)
+    jobs.run_track(space, "order_history", extract, RUN_AT, i.categories(), extracts.RUNS["R"])
+    published = space.published("order_history").read()
+    part = lambda k: F.split_part("delivery_route", F.lit("|"), F.lit(k))
+    placed = published.select(
+        "order_number", F.col("source_filename").alias("file"), F.col("source_file_row_number").alias("found"),
+        part(1).cast("bigint").alias("line"), part(2).alias("source_filename"), part(3).cast("bigint").alias("source_file_row_number"),
+    )
+    first = placed.groupBy(F.col("file").alias("f")).agg(F.min("line").alias("first"))
+    moved = F.col("line") - F.col("first") + 1 - F.col("found")
+    return placed.join(first, F.col("file") == F.col("f")).select("order_number", *POSITION, moved.alias("moved"))
 
 
 # --- publication --------------------------------------------------------------------------
@@ -670,6 +722,30 @@ def file_intake(i: Inputs) -> DataFrame:
     return table.read().groupBy("source_filename").agg(F.count("*").alias("row_count"))
 
 
+@query
+def file_intake_gated(i: Inputs) -> DataFrame:
+    """Arriving files, each gated by itself: what each file's report says and how many rows went where."""
+    root = scratch_path(i.spark, "intake")
+    spec = replace(ORDER_HISTORY, gate_patterns=(), gate_required=("order_number", "row_hash"))
+    names = ("order_number", "full_sku_code", "customer_name", "product_description", "product_category", "row_hash", "batch_id", *POSITION)
+    rows = i.raw_history().select(*names)
+    # The correction file lost some order numbers on its way.
+    lost = F.col("source_filename").contains(extracts.CORRECTION_RUN) & F.col("order_number").endswith("2")
+    rows = materialize(rows.withColumn("order_number", F.when(~lost, F.col("order_number"))), "arriving")
+    rows.write.option("header", True).csv(f"{root}/landing")
+    table = publish.CommittedTable(i.spark, root, "order_history", rows.schema)
+    run_file_intake(
+        i.spark, f"{root}/landing", "csv", rows.schema, f"{root}/checkpoint", table, gate=spec, quarantine=f"{root}/held"
+    )
+    held, verdicts = quarantined(i.spark, f"{root}/held")
+    count = lambda df, name: df.groupBy(F.col("source_filename").alias("batch_id")).agg(F.count("*").alias(name))
+    placed = verdicts.join(count(table.read(), "published_rows"), "batch_id", "left").join(count(held, "held_rows"), "batch_id", "left")
+    return placed.select(
+        F.col("batch_id").alias("source_filename"), "overall_status", "row_count", F.array_join("failed_checks", ",").alias("failed_checks"),
+        F.coalesce("published_rows", F.lit(0)).alias("published_rows"), F.coalesce("held_rows", F.lit(0)).alias("held_rows"),
+    )
+
+
 @query
 def rows_per_source_file(i: Inputs) -> DataFrame:
     return staging.rows_per_source_file(i.raw_history())
