@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from orderloom.functions import codes
@@ -398,43 +398,54 @@ def _more_than_one(mapping: DataFrame, one: str, many: str) -> DataFrame:
 
 
 def violations(customers: DataFrame, products: DataFrame) -> DataFrame:
-    """Every broken rule of the two shared mappings with the number of offenders."""
+    """Every broken rule of the two shared mappings with the number of offenders.
+
+    Every row states what each rule has to know of it as (rule, value, partner). One aggregate by
+    value tells whether a rule is broken there, a second one counts: two exchanges for all rules
+    of both mappings, each after partial sums, so a value that many rows share is a row per task.
+    """
     require_columns(customers, CUSTOMER_MAPPING_SCHEMA.names, "customer mapping")
     require_columns(products, [n for n in PRODUCT_MAPPING_SCHEMA.names if n not in ("product_description", "product_category")], "product mapping")
-    plan = (
-        ("customer_mapping", customers, ("customer_hash_key", "pseudo_customer_name"), "customer_hash_key",
-         (("customer_hash_key", "pseudo_customer_name"),),
-         ("pseudo_customer_name", ~F.coalesce(F.col("pseudo_customer_name").startswith(codes.CUSTOMER_PREFIX), F.lit(False)))),
-        ("product_mapping", products,
-         ("full_sku_code", "first_half_sku_code", "unique_sku_code", *PSEUDO_SKU_COLUMNS, "pseudo_category"),
-         "full_sku_code",
-         (("full_sku_code", "pseudo_full_sku_code"), ("first_half_sku_code", "pseudo_first_half_sku_code"),
-          ("unique_sku_code", "pseudo_unique_sku_code")),
-         ("pseudo_product_description", ~F.coalesce(F.col("pseudo_product_description").contains(codes.PRODUCT_MARK), F.lit(False)))),
-    )
-    found = []
-    for label, mapping, no_nulls, unique, pairs, (pattern_column, unlike) in plan:
-        counters = [
-            F.struct(F.lit("null_value").alias("rule"), F.lit(name).alias("column_name"),
-                     F.count_if(F.col(name).isNull()).alias("offenders"))
-            for name in no_nulls
-        ]
-        counters.append(F.struct(F.lit("unlike_pseudonym").alias("rule"), F.lit(pattern_column).alias("column_name"),
-                                 F.count_if(unlike).alias("offenders")))
-        found.append(mapping.agg(F.array(*counters).alias("c")).select(F.lit(label).alias("mapping"), F.inline("c")))
-        found.append(_count_as(mapping.groupBy(unique).count().where("count > 1"), label, "repeated_key", unique))
-        for key, code in pairs:
-            found.append(_count_as(split_identities(mapping, key, code), label, "split_identity", key))
-            found.append(_count_as(identity_collisions(mapping, key, code), label, "identity_collision", code))
-    result = found[0]
-    for part in found[1:]:
-        result = result.unionByName(part)
-    return result.where("offenders > 0")
-
-
-def _count_as(df: DataFrame, mapping: str, rule: str, column: str) -> DataFrame:
-    return df.agg(F.count("*").alias("offenders")).select(
-        F.lit(mapping).alias("mapping"), F.lit(rule).alias("rule"), F.lit(column).alias("column_name"), "offenders"
+    unlike = lambda name, fits: (name, ~F.coalesce(fits, F.lit(False)))
+    stated = _statements(
+        customers, "customer_mapping", ("customer_hash_key", "pseudo_customer_name"), "customer_hash_key",
+        (("customer_hash_key", "pseudo_customer_name"),),
+        unlike("pseudo_customer_name", F.col("pseudo_customer_name").startswith(codes.CUSTOMER_PREFIX)),
+    ).unionByName(_statements(
+        products, "product_mapping",
+        ("full_sku_code", "first_half_sku_code", "unique_sku_code", *PSEUDO_SKU_COLUMNS, "pseudo_category"), "full_sku_code",
+        (("full_sku_code", "pseudo_full_sku_code"), ("first_half_sku_code", "pseudo_first_half_sku_code"),
+         ("unique_sku_code", "pseudo_unique_sku_code")),
+        unlike("pseudo_product_description", F.col("pseudo_product_description").contains(codes.PRODUCT_MARK)),
+    ))
+    rule = ("mapping", "rule", "column_name")
+    values = stated.groupBy(*rule, "value").agg(F.count("*").alias("rows"), F.min("partner").alias("low"), F.max("partner").alias("high"))
+    offenders = (
+        F.when(F.col("rule").isin("null_value", "unlike_pseudonym"), F.col("rows"))
+        .when(F.col("rule") == "repeated_key", (F.col("rows") > 1).cast("bigint"))
+        # More than one partner: the smallest is not the greatest. Null partners do not count.
+        .otherwise((F.coalesce(F.col("low") != F.col("high"), F.lit(False)) & F.col("value").isNotNull()).cast("bigint"))
     )
+    return values.groupBy(*rule).agg(F.sum(offenders).alias("offenders")).where("offenders > 0")
 
 
+def _statements(
+    mapping: DataFrame, label: str, no_nulls: Sequence[str], unique: str, pairs: Sequence[tuple[str, str]],
+    unlike: tuple[str, Column],
+) -> DataFrame:
+    """``mapping, rule, column_name, value, partner``: per row what the rules on values and pairs need, and its own faults."""
+
+    def statement(rule: str, column: str, value: Column, partner: Column) -> Column:
+        return F.struct(
+            F.lit(rule).alias("rule"), F.lit(column).alias("column_name"), value.cast("string").alias("value"), partner.cast("string").alias("partner")
+        )
+
+    none = F.lit(None)
+    faults = [F.when(F.col(name).isNull(), statement("null_value", name, none, none)) for name in no_nulls]
+    faults.append(F.when(unlike[1], statement("unlike_pseudonym", unlike[0], none, none)))
+    known = [statement("repeated_key", unique, F.col(unique), none)]
+    for key, code in pairs:
+        known.append(statement("split_identity", key, F.col(key), F.col(code)))
+        known.append(statement("identity_collision", code, F.col(code), F.col(key)))
+    said = F.filter(F.array(*faults, *known), lambda one: one.isNotNull())
+    return mapping.select(F.lit(label).alias("mapping"), F.inline(said))

@@ -198,3 +198,10 @@ def test_repeats_count_null_keys_as_equal(values):
     assert rows(line_sequence(df, ["k"], ["f", "n"]), "k", "n", "line_sequence") == {
         ("a", "1", 1), ("a", "2", 2), (None, "3", 1), (None, "1", 2), ("b", "4", 1),
     }
+
+
+def test_mapping_rules_take_two_exchanges(values):
+    plan = identities.violations(values(CUSTOMERS, GOOD_CUSTOMER), values(" ".join(PRODUCT_MAPPING_SCHEMA.names), GOOD_PRODUCT))
+    text = plan._jdf.queryExecution().sparkPlan().toString()
+    physical = plan._jdf.queryExecution().executedPlan().toString()
+    assert physical.count("Exchange hashpartitioning") == 2 and "SinglePartition" not in physical and "Join" not in text
