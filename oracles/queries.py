@@ -481,6 +481,21 @@ _SQL: dict[str, str] = {
     "raw_vs_staging_counts": labelled("layer", raw="raw_oh", staging="stg_oh"),
 }
 
+_SQL["staging_by_name"] = """select h.product_category, count(*) AS history_rows, sum(h.ordered_quantity)::BIGINT AS ordered_quantity, max(o.open_rows) AS open_rows
+  from stg_oh h left join (select product_category, count(*) AS open_rows from stg_oo group by 1) o on o.product_category = h.product_category group by 1"""
+_SQL["data_tests"] = " union all ".join(
+    f"select '{test}' AS test, count(*) AS failing_rows from ({sql})" for test, sql in {
+        "order_history_quantities_preserved": _SQL["order_history_quantities_preserved"],
+        "order_history_row_count_preserved": _SQL["order_history_row_count_preserved"],
+        "order_history_source_position_unique": _SQL["order_history_source_position_unique"],
+        "open_orders_measures_preserved": changed("bad_oo", "stg_bad_oo", MEASURES),
+        "open_orders_dates_standardized": dates_differ("bad_oo", "stg_bad_oo"),
+        "open_orders_row_count_preserved": counts_differ("bad_oo", "stg_bad_oo"),
+        "open_orders_candidate_key_unique": repeated("stg_bad_oo", BUSINESS),
+        "open_orders_source_position_unique": repeated("stg_bad_oo", POSITION),
+    }.items()
+)
+
 # Blocks that several branches of a query read; computed once.
 _SHARED = (
     "lines", "oh", "oo", "inv", "raw_oh", "prior_products", "products", "customers", "prior_customers", "named",

@@ -19,6 +19,7 @@ from orderloom.operators.repeats import line_sequence, repeated_rows
 from orderloom.plans import jobs, staging
 from orderloom.plans.inputs import DEMO_SALT, RUN_AT, STANDARDIZED, Inputs
 from orderloom.plans.jobs import Workspace
+from orderloom.plans.views import Catalog
 from orderloom.session import materialize, scratch_path
 from orderloom.sources import readers
 from orderloom.sources import table_extracts as extracts
@@ -769,6 +770,30 @@ def stg_open_orders(i: Inputs) -> DataFrame:
     return staging.stg_open_orders(i.raw_open_orders())
 
 
+def _catalog(i: Inputs, prefix: str, **sources: DataFrame) -> Catalog:
+    """The declared views over the given sources, under names of this query's own."""
+    return Catalog(i.spark, sources, f"{prefix}_")
+
+
+@query
+def staging_by_name(i: Inputs) -> DataFrame:
+    """Both staging views joined by name in SQL, as any user of the catalog would."""
+    catalog = _catalog(i, "by_name", raw_order_history=i.raw_history(), raw_open_orders=i.raw_open_orders())
+    catalog.register()
+    return i.spark.sql("""
+        select h.product_category, count(*) as history_rows, sum(h.ordered_quantity) as ordered_quantity, max(o.open_rows) as open_rows
+        from by_name_stg_order_history h left join
+            (select product_category, count(*) as open_rows from by_name_stg_open_orders group by product_category) o
+            on o.product_category = h.product_category
+        group by h.product_category""").withColumn("ordered_quantity", F.col("ordered_quantity").cast("bigint"))
+
+
+@query
+def data_tests(i: Inputs) -> DataFrame:
+    """Every declared data test on history as it is and on open orders with impossible dates."""
+    return _catalog(i, "tested", raw_order_history=i.raw_history(), raw_open_orders=_impossible_dates(i)).run_tests()
+
+
 def _full(quantity: str) -> Column:
     return F.col(quantity) == 50
 
