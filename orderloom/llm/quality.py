@@ -7,15 +7,18 @@ size. To abstain says nothing, and a detector of one kind of junk abstains on al
 the votes, and the scorer decides. Two tasks are learned side by side by the same code: junk
 text, and insulting text.
 
-The scorer is fitted on about ``TRAIN_ROWS`` documents that a hash of the id picks. The word
-list of the insult labellers is learned from at most ``LABEL_ROWS`` labelled rows, picked the
-same way; without labels those labellers only know the fixed list. Votes, pattern counts and
+The scorer is fitted on about ``TRAIN_ROWS`` documents, and never more than twice as many, that a
+hash of id, votes and features picks; documents alike in all of these teach once. The word list of
+the insult labellers is learned from at most ``LABEL_ROWS`` labelled rows, picked by a hash of the
+id, and has at most ``LEXICON_WORDS`` words; without labels those labellers only know the fixed
+list. The shape feature of a word reads its first 40 characters. Votes, pattern counts and
 decisions cover every row and whole texts.
 
 Defined cases: null and empty texts have no words, so every labeller abstains and they are
-kept; repeated rows are scored alike and each counts; a null id is scored too; an empty table
-or a corpus of one label gives a scorer that keeps everything the labellers do not reject;
-other columns are ignored.
+kept; repeated rows are scored alike and each counts; rows without id are rows like all others,
+however many; an empty table teaches nothing and leaves the prior; a corpus
+of one label gives a scorer that keeps everything the labellers do not reject; other columns are
+ignored.
 """
 
 from __future__ import annotations
@@ -181,6 +184,9 @@ class Task:
         x, y = self.inputs(votes, features), self.posterior(votes)
         w = np.zeros(x.shape[1])
         w[0] = np.log(self.prior / (1 - self.prior))
+        if not len(x):  # nothing to learn from: the prior alone
+            self.weights = w
+            return
         speed, rate = np.zeros_like(w), 4.0 * max(len(x), 1) / max((x**2).sum(), 1e-9)
         for _ in range(steps):
             p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
@@ -202,9 +208,9 @@ class Model:
         return {LABELLERS[c]: float(r) for t in self.tasks.values() for c, r in zip(t.members, t.right)}
 
 
-def _pick(rate: float, name: str):
-    """A hashed share of the rows, by id."""
-    return F.pmod(F.xxhash64(F.lit(31), name), F.lit(1 << 30)) < int(rate * (1 << 30))
+def _pick(rate: float, *names: str):
+    """A hashed share of the rows, by what they hold, so that rows without id are not taken as one."""
+    return F.pmod(F.xxhash64(F.lit(31), *names), F.lit(1 << 30)) < int(rate * (1 << 30))
 
 
 def learn_lexicon(
@@ -273,7 +279,9 @@ def fit(voted: DataFrame, lexicon: frozenset[str], id_column: str = "doc_id", tr
     counts = np.array([r["count"] for r in counted], "f8")
     model = Model(lexicon, {name: Task(list(members)) for name, members in TASKS.items()})
     rate = min(1.0, train_rows / max(counts.sum(), 1))
-    sample = voted.where(_pick(rate, id_column)).select("votes", "features").collect()
+    # Rows that are alike in all teach once, so copies of one row cannot fill the sample; twice the wanted rows at most.
+    picked = voted.where(_pick(rate, id_column, "votes", "features")).select("votes", "features").distinct()
+    sample = picked.limit(2 * train_rows).collect()
     v, f = _matrices([bytes(r.votes) for r in sample], [bytes(r.features) for r in sample])
     for task in model.tasks.values():
         task.estimate(patterns, counts)

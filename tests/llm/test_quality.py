@@ -67,6 +67,32 @@ def test_estimated_accuracies_find_the_bad_labeller():
     assert ((task.posterior(votes) > 0.5) == hidden).mean() > 0.95
 
 
+def test_rows_without_id_are_sampled_one_by_one(spark, documents, folder, corpus):
+    rows, truth = corpus
+    rnd = random.Random(2)
+    many = [(None, f"{text} {prose(rnd, 3)}" if truth[k] == "good" else text) for _ in range(8) for k, text in rows]
+    many += [(None, rows[4][1])] * 900  # a third are copies of one clean text
+    df = documents(*many)
+    voted = quality.votes(df, frozenset())
+    with np.errstate(all="raise", under="ignore"):
+        model = quality.fit(voted, frozenset(), train_rows=400)
+    assert all(np.isfinite(task.weights).all() and np.abs(task.weights).max() > 0 for task in model.tasks.values())
+    kept = quality.kept(quality.score(voted, model)).count()
+    assert kept == quality.filter_rows(df, model).count()
+    clean = sum(truth[k] == "good" for k, _ in rows) * 8 + 900
+    assert abs(kept - clean) <= clean // 50
+    sf_dir = folder(documents=df, labels=labels(spark, truth))
+    assert abs(quality.op2_quality(spark, sf_dir).count() - clean) <= clean // 50
+
+
+def test_no_rows_teach_nothing():
+    task = quality.Task([0, 1])
+    task.estimate(np.empty((0, len(quality.LABELLERS)), "u1"), np.empty(0))
+    with np.errstate(all="raise"):
+        task.fit(np.empty((0, len(quality.LABELLERS)), "u1"), np.empty((0, quality.DIMENSIONS)))
+    assert np.isfinite(task.weights).all() and task.weights[0] < 0
+
+
 def test_empty_table(spark, documents, folder):
     sf_dir = folder(documents=documents(), labels=labels(spark, {1: "good"}))
     assert quality.op2_quality(spark, sf_dir).count() == 0
