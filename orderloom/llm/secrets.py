@@ -166,7 +166,12 @@ def redact(
 
     Rows without candidates pass without a join, so only the few others are shuffled.
     """
+    # By position, so that no column of ``df`` meets a working column's name.
     names = df.columns
+    placed = [f"c{k}" for k in range(len(names))]
+    at = lambda name: placed[names.index(name)]
+    text_column, source_column, language_column = at(text_column), at(source_column), at(language_column)
+    df = df.toDF(*placed)
     whole = df.withColumns(_owned(df, source_column, language_column))
     scanned = materialize(candidates(whole, text_column), "scanned")
     some = F.size(F.concat("_base", "_mixed")) > 0
@@ -186,7 +191,7 @@ def redact(
     rest = lambda s: F.concat(s["out"], F.substring(text, s["at"] + 1, F.length(text)))
     cleaned = F.when(F.size(hidden) > 0, F.aggregate(hidden, first, step, rest)).otherwise(text)
     mended = found.join(judged(found), "_row", "left").withColumn(text_column, cleaned)
-    return scanned.where(~some).select(*names).unionByName(mended.select(*names))
+    return scanned.where(~some).select(*placed).unionByName(mended.select(*placed)).toDF(*names)
 
 
 def op6_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -60,3 +60,11 @@ def test_rows_without_id_or_with_one_id_stay_if_their_texts_differ(spark, docume
     expected = [(1, 0), (None, 1), (None, 2), (None, 3), (5, 4), (5, 5), (6, 6), (None, 7)]
     found = sorted(((r.doc_id, r.text) for r in kept.collect()), key=lambda r: r[1])
     assert found == sorted(((k, texts[n]) for k, n in expected), key=lambda r: r[1])
+
+
+def test_near_duplicates_keep_a_column_called_key(spark, documents, folder):
+    text = prose(60)
+    df = documents((1, text), (2, text), (3, prose(60))).selectExpr("*", "doc_id * 10 as _key", "'c' as component_id")
+    got = corpus_pipeline.near_duplicate_stage(spark, df, folder())
+    assert got.columns == df.columns
+    assert sorted((r.doc_id, r._key, r.component_id) for r in got.collect()) == [(1, 10, "c"), (3, 30, "c")]

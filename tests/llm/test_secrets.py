@@ -61,6 +61,17 @@ def test_redaction(documents):
     assert got == {1: "é [REDACTED], then [REDACTED] end", 2: "clean", 3: None, 4: ""}
 
 
+def test_redaction_keeps_columns_with_working_names(documents):
+    text = "token=abcdef0123456789ab"
+    df = documents((1, text), (2, "clean")).selectExpr("*", "'x' as spans", "7 as _row", "8 as _base", "9 as _mixed", "'o' as _owner", "1 as c0", "2 as hash")
+    got = secrets.redact(df)
+    assert got.columns == df.columns
+    rows = {r.doc_id: r for r in got.collect()}
+    assert {k: tuple(rows[k][n] for n in ("text", "spans", "_row", "_base", "_mixed", "_owner", "c0", "hash")) for k in rows} == {
+        1: ("[REDACTED]", "x", 7, 8, 9, "o", 1, 2), 2: ("clean", "x", 7, 8, 9, "o", 1, 2),
+    }
+
+
 def test_plan_is_native(documents):
     plan = secrets.find_secrets(documents((1, "token=abcdef0123456789ab")))._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan and "Cartesian" not in plan
