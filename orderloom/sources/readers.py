@@ -226,7 +226,3 @@ def required_setting(value: str | None, description: str) -> str:
     if value is None or not value.strip():
         raise GuardError(f"A value is required for {description}.")
     return value.strip()
-
-
-def read_reports(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.option("multiLine", True).json(path)
