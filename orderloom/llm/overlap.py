@@ -2,15 +2,18 @@
 
 Candidates come from MinHash bands. ``BANDS`` bands of ``ROWS`` minima each meet on equal values;
 a pair at the bar of 0.8 shares one of them with a probability of 0.9999, a closer one more
-surely. Every candidate pair is verified on its two texts: the distinct shingles both hold,
-against those either holds. No pair below the bar is linked.
+surely. Every candidate pair is verified on the distinct shingles both hold against those either
+holds. Shingles are compared as 64-bit hashes, written once for each text that meets another; the
+comparison itself is a built-in function on two arrays, so Spark bounds and spills what it holds.
+No pair below the bar is linked.
 
 Texts with equal sets of shingles are one class and never meet each other. In a first round the
 classes of a band meet one of them, picked anew for each band, which joins most of what belongs
 together. In a second round all pairs of a band meet that are still in different components, so
 every candidate pair is verified or is already joined by verified links. Crowded bands are worked
-off in blocks. ``APART`` differing bits of 128, one of every minimum, rule a pair out before its
-texts are fetched; a pair at the bar differs in 12.8 with a deviation of 3.4.
+off in blocks, each only against sets of near size: at the bar the larger set is at most 5/4 of the
+smaller. ``APART`` differing bits of 128, one of every minimum, rule a pair out before its
+hashes are fetched; a pair at the bar differs in 12.8 with a deviation of 3.4.
 
 Defined cases: null and empty texts have no shingles and equal each other; a text of fewer words
 is one shingle; an empty table gives an empty result; ids must be neither null nor repeated.
@@ -36,6 +39,9 @@ _rnd = np.random.default_rng(SEED)
 _FLIP = _rnd.integers(0, 1 << 64, (HASHES, 1), "u8")
 _ODD = _rnd.integers(0, 1 << 64, (HASHES, 1), "u8") | np.uint64(1)
 _CHUNK = 1024
+_PIECE = 1 << 16
+# A little above 5/4, so that sets at the bar lie in the same or in neighbouring classes of size.
+_SIZE_STEP = 1.26
 
 
 def shingles(text: str) -> set[bytes]:
@@ -52,53 +58,71 @@ def agree(a: set[bytes], b: set[bytes]) -> bool:
     return 5 * both >= 4 * (len(a) + len(b) - both)
 
 
-def sketch(text: str) -> tuple[int, int, int, list[int]]:
-    """A hash of the set of shingles, 128 bits of its minima as two numbers, and the bands; all signed."""
+def hashes(text: str) -> np.ndarray:
+    """The sorted distinct 64-bit hashes of the shingles; a very long text is hashed piece by piece."""
     import xxhash
 
-    digests = b"".join([xxhash.xxh3_64_digest(s, SEED) for s in shingles(text)])
-    hashes = np.sort(np.frombuffer(digests, "u8"))
+    words = text.encode().lower().split()
+    width = WIDTH if len(words) >= WIDTH else max(1, len(words))
+    found = np.empty(0, "u8")
+    for start in range(0, len(words) - width + 1, _PIECE):
+        part = words[start : start + _PIECE + width - 1]
+        digests = b"".join([xxhash.xxh3_64_digest(b" ".join(s), SEED) for s in zip(*(part[k:] for k in range(width)))])
+        found = np.union1d(found, np.frombuffer(digests, "u8"))
+    return found
+
+
+def sketch(text: str) -> tuple[int, int, int, int, list[int]]:
+    """A hash of the set of shingles, its size, 128 bits of its minima as two numbers, and the bands; all signed."""
+    import xxhash
+
+    own = hashes(text)
     least = np.full(HASHES, np.iinfo("u8").max, "u8")
-    for start in range(0, len(hashes), _CHUNK):
-        mixed = (hashes[None, start : start + _CHUNK] ^ _FLIP) * _ODD
+    for start in range(0, len(own), _CHUNK):
+        mixed = (own[None, start : start + _CHUNK] ^ _FLIP) * _ODD
         np.minimum(least, mixed.min(1), out=least)
     bits = np.packbits(((least * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(63)).astype("u1"), bitorder="little")
     low, high = bits.view("<i8").tolist()
     kept = least.astype("<u8").tobytes()
     bands = [xxhash.xxh3_64_intdigest(kept[8 * ROWS * k : 8 * ROWS * (k + 1)], k) for k in range(BANDS)]
-    node = xxhash.xxh3_64_intdigest(hashes.tobytes())
-    return node - (node >> 63 << 64), low, high, [b - (b >> 63 << 64) for b in bands]
+    node = xxhash.xxh3_64_intdigest(own.tobytes())
+    return node - (node >> 63 << 64), len(own), low, high, [b - (b >> 63 << 64) for b in bands]
 
 
 def _near(a: str, b: str) -> Column:
     apart = [F.bit_count(F.col(f"{a}.{n}").bitwiseXOR(F.col(f"{b}.{n}"))) for n in ("low", "high")]
-    return (apart[0] + apart[1]) <= APART
+    n, m = F.col(f"{a}.size"), F.col(f"{b}.size")
+    return (5 * F.least(n, m) >= 4 * F.greatest(n, m)) & ((apart[0] + apart[1]) <= APART)
 
 
-def _verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
-    """The pairs ``a, b`` whose texts agree."""
-    needed = pairs.select(F.col("a").alias("node")).union(pairs.select(F.col("b").alias("node"))).distinct()
-    held = materialize(texts.join(needed, "node", "left_semi"), "candidate-texts")
+def _sets(nodes: DataFrame, classes: DataFrame, plain: DataFrame, id_column: str) -> DataFrame:
+    """``node, hashes`` of the classes that ``nodes`` names, from the text of each one's least id."""
+    wanted = materialize(classes.join(nodes, "node", "left_semi").select(F.col("least").alias(id_column), "node"), "wanted")
 
     def run(columns):
-        # Rows of one ``a`` mostly follow each other.
-        known, own, keep = None, set(), []
-        for k, (a, first, second) in enumerate(zip(columns["a"], columns["text_a"], columns["text_b"])):
-            if a != known:
-                known, own = a, shingles(first)
-            if agree(own, shingles(second)):
-                keep.append(k)
-        return {n: [columns[n][k] for k in keep] for n in ("a", "b")}
+        return {"node": columns["node"], "hashes": [hashes(t).view("i8") for t in columns["text"]]}
+
+    texts = plain.join(wanted, id_column).select("node", "text")
+    return materialize(map_rows(texts, run, "node bigint, hashes array<bigint>", rows=256), "shingle-hashes")
+
+
+def _ends(pairs: DataFrame) -> DataFrame:
+    return pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+
 
-    joined = pairs.join(held.select(F.col("node").alias("b"), F.col("text").alias("text_b")), "b")
-    joined = joined.join(held.select(F.col("node").alias("a"), F.col("text").alias("text_a")), "a")
-    return materialize(map_rows(joined.select("a", "b", "text_a", "text_b"), run, "a bigint, b bigint", rows=256), "overlaps")
+def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """The pairs ``a, b`` whose sets agree."""
+    side = lambda n: sets.select(F.col("node").alias(n), F.col("hashes").alias(f"set_{n}"))
+    both = F.size(F.array_intersect("set_a", "set_b"))
+    either = F.size("set_a") + F.size("set_b") - both
+    joined = pairs.join(side("b"), "b").join(side("a"), "a")
+    return materialize(joined.where(5 * both >= 4 * either).select("a", "b"), "overlaps")
 
 
 def _first_pairs(members: DataFrame) -> DataFrame:
     """Every member of a band with the one its band picks."""
-    pick = F.min(F.struct(F.xxhash64("band", "node").alias("order"), "node", "low", "high")).alias("c")
-    centre = members.groupBy("band").agg(pick).select("band", "c.node", "c.low", "c.high")
+    pick = F.min(F.struct(F.xxhash64("band", "node").alias("order"), "node", "size", "low", "high")).alias("c")
+    centre = members.groupBy("band").agg(pick).select("band", "c.node", "c.size", "c.low", "c.high")
     met = members.alias("m").join(centre.alias("c"), "band").where("m.node <> c.node").where(_near("m", "c"))
     return met.select(F.greatest("m.node", "c.node").alias("b"), F.least("m.node", "c.node").alias("a")).distinct()
 
@@ -109,10 +133,12 @@ def _open_pairs(members: DataFrame, label: DataFrame, block: int) -> DataFrame:
     named = named.withColumn("component", F.coalesce("component", "node"))
     sizes = named.groupBy("band").agg(F.count("*").alias("n"), F.min("component").alias("x"), F.max("component").alias("y"))
     open_ = sizes.where("x <> y").select("band", F.ceil(F.col("n") / block).cast("int").alias("blocks"))
-    dealt = materialize(named.join(open_, "band"), "open-bands")
+    scale = F.floor(F.log(_SIZE_STEP, F.greatest("size", F.lit(1)))).cast("int")
+    dealt = materialize(named.join(open_, "band").withColumn("scale", scale), "open-bands")
     left = dealt.withColumn("unit", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
     right = dealt.withColumn("unit", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    met = left.alias("m").join(right.alias("c"), ["band", "unit"])
+    right = right.withColumn("scale", F.explode(F.array(*(F.col("scale") + k for k in (-1, 0, 1)))))
+    met = left.alias("m").join(right.alias("c"), ["band", "unit", "scale"])
     met = met.where("m.node < c.node and m.component <> c.component").where(_near("m", "c"))
     return met.select(F.col("m.node").alias("a"), F.col("c.node").alias("b")).distinct()
 
@@ -123,21 +149,25 @@ def near_copies(df: DataFrame, id_column: str = "doc_id", text_column: str = "te
     plain = df.select(id_column, text_of(text_column).alias("text"))
 
     def run(columns):
-        node, low, high, bands = zip(*map(sketch, columns["text"])) if columns["text"] else ((), (), (), ())
-        return {id_column: columns[id_column], "node": node, "low": low, "high": high, "bands": bands}
+        node, size, low, high, bands = zip(*map(sketch, columns["text"])) if columns["text"] else ((),) * 5
+        return {id_column: columns[id_column], "node": node, "size": size, "low": low, "high": high, "bands": bands}
 
-    schema = f"`{id_column}` {kind}, node bigint, low bigint, high bigint, bands array<bigint>"
-    printed = materialize(map_rows(plain, run, schema), "sketches")
-    firsts = [F.first(n).alias(n) for n in ("low", "high", "bands")]
+    schema = f"`{id_column}` {kind}, node bigint, size int, low bigint, high bigint, bands array<bigint>"
+    printed = materialize(map_rows(plain, run, schema, rows=256), "sketches")
+    firsts = [F.first(n).alias(n) for n in ("size", "low", "high", "bands")]
     classes = materialize(printed.groupBy("node").agg(F.min(id_column).alias("least"), *firsts), "sketch-classes")
-    members = classes.select("node", "low", "high", F.explode("bands").alias("band"))
+    members = classes.select("node", "size", "low", "high", F.explode("bands").alias("band"))
     several = members.groupBy("band").count().where("count > 1").select("band")
     members = materialize(members.join(several, "band", "left_semi"), "band-members")
-    texts = classes.select("node", F.col("least").alias(id_column)).join(plain, id_column).select("node", "text")
     first = materialize(_first_pairs(members), "first-pairs")
-    links = _verified(first, texts)
-    rest = _open_pairs(members, components(links), block).join(first, ["a", "b"], "left_anti")
-    member = components(links.union(_verified(materialize(rest, "open-pairs"), texts)))
+    sets = _sets(_ends(first), classes, plain, id_column)
+    links = _verified(first, sets)
+    rest = materialize(
+        _open_pairs(members, components(links), block).join(first, ["a", "b"], "left_anti"), "open-pairs"
+    )
+    # Most texts have met another in the first round, so few are read again.
+    more = _sets(_ends(rest).join(sets.select("node"), "node", "left_anti"), classes, plain, id_column)
+    member = components(links.union(_verified(rest, sets.union(more))))
     joined = classes.select("node", "least").join(member, "node", "left")
     joined = joined.withColumn("component", F.coalesce("component", "node"))
     least = joined.groupBy("component").agg(F.min("least").alias("component_id"))
