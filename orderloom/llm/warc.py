@@ -10,8 +10,8 @@ files and members without that field are read as well, front to back with memory
 Files are opened through ``pyarrow.fs``, so any store it knows will do.
 
 Defined cases: null html is an empty payload; equal payloads, empty ones among them, have one
-response, the row with the smallest page id, and revisits; a repeated row repeats its record;
-an empty table writes no record and reads back empty; other columns are ignored.
+response, the row with the smallest page id (null last, the first row of ties), and revisits; a
+repeated row has a record of its own, with an id of its own; page ids may be of any type; an empty table writes no record and reads back empty; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -24,7 +24,7 @@ import zlib
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import (
     DataSource,
@@ -317,7 +317,10 @@ def _column(headers: dict[str, str], name: str) -> str | None:
 
 
 class WarcWriter(DataSourceWriter):
-    """One file per task. Only files named in a commit keep their place; a failed task's file goes."""
+    """One file per task. Only files named in a commit get a name that readers take.
+
+    A task that fails removes its file; one whose executor is lost leaves a file ending in ``.open``.
+    """
 
     def __init__(self, options: dict[str, str], names: list[str]):
         self.path, self.names = options["path"], names
@@ -332,6 +335,12 @@ class WarcWriter(DataSourceWriter):
                     out = system.open_output_stream(path)
                 out.write(gzip_member(record_bytes(dict(zip(self.names, row)))))
                 records += 1
+        except BaseException:
+            if out is not None:
+                out.close()
+                out = None
+                system.delete_file(path)
+            raise
         finally:
             if out is not None:
                 out.close()
@@ -377,7 +386,11 @@ def register(spark: SparkSession) -> None:
 def page_records(pages: DataFrame, min_revisit_bytes: int = 0) -> DataFrame:
     """The records of ``page_id, url, html`` rows; equal payloads from that size on have one response.
 
-    Only digests and ids are grouped: a payload that a third of the pages share is one row per
+    The response is the row of the smallest page id, null last, and among rows with that id the first
+    in ``pages``, which must give its rows in the same places when it is read twice, as files do. Record
+    ids name page and row, so repeated rows have records of their own.
+
+    Only digests, ids and places are grouped: a payload that a third of the pages share is one row per
     task before the shuffle, and the join that follows can split its hot side.
     """
 
@@ -389,32 +402,36 @@ def page_records(pages: DataFrame, min_revisit_bytes: int = 0) -> DataFrame:
             "payload_length": [len(p) for p in payloads],
         }
 
-    rows = pages.select("page_id", F.col("url").cast("string").alias("url"), text_of("html").alias("html"))
+    rows = pages.select(
+        "page_id", F.col("url").cast("string").alias("url"), text_of("html").alias("html"),
+        F.monotonically_increasing_id().alias("place"),
+    )
     kind = rows.schema["page_id"].dataType.simpleString()
-    schema = f"page_id {kind}, url string, payload binary, payload_digest string, payload_length bigint"
+    schema = f"page_id {kind}, url string, place bigint, payload binary, payload_digest string, payload_length bigint"
     # Digests are cheaper to compute twice than payloads are to write once more.
     digested = map_rows(rows, digests, schema, rows=500)
-    # A null page id can be a revisit but never what others refer to, unless no other page has the payload.
-    first = digested.groupBy("payload_digest").agg(F.min("page_id").alias("first_id"))
+    name = F.struct(F.col("page_id").isNull().alias("unnamed"), "page_id", "place")
+    first = digested.groupBy("payload_digest").agg(F.min(name).alias("first"))
     joined = digested.join(first, "payload_digest")
-    response = (
-        (F.col("payload_length") < min_revisit_bytes)
-        | F.col("first_id").isNull()
-        | F.col("page_id").eqNullSafe(F.col("first_id"))
-    )
-    urn = lambda c: F.concat(F.lit("<urn:orderloom:page:"), c.cast("string"), F.lit(">"))
+    response = (F.col("payload_length") < min_revisit_bytes) | (F.col("place") == F.col("first.place"))
     return joined.select(
-        F.coalesce(urn(F.col("page_id")), F.lit("<urn:orderloom:page:>")).alias("record_id"),
+        _urn("page_id", "place").alias("record_id"),
         F.when(response, "response").otherwise("revisit").alias("record_type"),
         F.col("url").alias("target_uri"),
         F.lit("1970-01-01T00:00:00Z").alias("record_date"),
         "payload_digest",
         "payload_length",
-        F.when(~response, urn(F.col("first_id"))).alias("refers_to"),
+        F.when(~response, _urn("first.page_id", "first.place")).alias("refers_to"),
         F.when(response, F.col("payload")).alias("payload"),
     )
 
 
+def _urn(page: str, place: str) -> Column:
+    """A record's id from its page id, escaped (null: ``~``, which escaping never leaves), and its row's place."""
+    named = F.coalesce(F.url_encode(F.col(page).cast("string")), F.lit("~"))
+    return F.concat(F.lit("<urn:orderloom:page:"), named, F.lit(":"), F.col(place).cast("string"), F.lit(">"))
+
+
 def write_archive(records: DataFrame, path: str) -> None:
     register(records.sparkSession)
     records.write.format("warc").mode("append").save(path)
@@ -425,8 +442,10 @@ def read_archive(spark: SparkSession, path: str, payload: bool = True) -> DataFr
     return spark.read.format("warc").option("payload", str(payload).lower()).load(path)
 
 
-def _page(column: str):
-    return F.regexp_extract(column, r"page:(-?\d+)>", 1).try_cast("bigint")
+def page_of(record_id: str, kind: str) -> Column:
+    """The page id, of type ``kind``, that a record's id names."""
+    named = F.regexp_extract(record_id, r"page:([^:>]+):\d+>", 1)
+    return F.when(named.isin("", "~"), None).otherwise(F.url_decode(named)).cast(kind)
 
 
 def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -435,8 +454,9 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     Responses are read with their payload, whose digest is computed again and must equal the
     header's; revisits are read from their headers alone.
     """
-    path = scratch_path(spark, "warc")
-    write_archive(page_records(table(spark, sf_dir, "pages")), path)
+    path, pages = scratch_path(spark, "warc"), table(spark, sf_dir, "pages")
+    write_archive(page_records(pages), path)
+    kind = pages.schema["page_id"].dataType.simpleString()
 
     def verify(columns):
         found = [payload_digest(p) for p in columns["payload"]]
@@ -455,11 +475,11 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     revisits = read_archive(spark, path, payload=False).where("record_type = 'revisit'").select(*names)
     return responses.unionByName(revisits).select(
-        _page("record_id").alias("page_id"),
+        page_of("record_id", kind).alias("page_id"),
         F.col("payload_length").alias("payload_bytes"),
         "payload_digest",
         "record_type",
-        _page("refers_to").alias("refers_to"),
+        page_of("refers_to", kind).alias("refers_to"),
     )
 
 
@@ -477,8 +497,8 @@ WITH digested AS (
   FROM digested
 )
 SELECT page_id, payload_bytes::BIGINT AS payload_bytes, payload_digest,
-       CASE WHEN page_id = min(page_id) OVER (PARTITION BY hex) THEN 'response' ELSE 'revisit' END AS record_type,
-       CASE WHEN page_id = min(page_id) OVER (PARTITION BY hex) THEN NULL
-            ELSE min(page_id) OVER (PARTITION BY hex) END AS refers_to
-FROM named
+       CASE WHEN place = 1 THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN place = 1 THEN NULL ELSE first_id END AS refers_to
+FROM (SELECT *, row_number() OVER (PARTITION BY hex ORDER BY page_id NULLS LAST) AS place,
+             min(page_id) OVER (PARTITION BY hex) AS first_id FROM named)
 """

@@ -28,18 +28,41 @@ def pages(spark):
 
 def test_query_equals_a_plain_pass(spark, pages, folder):
     first = {}
-    for key, _, html, _ in ROWS:
-        if key is not None:
-            first[html or ""] = min(first.get(html or "", key), key)
+    for place, (key, _, html, _) in enumerate(ROWS):
+        name = (key is None, key or 0, place)
+        first[html or ""] = min(first.get(html or "", name), name)
     expected = []
-    for key, _, html, _ in ROWS:
+    for place, (key, _, html, _) in enumerate(ROWS):
         text = html or ""
-        same = key == first[text]
-        expected.append((key, len(text.encode()), digest(text), "response" if same else "revisit", None if same else first[text]))
+        _, least, chosen = first[text]
+        same = place == chosen
+        expected.append((key, len(text.encode()), digest(text), "response" if same else "revisit", None if same else least))
     got = warc.op10_warc(spark, folder(pages=pages)).collect()
     assert sorted(map(str, map(tuple, got))) == sorted(map(str, expected))
 
 
+def test_repeated_rows_have_one_response_and_ids_of_their_own(spark, folder):
+    rows = [(1, "u", "a", None), (1, "u", "a", None), (None, "u", "b", None), (None, "u", "b", None), (None, "v", "b", None)]
+    pages = spark.createDataFrame(rows, PAGES)
+    records = warc.page_records(pages).collect()
+    assert len({r.record_id for r in records}) == len(rows)
+    responses = {r.record_id: r.payload_digest for r in records if r.record_type == "response"}
+    assert sorted(responses.values()) == sorted([digest("a"), digest("b")])
+    assert all(responses[r.refers_to] == r.payload_digest for r in records if r.record_type == "revisit")
+    got = warc.op10_warc(spark, folder(pages=pages))
+    connection = duckdb.connect()
+    connection.execute(f"create view pages as select * from '{folder(pages=pages)}/pages.parquet/*.parquet'")
+    assert sorted(map(str, map(tuple, got.collect()))) == sorted(map(str, connection.execute(warc.OP10_SQL).fetchall()))
+
+
+def test_page_ids_of_any_kind_come_back(spark, folder):
+    rows = [("a:b>", "u", "x"), ("~", "u", "x"), ("é 1", "u", "y"), (None, "u", "y")]
+    got = warc.op10_warc(spark, folder(pages=spark.createDataFrame(rows, "page_id string, url string, html string")))
+    assert {(r.page_id, r.record_type, r.refers_to) for r in got.collect()} == {
+        ("a:b>", "response", None), ("~", "revisit", "a:b>"), ("é 1", "response", None), (None, "revisit", "é 1"),
+    }
+
+
 def test_query_equals_its_sql(spark):
     connection = duckdb.connect()
     connection.execute("create view pages as select * from '/root/testdata/sf0.001/pages.parquet'")
