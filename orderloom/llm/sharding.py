@@ -4,16 +4,16 @@ Documents with equal texts are linked. Each starts in a shard that its id decide
 joins every linked document with the shard that holds most of its neighbours' bytes; those that
 want to move do so under the quotas of their target shards. Groups are admitted from small to
 large, so many whole groups come together before a very large one takes what is left; of the
-size class at the margin a hashed share is admitted. Documents without links, and linked ones
-of overfull shards, are then laid on a line and cut so that every shard is filled to the mean.
+size class at the margin a hashed share is admitted. An overfull shard then keeps the linked rows whose
+bytes, summed in the order of their texts, stay within the mean. The rest, and documents without
+links, are laid on a line and cut so that every shard is filled to the mean.
 
 A group's neighbours are its bytes per shard, at most one row per group and shard, so links are
 never listed pair by pair, and a group with a third of all rows is one partial sum per task.
 Only sums per shard and size class come to the driver: at most shards x 64 rows a round.
 
-Law: ``bytes``. Loads come out near the mean and no closer bound is promised: an overfull shard lets
-a hashed share of its linked documents go, so with few large copies it may keep some more than
-its quota (40 copies of 500 bytes and 50 small texts left one shard at 1.6 times the mean).
+Law: ``bytes``. Every load differs from the mean by at most the size of the largest document: kept rows
+never exceed the mean, and each end of a shard's piece of the line is off by half a document at most.
 
 Defined cases: null text has size 1 and links with empty texts; repeated rows are rows of their
 own; a null id is allowed; an empty table gives an empty result; other columns are ignored.
@@ -33,8 +33,6 @@ from orderloom.session import materialize
 
 SHARDS = 8
 MAX_ROUNDS = 6
-# An overfull shard is trimmed to this part of the mean, since hashed shares are met on average only.
-TRIMMED = 0.98
 _DICE = 1 << 30
 
 
@@ -111,34 +109,47 @@ def _running(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         before = int(ends[-1]) if len(ends) else before
 
 
-def fill(pool: DataFrame, missing: dict[int, float]) -> DataFrame:
-    """Lay ``pool`` on a line and cut it into the shards' missing bytes, in shard order."""
-    names = pool.columns
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in pool.schema) + ", inside bigint"
-    placed = pool.repartitionByRange("text_key", "row_hash").sortWithinPartitions("text_key", "row_hash")
-    laid = materialize(
-        placed.select("*", F.spark_partition_id().alias("part")).mapInArrow(_running, schema.replace(
-            ", inside", ", part int, inside")), "laid"
-    )
+def _on_a_line(df: DataFrame, order: list[str]) -> tuple[DataFrame, int]:
+    """``df`` with the bytes ``before`` each row in that order, and the bytes of all."""
+    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema) + ", part int, inside bigint"
+    placed = df.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("part", F.spark_partition_id())
+    laid = materialize(placed.mapInArrow(_running, schema), "laid")
     # One row per partition.
     sums = sorted((r.part, int(r.bytes)) for r in laid.groupBy("part").agg(F.sum("size").alias("bytes")).collect())
-    total = sum(b for _, b in sums)
     starts, at = [], 0
     for part, size in sums:
         starts.append((part, at))
         at += size
-    offsets = pool.sparkSession.createDataFrame(starts or [(0, 0)], "part int, earlier bigint")
+    offsets = df.sparkSession.createDataFrame(starts or [(0, 0)], "part int, earlier bigint")
+    # One row per partition of the step before: bounded by the partition count.
+    joined = laid.join(F.broadcast(offsets), "part")
+    return joined.select(*df.columns, (F.col("inside") + F.col("earlier")).alias("before")), at
+
+
+def _trimmed(linked: DataFrame, mean: float) -> DataFrame:
+    """``linked`` with ``kept``: whether its shard's bytes up to and with the row stay within the mean."""
+    loads, starts, at = _loads(linked), {}, 0
+    for shard in sorted(loads):
+        starts[shard] = at
+        at += loads[shard]
+    laid, _ = _on_a_line(linked, ["shard", "text_key", "row_hash"])
+    used = F.col("before") + F.col("size") - _choose(starts, [F.col("shard")], 0.0)
+    return materialize(laid.withColumn("kept", used <= mean).drop("before"), "trimmed")
+
+
+def fill(pool: DataFrame, missing: dict[int, float]) -> DataFrame:
+    """Lay ``pool`` on a line and cut it into the shards' missing bytes, in shard order."""
+    laid, total = _on_a_line(pool, ["text_key", "row_hash"])
     short = sum(missing.values()) or 1.0
     cuts, at = [], 0.0
     for shard in sorted(missing):
         at += missing[shard] * total / short
         cuts.append((shard, at))
-    place = F.col("inside") + F.col("earlier") + F.col("size") / 2
+    place = F.col("before") + F.col("size") / 2
     shard = F.lit(cuts[-1][0])
     for number, end in reversed(cuts[:-1]):
         shard = F.when(place < end, F.lit(number)).otherwise(shard)
-    # One row per partition of the step before: bounded by the partition count.
-    return laid.join(F.broadcast(offsets), "part").withColumn("shard", shard.cast("int")).select(*names)
+    return laid.withColumn("shard", shard.cast("int")).select(*pool.columns)
 
 
 def shard_documents(
@@ -163,14 +174,11 @@ def shard_documents(
     groups = rows.groupBy("text_key").agg(F.count("*").alias("n")).where("n > 1").select("text_key")
     groups = materialize(groups, "groups")
     linked = propagate(materialize(rows.join(groups, "text_key"), "linked"), mean, shards)
-    loads = _loads(linked)
-    spare = {s: 1 - TRIMMED * mean / load for s, load in loads.items() if load > mean}
-    trimmed = _dice(F.lit("trim"), "row_hash") < _choose(spare, [F.col("shard")], 0.0)
-    kept = linked.where(~trimmed) if spare else linked
-    loads = _loads(kept) if spare else loads
-    alone = rows.join(groups, "text_key", "left_anti")
-    pool = alone.unionByName(linked.where(trimmed)) if spare else alone
-    filled = fill(pool, {s: max(0.0, mean - loads.get(s, 0)) for s in range(shards)})
+    linked = _trimmed(linked.select(*rows.columns), mean)
+    kept = linked.where("kept").drop("kept")
+    loads = _loads(kept)
+    pool = rows.join(groups, "text_key", "left_anti").unionByName(linked.where("not kept").drop("kept"))
+    filled = fill(pool, {s: mean - loads.get(s, 0) for s in range(shards)})
     placed = kept.select(*rows.columns).unionByName(filled.select(*rows.columns))
     numbered = number_rows(placed, ["row_hash"], ["shard"], "slot")
     return numbered.select(

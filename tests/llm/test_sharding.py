@@ -16,7 +16,9 @@ def check(rows, given):
     for held in loads.values():
         assert sorted(r.slot for r in held) == list(range(len(held)))
     sizes = [sum(r.size for r in loads.get(s, [])) for s in range(8)]
-    return max(sizes) - min(sizes), max(r.size for r in rows)
+    largest, mean = max(r.size for r in rows), sum(sizes) / 8
+    assert all(abs(size - mean) <= largest for size in sizes)  # the stated bound
+    return max(sizes) - min(sizes), largest
 
 
 @pytest.mark.parametrize("hot", [0, 400])
@@ -38,7 +40,18 @@ def test_even_bytes_and_few_cut_links(spark, documents, folder, hot):
 def test_only_copies_of_one_text(documents):
     given = [(k, "same text over and over") for k in range(900)]
     spread, largest = check(shard_documents(documents(*given)).collect(), given)
-    assert spread <= 12 * largest
+    assert spread <= 2 * largest
+
+
+@pytest.mark.parametrize("copies, size, small", [(40, 500, 50), (24, 1000, 0), (3, 9000, 20), (9, 100, 0)])
+def test_few_large_copies_keep_the_bound(documents, copies, size, small):
+    given = [(k, "x" * size) for k in range(copies)] + [(1000 + k, f"small {k}") for k in range(small)]
+    check(shard_documents(documents(*given)).collect(), given)
+
+
+def test_many_rows_without_an_id(documents):
+    given = [(None, f"text {k} " + "y" * (k % 90)) for k in range(500)] + [(None, "same") for _ in range(300)]
+    check(shard_documents(documents(*given)).collect(), given)
 
 
 def test_empty_and_tiny_tables(documents):
