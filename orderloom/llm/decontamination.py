@@ -13,11 +13,12 @@ the passage's neighbourhood. Both parts must reach 0.8.
 
 The index holds the benchmark, not the corpus. Its size is checked: up to ``INDEX_ITEMS`` items
 it is sent to every executor at once, beyond that in slices of that many items, one pass over
-the documents for each, so memory is bounded for any benchmark.
+the documents for each, so memory is bounded for any benchmark. Document frequencies, mean and
+longest length are counted once over all items by Spark, and passages start at the same words in
+every slice, so the results are the same for any number of slices.
 
-Passages are ``PASSAGE`` times as long as the longest item of the slice and overlap by more
-than that item, so every full occurrence lies inside one passage. Very long documents are
-worked off passage by passage.
+Passages are ``PASSAGE`` times as long as the longest item and overlap by more than that item, so
+every full occurrence lies inside one passage. Very long documents are worked off passage by passage.
 
 Defined cases: null and empty texts match nothing; items without words are no items; repeated
 rows and repeated items are reported each; items of under five words must occur as they are;
@@ -29,12 +30,15 @@ from __future__ import annotations
 import math
 import re
 from collections import Counter
+from collections.abc import Iterator
+from typing import NamedTuple
 
 import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from orderloom.llm.common import map_rows, shared, table, text_of
+from orderloom.session import materialize
 
 K1, B = 1.2, 0.75
 #: Items with this share of their own full score are retrieved.
@@ -71,10 +75,22 @@ def shingles(words: list[str], width: int = SHINGLE) -> set[tuple[str, ...]]:
     return set(zip(*(words[k:] for k in range(width))))
 
 
+class Totals(NamedTuple):
+    """Items with words, their words with repeats, and the words of the longest."""
+
+    items: int
+    words: int
+    longest: int
+
+
 class Index:
     """An inverted index of items with block maxima. Plain arrays, so that it can be broadcast."""
 
-    def __init__(self, items: list[tuple[int, str]], block_items: int = BLOCK_ITEMS):
+    def __init__(
+        self, items: list[tuple[int, str]], block_items: int = BLOCK_ITEMS, totals: Totals | None = None,
+        appears: dict[str, int] | None = None,
+    ):
+        """``totals`` and ``appears``, the items that hold each word, are those of ``items`` unless given."""
         kept = [(key, text, words_of(text)) for key, text in items]
         # Items of near length share a block, which keeps its maxima close to each item's own.
         kept = sorted((x for x in kept if x[2]), key=lambda x: len(x[2]))
@@ -82,15 +98,17 @@ class Index:
         self.lengths = [len(w) for _, _, w in kept]
         self.parts = [tuple(map(shingles, question_and_answer(text))) for _, text, _ in kept]
         self.needed = [[(sorted({len(s) for s in p}), p) for p in parts if p] for parts in self.parts]
-        mean = sum(self.lengths) / max(1, len(kept))
-        appears = Counter(w for _, _, ws in kept for w in set(ws))
-        self.word_ids = {w: k for k, w in enumerate(appears)}
-        n = len(kept)
-        idf = {w: math.log(1 + (n - c + 0.5) / (c + 0.5)) for w, c in appears.items()}
+        if totals is None:
+            totals = Totals(len(kept), sum(self.lengths), max(self.lengths, default=1))
+            appears = Counter(w for _, _, ws in kept for w in set(ws))
+        mean, n = totals.words / max(1, totals.items), len(kept)
+        # In the order of the words, so that scores are summed alike in every slice.
+        self.word_ids = {w: k for k, w in enumerate(sorted({w for _, _, ws in kept for w in ws}))}
+        idf = {w: math.log(1 + (totals.items - appears[w] + 0.5) / (appears[w] + 0.5)) for w in self.word_ids}
         self.full = np.zeros(n)
         self.blocks, self.block_items = max(1, -(-n // block_items)), block_items
-        self.block_best = np.zeros((len(appears), self.blocks), "f4")
-        postings: list[list[tuple[int, float]]] = [[] for _ in appears]
+        self.block_best = np.zeros((len(self.word_ids), self.blocks), "f4")
+        postings: list[list[tuple[int, float]]] = [[] for _ in self.word_ids]
         for item, (_, _, ws) in enumerate(kept):
             for w, c in Counter(ws).items():
                 worth = idf[w] * c * (K1 + 1) / (c + K1 * (1 - B + B * len(ws) / mean))
@@ -107,7 +125,7 @@ class Index:
         self.block_least = np.array(
             [self.least[b * block_items : (b + 1) * block_items].min(initial=np.inf) for b in range(self.blocks)]
         ) * (1 - 1e-4)
-        self.longest = max(self.lengths, default=1)
+        self.longest = totals.longest
         self.window = PASSAGE * self.longest
         self.step = self.window - self.longest - self.longest // 2
 
@@ -115,12 +133,14 @@ class Index:
         """Where the passages of a text of ``total`` words start."""
         return np.arange(0, max(1, total - self.longest // 2), self.step)
 
-    def retrieve(self, texts: list[np.ndarray]) -> list[tuple[int, int, int, float]]:
+    def retrieve(self, texts: list[np.ndarray], most: int | None = None) -> list[tuple[int, int, int, float]]:
         """(text, start, item, score) of every passage and item whose BM25 score reaches its threshold.
 
-        All passages of the given texts are looked up together, each as the set of its known words.
+        All passages of the given texts, or those that start before ``most``, are looked up together,
+        each as the set of its known words.
         """
         starts = [self.starts(len(t)) for t in texts]
+        starts = starts if most is None else [s[s < most] for s in starts]
         text_of_passage = np.repeat(np.arange(len(texts)), [len(s) for s in starts])
         start = np.concatenate(starts)
         lengths = np.array([len(t) for t in texts], "i8")
@@ -166,7 +186,9 @@ class Index:
     def matches(self, texts: list[str]) -> list[dict[int, tuple[float, float, float]]]:
         """Per text: item -> (largest share of its full score, question overlap, answer overlap)."""
         out: list[dict[int, tuple[float, float, float]]] = [{} for _ in texts]
-        get, most = self.word_ids.get, max(4096, GATHERED // self.blocks)
+        get = self.word_ids.get
+        # A piece holds whole steps, so passages start at the same words however a text is cut.
+        most = self.step * max(1, max(4096, GATHERED // self.blocks) // self.step)
         held: list[tuple[int, list[str], np.ndarray]] = []
         size = 0
         for k, text in enumerate(texts):
@@ -174,19 +196,19 @@ class Index:
             if not words or not self.keys:
                 continue
             # A very long text is looked up in pieces that overlap by a passage.
-            for first in range(0, max(1, len(words) - self.window), most):
+            for first in range(0, max(1, len(words) - self.longest // 2), most):
                 piece = words[first : first + most + self.window]
                 held.append((k, piece, np.array([get(w, -1) for w in piece], "i8")))
                 size += len(piece)
                 if size >= most:
-                    self._match(held, out)
+                    self._match(held, out, most)
                     held, size = [], 0
         if held:
-            self._match(held, out)
+            self._match(held, out, most)
         return out
 
-    def _match(self, held: list[tuple[int, list[str], np.ndarray]], out: list[dict]) -> None:
-        for piece, start, item, score in self.retrieve([ids for _, _, ids in held]):
+    def _match(self, held: list[tuple[int, list[str], np.ndarray]], out: list[dict], most: int) -> None:
+        for piece, start, item, score in self.retrieve([ids for _, _, ids in held], most):
             text, words, _ = held[piece]
             share = score / float(self.full[item])
             if item in out[text] and out[text][item][0] >= share:
@@ -196,17 +218,41 @@ class Index:
                 out[text][item] = (share, *overlaps)
 
 
-def _slices(benchmark: DataFrame, item_column: str, text_column: str):
-    """The items in lists of at most ``INDEX_ITEMS``, in key order."""
-    rows = benchmark.select(F.col(item_column).alias("k"), text_of(text_column).alias("t")).orderBy("k", "t")
-    held = []
+def _indexes(benchmark: DataFrame, item_column: str, text_column: str) -> Iterator[Index]:
+    """Indexes of at most ``INDEX_ITEMS`` items in key order, all with the statistics of the whole benchmark."""
+    items = materialize(
+        benchmark.select(
+            F.col(item_column).alias("k"), text_of(text_column).alias("t"), F.monotonically_increasing_id().alias("row")
+        ),
+        "items",
+    )
+
+    def counted(columns):
+        found = [(row, words_of(text)) for row, text in zip(columns["row"], columns["t"])]
+        return {"row": [r for r, _ in found], "length": [len(w) for _, w in found], "words": [sorted(set(w)) for _, w in found]}
+
+    counts = materialize(
+        map_rows(items.select("row", "t"), counted, "row bigint, length int, words array<string>").where("length > 0"),
+        "item-words",
+    )
+    one = counts.agg(F.count("*"), F.sum("length"), F.max("length")).first()
+    if not one[0]:
+        return
+    totals = Totals(*map(int, one))
+    # Each item brings the counts of its own words along, so a slice needs no list of all words.
+    words = counts.select("row", F.explode("words").alias("word"))
+    seen = words.groupBy("word").agg(F.count("*").alias("n"))
+    of_item = words.join(seen, "word").groupBy("row").agg(F.collect_list(F.struct("word", "n")).alias("seen"))
+    rows = items.join(of_item, "row").select("k", "t", "seen").orderBy("k", "t")
+    held, appears = [], {}
     for row in rows.toLocalIterator():
         held.append((row.k, row.t))
+        appears.update(row.seen)
         if len(held) == INDEX_ITEMS:
-            yield held
-            held = []
+            yield Index(held, totals=totals, appears=appears)
+            held, appears = [], {}
     if held:
-        yield held
+        yield Index(held, totals=totals, appears=appears)
 
 
 def find_leaks(
@@ -219,8 +265,8 @@ def find_leaks(
         f"`{id_column}` {kind}, item_id {item_kind}, bm25_share double, question_overlap double, answer_overlap double"
     )
     rows, out = df.select(id_column, text_of(text_column).alias("text")), None
-    for items in _slices(benchmark, item_column, item_text):
-        index = shared(df.sparkSession, Index(items))
+    for built in _indexes(benchmark, item_column, item_text):
+        index = shared(df.sparkSession, built)
 
         def run(columns, index=index):
             held = index()
@@ -243,8 +289,8 @@ def remove_leaks(
 ) -> DataFrame:
     """The rows of ``df`` without a leaked item, with all their columns, without a shuffle."""
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema)
-    for items in _slices(benchmark, item_column, item_text):
-        index = shared(df.sparkSession, Index(items))
+    for built in _indexes(benchmark, item_column, item_text):
+        index = shared(df.sparkSession, built)
 
         def run(columns, index=index):
             held = index()
