@@ -11,14 +11,16 @@ Texts are scanned once and spans kept with hashes in place of values. Counting g
 (hash, owner, repository), then (hash, owner), then hash, so a value that a third of all rows
 share is a row per task at each step; the join back to candidates can be split by Spark.
 
-Defined cases: null text is empty and has no spans; repeated rows are reported each, and count
+Work on a text grows with its length and its matches, not with pairs of matches.
+
+Defined cases: null text is empty and has no spans; very long texts are scanned whole, in one task; repeated rows are reported each, and count
 once as owners; a null source is an owner of its own; an empty table gives an empty result;
 other columns are ignored. Positions are code points, ends exclusive.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from orderloom.llm.common import table, text_of
@@ -40,6 +42,8 @@ MIXED = r"[A-Za-z0-9+/_=-]{20,}"
 EXAMPLE_OWNERS = 3
 #: Fewer different characters than this look like a placeholder.
 LIVE_CHARACTERS = 6
+#: Running sums over a text's matches are taken in pieces of so many.
+PIECE = 256
 
 _SPAN = "array<struct<start:int,kind:int,end:int,hash:binary,shaped:boolean>>"
 
@@ -49,6 +53,27 @@ def _shaped(value: Column) -> Column:
     return F.size(F.array_distinct(F.split(value, ""))) >= LIVE_CHARACTERS
 
 
+def _bound(value: Column, body) -> Column:
+    """``body`` of ``value``, worked out once; a plain lambda would work it out at every use."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
+def _running_sums(lengths: Column) -> Column:
+    """Sums up to each entry. Pieces are summed by themselves, so appending copies a piece at most."""
+
+    def added(sums: Column, n: Column) -> Column:
+        return F.concat(sums, F.array(n + F.coalesce(F.try_element_at(sums, F.lit(-1)), F.lit(0))))
+
+    none = F.array().cast("array<int>")
+    numbers = F.sequence(F.lit(0), F.floor((F.size(lengths) - 1) / PIECE).cast("int"))
+    pieces = F.transform(
+        numbers, lambda k: F.aggregate(F.slice(lengths, k * PIECE + 1, F.lit(PIECE)), none, added)
+    )
+    before = lambda p: F.aggregate(p, F.array(F.lit(0)), lambda sums, one: added(sums, F.element_at(one, -1)))
+    shifted = lambda p, b: F.transform(p, lambda one, k: F.transform(one, lambda n: n + F.get(b, k)))
+    return _bound(pieces, lambda p: _bound(before(p), lambda b: F.flatten(shifted(p, b))))
+
+
 def _spans(text: Column, pattern: str, kind: int, group: int = 0, keep=None) -> Column:
     """Every leftmost match as a struct; matches and the pieces between them give the positions."""
     found = F.struct(
@@ -57,30 +82,23 @@ def _spans(text: Column, pattern: str, kind: int, group: int = 0, keep=None) ->
         F.regexp_extract_all(text, F.lit(pattern), F.lit(group)).alias("values"),
     )
 
-    def walk(f: Column) -> Column:
-        none = F.array().cast(_SPAN)
-
-        def step(state: Column, i: Column) -> Column:
-            start = state["at"] + F.length(F.get(f["between"], i))
-            end = (start + F.length(F.get(f["matches"], i))).cast("int")
-            value = F.get(f["values"], i)
-            span = F.struct(
-                start.cast("int").alias("start"), F.lit(kind).alias("kind"), end.alias("end"),
+    def placed(f: Column, ends: Column) -> Column:
+        def span(match: Column, i: Column) -> Column:
+            value, end = F.get(f["values"], i), F.get(ends, i)
+            out = F.struct(
+                (end - F.length(match)).alias("start"), F.lit(kind).alias("kind"), end.alias("end"),
                 F.unhex(F.sha2(value, 256)).alias("hash"), _shaped(value).alias("shaped"),
             )
-            added = F.concat(state["out"], F.array(span).cast(_SPAN))
-            out = added if keep is None else F.when(keep(value), added).otherwise(state["out"])
-            return F.struct(end.alias("at"), out.alias("out"))
+            return out if keep is None else F.when(keep(value), out)
 
-        first = F.struct(F.lit(0).alias("at"), none.alias("out"))
-        count = F.size(f["matches"])
-        return F.when(
-            count > 0, F.aggregate(F.sequence(F.lit(0), count - 1), first, step, lambda s: s["out"])
-        ).otherwise(none)
+        return F.filter(F.transform(f["matches"], span), lambda s: s.isNotNull())
+
+    def walk(f: Column) -> Column:
+        lengths = F.transform(f["matches"], lambda m, i: F.length(m) + F.length(F.get(f["between"], i)))
+        ends = _bound(lengths, _running_sums)
+        return _bound(ends, lambda e: placed(f, e)).cast(_SPAN)
 
-    # A one-element array binds the split and the matches once for the walk over them.
-    walked = F.flatten(F.transform(F.array(found), walk))
-    return F.when(text.rlike(pattern), walked).otherwise(F.array().cast(_SPAN))
+    return F.when(text.rlike(pattern), _bound(found, walk)).otherwise(F.array().cast(_SPAN))
 
 
 def candidates(df: DataFrame, text_column: str = "text") -> DataFrame:
@@ -108,11 +126,18 @@ def judged(scanned: DataFrame, example_owners: int = EXAMPLE_OWNERS) -> DataFram
     ``scanned`` has ``_row`` (unique), ``_owner``, ``_repository``, ``_base`` and ``_mixed``.
     The method's own candidates stay only where they look live and touch no base span.
     """
-    clear = F.filter(
-        "_mixed",
-        lambda m: ~F.exists("_base", lambda b: (b["start"] < m["end"]) & (b["end"] > m["start"])),
+    found = scanned.select("_row", "_owner", "_repository", F.inline(F.concat("_base", "_mixed")))
+    # Base spans sort before the method's own at one start, so two running values tell who is touched.
+    base = F.col("kind") < BASE_KINDS
+    earlier = Window.partitionBy("_row").orderBy("start", "kind").rowsBetween(Window.unboundedPreceding, -1)
+    later = (
+        Window.partitionBy("_row").orderBy(F.desc("start"), F.desc("kind"))
+        .rowsBetween(Window.unboundedPreceding, -1)
     )
-    spans = scanned.select("_row", "_owner", "_repository", F.inline(F.concat("_base", clear)))
+    reached = F.max(F.when(base, F.col("end"))).over(earlier)
+    coming = F.min(F.when(base, F.col("start"))).over(later)
+    touched = F.coalesce(reached > F.col("start"), F.lit(False)) | F.coalesce(coming < F.col("end"), F.lit(False))
+    spans = found.withColumn("_touched", touched).where(base | ~F.col("_touched")).drop("_touched")
     joined = spans.join(ownership(spans), "hash")
     live = F.col("shaped") & (F.col("owners") < example_owners)
     kept = joined.withColumn("live", live).where(F.col("live") | (F.col("kind") < BASE_KINDS))

@@ -45,6 +45,25 @@ def test_base_spans_equal_a_plain_pass(documents, folder, spark):
         assert ",".join(base) == listed(plain_base(dict(rows)[r.doc_id] or ""))
 
 
+def test_many_matches_in_one_text(documents):
+    words = [hashlib.md5(str(k).encode()).hexdigest() for k in range(40_000)]
+    mixed = [f"Zz{k:06d}QqWwEeRrTtYyUu" for k in range(3_000)]
+    text = " ".join(words) + " " + " ".join(f"{m} token={m}" for m in mixed) + "\U0001f600 " + words[0]
+    got = secrets.find_secrets(documents((1, text))).first()
+    expected = plain_base(text)
+    assert (got.n_assign, got.n_hex) == (3_000, 40_001)
+    assert got.base_sha256 == hashlib.sha256(listed(expected).encode()).hexdigest()
+    own = [s for s in got.spans.split(",") if s.startswith("mixed")]
+    assert own == [f"mixed:{m.start()}:{m.end()}" for m in re.finditer("(?<= )Zz[0-9A-Za-z]+", text)]
+
+
+def test_own_spans_that_touch_base_spans_fall(documents):
+    value = "aB3dE5gH7jK9mN1pQ4rS6tU8"
+    text = f"{value}token={value} {value}AKIA{'Q7' * 8} x {value}"
+    got = secrets.find_secrets(documents((1, text))).first()
+    assert [s for s in got.spans.split(",") if s.startswith("mixed")] == [f"mixed:{len(text) - 24}:{len(text)}"]
+
+
 def test_copied_examples_are_not_live(documents):
     example, own = "wJalrXUtnFEMIbPxRfiCY99", "q8ZtKe31LmVx7RpWc2Yb0Hs"
     rows = [(k, f"see {example} here", f"src{k}") for k in range(5)]
