@@ -191,8 +191,8 @@ def _present_or_null(mapping: DataFrame):
     ]
 
 
-# Categories whose initials share a stem are settled in one row; more than this fail the job.
-MAX_STEM_CATEGORIES = 10_000
+# Numbers are laid out in pieces of so many, so no row holds a longer list.
+NUMBER_PIECE = 4096
 
 
 def category_prefixes(products: DataFrame) -> DataFrame:
@@ -200,8 +200,13 @@ def category_prefixes(products: DataFrame) -> DataFrame:
 
     A category with assigned codes keeps the prefix found in them; having several is an error.
     A new one takes its initials, or the initials with the smallest free number from 2, in
-    category order. Only categories whose initials share a stem can collide, so each stem is
-    settled on its own by folding over its few categories, whose number is checked.
+    category order.
+
+    The waiting categories of one set of initials are ranked, the numbers left free there by
+    assigned prefixes are ranked too, and equal ranks meet. Different initials want the same
+    name only where some end in digits (``P`` with 22, ``P2`` with 2). Then all categories up to
+    the first that loses a name are settled, as those before it cannot change any more, and the
+    others are ranked again. Other data take one round.
     """
     found = products.groupBy("pseudo_category").agg(
         F.min(codes.sku_code_prefix("pseudo_full_sku_code")).alias("lowest"),
@@ -212,31 +217,58 @@ def category_prefixes(products: DataFrame) -> DataFrame:
     unreadable = (F.col("coded") > 0) & F.col("lowest").isNull()
     message = F.concat(F.lit("Corrupt SKU prefixes in category: "), F.col("pseudo_category"))
     settled = or_fail(F.col("lowest"), F.coalesce(several, F.lit(False)) | unreadable, message)
-    named = found.select(
-        "pseudo_category",
-        settled.alias("prefix"),
-        codes.initials("pseudo_category").alias("base"),
+    named = materialize(
+        found.select("pseudo_category", settled.alias("prefix"), codes.initials("pseudo_category").alias("base")),
+        "prefixes",
     )
-    stem = F.regexp_replace(F.coalesce("prefix", "base"), r"\d+$", "")
-    crowded = F.count("*") > MAX_STEM_CATEGORIES
-    families = named.groupBy(stem.alias("stem")).agg(
-        or_fail(F.lit(True), crowded, F.lit("Too many categories share one SKU prefix stem.")).alias("bounded"),
-        F.array_sort(
-            F.collect_list(F.when(F.col("prefix").isNull(), F.struct("pseudo_category", "base")))
-        ).alias("waiting"),
-        F.collect_list(F.when(F.col("prefix").isNotNull(), F.struct("pseudo_category", "prefix"))).alias("kept"),
+    done = named.where(F.col("prefix").isNotNull()).select("pseudo_category", "prefix")
+    waiting = named.where(F.col("prefix").isNull()).select("pseudo_category", "base")
+    while True:
+        claims = materialize(_claimed_prefixes(waiting, done), "prefix-claims")
+        lost = _lost_claims(claims)
+        if lost.isEmpty():
+            return done.unionByName(claims.select(*done.columns))
+        first = lost.groupBy("stem").agg(F.min("pseudo_category").alias("first"))
+        placed = claims.withColumn("stem", _stem("base")).join(first, "stem", "left")
+        later = F.coalesce(F.col("pseudo_category") >= F.col("first"), F.lit(False))
+        done = done.unionByName(placed.where(~later).select(*done.columns))
+        waiting = placed.where(later).select(*waiting.columns)
+
+
+def _stem(name: str) -> Column:
+    return F.regexp_replace(name, r"\d+$", "")
+
+
+def _claimed_prefixes(waiting: DataFrame, done: DataFrame) -> DataFrame:
+    """``waiting`` with the prefix each would get if only assigned ones, and its own kind, stood in its way."""
+    wanted = waiting.where(F.col("base").isNotNull()).groupBy("base").agg(F.count("*").alias("wanted"))
+    # An assigned prefix is number 1 of itself, and a higher number of every shorter start whose rest is a number.
+    digits = F.length("prefix") - F.length(_stem("prefix"))
+    cuts = done.select("prefix", F.explode(F.sequence(F.lit(0), digits)).alias("cut"))
+    number = F.expr("try_cast(right(prefix, cut) as bigint)")
+    taken = cuts.select(
+        F.expr("left(prefix, length(prefix) - cut)").alias("base"),
+        F.when(F.col("cut") == 0, F.lit(1).cast("bigint"))
+        .when(~F.expr("right(prefix, cut)").startswith("0") & (number > 1), number).alias("number"),
+    ).where("number is not null").join(wanted.select("base"), "base", "left_semi")
+    held = taken.groupBy("base").agg(F.count("*").alias("held"))
+    last = F.col("wanted") + F.coalesce("held", F.lit(0))
+    pieces = wanted.join(held, "base", "left").select(
+        "base", last.alias("last"), F.explode(F.sequence(F.lit(1).cast("bigint"), last, F.lit(NUMBER_PIECE).cast("bigint"))).alias("from")
     )
-
-    def settle(done, entry):
-        tries = F.sequence(F.lit(1), F.size(done) + 1)
-        names = F.transform(
-            tries, lambda k: F.when(k == 1, entry["base"]).otherwise(F.concat(entry["base"], k.cast("string")))
-        )
-        free = F.array_except(names, F.transform(done, lambda item: item["prefix"]))
-        chosen = F.struct(entry["pseudo_category"].alias("pseudo_category"), F.get(free, F.lit(0)).alias("prefix"))
-        return F.concat(done, F.array(chosen))
-
-    return families.where("bounded").select(F.inline(F.aggregate("waiting", F.col("kept"), settle)))
+    until = F.least(F.col("last"), F.col("from") + (NUMBER_PIECE - 1))
+    numbers = pieces.select("base", F.explode(F.sequence("from", until)).alias("number"))
+    free = number_rows(numbers.join(taken, ["base", "number"], "left_anti"), ["number"], ["base"], "rank")
+    ranked = number_rows(waiting, ["pseudo_category"], ["base"], "rank")
+    name = F.when(F.col("number") == 1, F.col("base")).otherwise(F.concat("base", F.col("number").cast("string")))
+    return ranked.join(free, ["base", "rank"], "left").select("pseudo_category", "base", name.alias("prefix"))
+
+
+def _lost_claims(claims: DataFrame) -> DataFrame:
+    """Claims to a prefix that an earlier category of other initials claims as well."""
+    winners = claims.groupBy("prefix").agg(F.min("pseudo_category").alias("winner"), F.count("*").alias("n"))
+    lost = claims.join(winners.where("n > 1"), "prefix").where("pseudo_category > winner")
+    return lost.select("pseudo_category", _stem("base").alias("stem"))
 
 
 def map_full_skus(products: DataFrame) -> DataFrame:

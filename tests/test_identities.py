@@ -1,3 +1,6 @@
+import itertools
+import random
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -119,6 +122,39 @@ def test_prefixes_of_bases_that_end_in_digits(values):
         identities.category_prefixes(torn).collect()
 
 
+def greedy_prefixes(rows):
+    """The rule itself: categories in order, each taking the first name nobody has."""
+    found = {c: p for c, p in rows if p}
+    for category in sorted(c for c, p in rows if not p):
+        base = "".join(w[0] for w in category.split()).upper()
+        names = (base if k == 1 else f"{base}{k}" for k in itertools.count(1))
+        found[category] = next(n for n in names if n not in found.values())
+    return found
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_prefixes_equal_the_rule(values, seed):
+    rnd = random.Random(seed)
+    words = ["pa", "pb", "pc", "2", "22", "3", "1", "0x", "q"]
+    waiting = {" ".join(rnd.choice(words) for _ in range(rnd.randint(1, 3))) for _ in range(60)}
+    kept = {f"kept {k}": p for k, p in enumerate(rnd.sample(["P", "P2", "P3", "P5", "P22", "P02", "P1", "Q7", "Q", "PP2", "Z9"], 6))}
+    rows_in = [(c, None) for c in waiting] + list(kept.items())
+    df = values("pseudo_category pseudo_full_sku_code", *((c, p and f"SKU-{p}-000001") for c, p in rows_in))
+    assert dict(rows(identities.category_prefixes(df), "*")) == greedy_prefixes(rows_in)
+
+
+def test_many_categories_share_their_initials(spark):
+    """More than one piece of numbers, every third of them held by an assigned prefix."""
+    made = spark.range(12_000).selectExpr(
+        "format_string('%s %05d', if(id % 3 = 0, 'Kept', 'A'), id) as pseudo_category",
+        "if(id % 3 = 0, concat('SKU-AN', id + 1, '-000001'), null) as pseudo_full_sku_code",
+    ).selectExpr("replace(pseudo_category, ' ', ' n') as pseudo_category", "pseudo_full_sku_code")
+    got = identities.category_prefixes(made).where("pseudo_category like 'A %'").collect()
+    free = (n for n in itertools.count(1) if not (n > 1 and n < 12_000 and (n - 1) % 3 == 0))
+    expected = ["AN" if n == 1 else f"AN{n}" for n in itertools.islice(free, 8_000)]
+    assert [r.prefix for r in sorted(got)] == expected
+
+
 def test_keep_first_follows_file_order(values):
     df = values(
         f"{PRODUCT} source_filename source_file_row_number",
