@@ -9,8 +9,8 @@ goes depth first, keeps one last token per depth, and so computes a shared prefi
 Each task builds the trie of the words it meets first; results are remembered up to a fixed
 number of words, and forgotten together when there are more. Nothing is shuffled.
 
-Defined cases: null text is empty and has no ids; a repeated row is encoded like any other; an
-empty table gives an empty result; other columns are ignored, whatever their names.
+Defined cases: null text is empty and has no ids; very long texts are encoded whole, in one task; a null
+id is allowed; a repeated row is encoded like any other; an empty table gives an empty result; other columns are ignored, whatever their names.
 """
 
 from __future__ import annotations

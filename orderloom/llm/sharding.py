@@ -15,7 +15,8 @@ Only sums per shard and size class come to the driver: at most shards x 64 rows
 Law: ``bytes``. Every load differs from the mean by at most the size of the largest document: kept rows
 never exceed the mean, and each end of a shard's piece of the line is off by half a document at most.
 
-Defined cases: null text has size 1 and links with empty texts; repeated rows are rows of their
+Defined cases: null text has size 1 and links with empty texts; a very long text stays one row, so it alone
+may be more than the mean; repeated rows are rows of their
 own; a null id is allowed; an empty table gives an empty result; other columns are ignored.
 """
 

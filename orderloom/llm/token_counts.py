@@ -5,7 +5,8 @@ are proven whole. A pre-token that is such a string counts one without merging;
 is merged, once per distinct piece of text a task remembers.
 
 Defined cases: null text is empty and has no tokens; special strings inside a text count one
-token each, as the library's default has it; an empty table gives an empty result.
+token each, as the library's default has it; very long texts are counted whole, in one task; a null id is
+allowed; repeated rows are counted each; an empty table gives an empty result; other columns are ignored.
 """
 
 from __future__ import annotations
