@@ -565,7 +565,8 @@ def negative_values(i: Inputs) -> DataFrame:
 
 @query
 def duplicate_rows(i: Inputs) -> DataFrame:
-    return repeated_rows(i.raw_history().select("row_hash", "order_number", "full_sku_code", *POSITION), ["row_hash"])
+    hashed = materialize(i.raw_history().select("row_hash", "order_number", "full_sku_code", *POSITION), "hashed")
+    return repeated_rows(hashed, ["row_hash"])
 
 
 @query
