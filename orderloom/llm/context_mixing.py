@@ -16,7 +16,7 @@ unknown words, the same events as the unigram base.
 * Context counts live in tables of fixed size. Every task adds up its own, and the tables are
   merged chunk by chunk in levels of bounded fan-in.
 * What is broadcast has a fixed bound: ``TOP_WORDS`` words, the tables, the weights.
-* The mixer's first weights are fitted on about ``MIXER_ROWS`` training texts picked by a hash.
+* The mixer's first weights are fitted on all training texts; every task refines its own, the mean by tokens stays.
 
 A document's score depends on the model and its own text only, not on its block.
 
@@ -55,9 +55,9 @@ STEPS = 24
 # Tokens counted in one go; a megabyte of common text is one go.
 COUNT_TOKENS = 1 << 18
 MEMORY_WORDS = 1_000_000
-MIXER_ROWS = 4_000
 RATE = 0.015
-FIT_RATE = 0.004
+# Errors are summed over the texts of a step, so beyond FIT_LANES texts each counts for less.
+FIT_RATE, FIT_LANES = 0.004, 64
 OTHER_CONTEXTS = 1 << 18
 DEPTHS, SEEN = 8, 4
 INPUTS = CONTEXTS + 3
@@ -402,10 +402,11 @@ def _fit_weights(model) -> callable:
         code, tables = model()
         mixer, words, n = Mixer(code, tables, first_weights()), Words(code), 0
         for batch in batches:
-            for start in range(0, batch.num_rows, 64):
-                texts = [cut(t) for t in raw(batch.column("text").slice(start, 64))]
+            for start in range(0, batch.num_rows, LANES):
+                texts = [cut(t) for t in raw(batch.column("text").slice(start, LANES))]
                 lengths = np.array([len(t) for t in texts])
-                mixer.bits_of(words.look(list(chain.from_iterable(texts))), lengths, FIT_RATE, leave_out=True, common=True)
+                rate = FIT_RATE * min(1.0, FIT_LANES / len(texts))
+                mixer.bits_of(words.look(list(chain.from_iterable(texts))), lengths, rate, leave_out=True, common=True)
                 n += int(lengths.sum())
         if n:
             yield pa.RecordBatch.from_pydict({"weights": [mixer.weights.tobytes()], "n": [n]})
@@ -413,9 +414,9 @@ def _fit_weights(model) -> callable:
     return run
 
 
-def mixer_weights(sample: DataFrame, model) -> np.ndarray:
+def mixer_weights(texts: DataFrame, model) -> np.ndarray:
     """Every task refines the same first weights on its texts; the mean by tokens stays."""
-    rows = sample.mapInArrow(_fit_weights(model), "weights binary, n bigint").collect()
+    rows = texts.mapInArrow(_fit_weights(model), "weights binary, n bigint").collect()
     if not rows:
         return first_weights()
     total = sum(r.n for r in rows)
@@ -505,11 +506,7 @@ def score_texts(df: DataFrame, id_column: str = "doc_id", text_column: str = "te
     sent = shared(spark, code)
     training = rows.where(~F.col("held_out")).select("text")
     tables = context_tables(training, sent)
-    rate = min(1.0, MIXER_ROWS / max(1, next((c for w, c in common if w == END), 0)))
-    picked = rows.where(
-        ~F.col("held_out") & (F.pmod(F.xxhash64(F.lit(11), id_column), F.lit(1 << 30)) < int(rate * (1 << 30)))
-    )
-    weights = mixer_weights(picked.select("text"), shared(spark, (code, tables)))
+    weights = mixer_weights(training, shared(spark, (code, tables)))
     model = shared(spark, (Mixer(code, tables, weights), rare))
     known = words.join(counts, "word").select("block", "word", "c")
     schema = (
