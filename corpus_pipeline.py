@@ -5,7 +5,7 @@ as the next stage's input. All but the last return the columns of ``documents``.
 
 1. ``quality``: documents that the weakly trained classifier takes for junk or insults go.
 2. ``near_duplicates``: documents whose distinct five-word shingles have a Jaccard similarity of 0.8
-   or more are linked, verified pair by pair; of every component one row stays, that of the
+   or more are linked, found by SimHash signatures and by MinHash bands and verified pair by pair; of every component one row stays, that of the
    smallest id, and one without an id only if none has an id. Rows of one id are kept apart as
    their texts are.
 3. ``decontamination``: documents that hold a benchmark item go.

@@ -1,8 +1,9 @@
 """Near copies of texts: four fifths of their distinct five-word shingles agree.
 
-Candidates come from MinHash bands. ``BANDS`` bands of ``ROWS`` minima each meet on equal values;
-a pair at the bar of 0.8 shares one of them with a probability of 0.9999, a closer one more
-surely. Every candidate pair is verified on the distinct shingles both hold against those either
+Candidates come from two searches. SimHash fingerprints that differ in four bits or fewer meet by
+one-wildcard signatures, see ``simhash``. MinHash bands find what those miss: ``BANDS`` bands of
+``ROWS`` minima each meet on equal values; a pair at the bar of 0.8 shares one of them with a
+probability of 0.9999, a closer one more surely. Every candidate pair is verified on the distinct shingles both hold against those either
 holds. Shingles are compared as 64-bit hashes, written once for each text that meets another; the
 comparison itself is a built-in function on two arrays, so Spark bounds and spills what it holds.
 No pair below the bar is linked.
@@ -21,6 +22,8 @@ is one shingle; an empty table gives an empty result; ids must be neither null n
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -143,23 +146,38 @@ def _open_pairs(members: DataFrame, label: DataFrame, block: int) -> DataFrame:
     return met.select(F.col("m.node").alias("a"), F.col("c.node").alias("b")).distinct()
 
 
+def _signed_pairs(classes: DataFrame, links: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """Classes of one fingerprint with the least of them, and the least ones of linked fingerprints."""
+    least = materialize(classes.groupBy("print").agg(F.min("node").alias("low"), F.count("*").alias("n")), "class-prints")
+    same = classes.join(least.where("n > 1"), "print").where("node <> low").select(F.col("low").alias("a"), F.col("node").alias("b"))
+    named = lambda n: least.select(F.col("print").alias(n), F.col("low").alias(f"low_{n}"))
+    near = links(least.select("print")).join(named("a"), "a").join(named("b"), "b")
+    near = near.select(F.least("low_a", "low_b").alias("a"), F.greatest("low_a", "low_b").alias("b"))
+    return same.union(near)
+
+
 def near_copies(df: DataFrame, id_column: str = "doc_id", text_column: str = "text", block: int = BLOCK) -> DataFrame:
     """``id, node, component_id`` per row; the component is its smallest id, over any chain of links."""
+    from orderloom.llm import simhash  # which offers this function under its own name
+
+    fingerprint, links = simhash.fingerprint, simhash.links
     kind = df.schema[id_column].dataType.simpleString()
     plain = df.select(id_column, text_of(text_column).alias("text"))
 
     def run(columns):
         node, size, low, high, bands = zip(*map(sketch, columns["text"])) if columns["text"] else ((),) * 5
-        return {id_column: columns[id_column], "node": node, "size": size, "low": low, "high": high, "bands": bands}
+        prints = [fingerprint(t)[0] for t in columns["text"]]
+        return {id_column: columns[id_column], "node": node, "size": size, "low": low, "high": high, "bands": bands, "print": prints}
 
-    schema = f"`{id_column}` {kind}, node bigint, size int, low bigint, high bigint, bands array<bigint>"
+    schema = f"`{id_column}` {kind}, node bigint, size int, low bigint, high bigint, bands array<bigint>, print bigint"
     printed = materialize(map_rows(plain, run, schema, rows=256), "sketches")
-    firsts = [F.first(n).alias(n) for n in ("size", "low", "high", "bands")]
+    firsts = [F.first(n).alias(n) for n in ("size", "low", "high", "bands")] + [F.min("print").alias("print")]
     classes = materialize(printed.groupBy("node").agg(F.min(id_column).alias("least"), *firsts), "sketch-classes")
     members = classes.select("node", "size", "low", "high", F.explode("bands").alias("band"))
     several = members.groupBy("band").count().where("count > 1").select("band")
     members = materialize(members.join(several, "band", "left_semi"), "band-members")
-    first = materialize(_first_pairs(members), "first-pairs")
+    signed = _signed_pairs(classes.select("node", "print"), links)
+    first = materialize(_first_pairs(members).select("a", "b").union(signed).distinct(), "first-pairs")
     sets = _sets(_ends(first), classes, plain, id_column)
     links = _verified(first, sets)
     rest = materialize(

@@ -5,7 +5,8 @@ segment gets at most one, so linked fingerprints agree on one segment but for on
 distinct fingerprint is indexed under its 64 signatures, one for every bit made a wildcard
 inside its segment; equal signatures meet, and the full distance is verified.
 
-For filtering, ``near_duplicates(wide=True)`` compares the shingles themselves, see ``overlap``.
+For filtering, ``near_duplicates(wide=True)`` verifies what the signatures find, and what MinHash bands
+find besides, on the shingles themselves, see ``overlap``.
 
 Only distinct fingerprints are indexed, so exact copies never meet each other. A signature
 that more than ``BLOCK`` fingerprints share is worked off in pairs of blocks, each of bounded
