@@ -48,7 +48,9 @@ SHINGLE = 5
 BLOCK_ITEMS = 16
 INDEX_ITEMS = 4_096
 #: Words times blocks that one lookup may gather.
-GATHERED = 8_000_000
+GATHERED = 2_000_000
+#: Rows that one lookup holds as Python values; their words weigh many times their text.
+LOOKUP_ROWS = 256
 #: Passage length as a multiple of the longest item; they overlap by one such item and a half.
 PASSAGE = 3
 
@@ -278,7 +280,7 @@ def find_leaks(
             names = (id_column, "item_id", "bm25_share", "question_overlap", "answer_overlap")
             return {n: [f[k] for f in found] for k, n in enumerate(names)}
 
-        part = map_rows(rows, run, schema)
+        part = map_rows(rows, run, schema, rows=LOOKUP_ROWS)
         out = part if out is None else out.unionByName(part)
     return df.sparkSession.createDataFrame([], schema) if out is None else out
 
@@ -298,7 +300,7 @@ def remove_leaks(
             keep = [k for k, found in enumerate(matched) if not found]
             return {n: [c[k] for k in keep] for n, c in columns.items()}
 
-        df = map_rows(df, run, schema)
+        df = map_rows(df, run, schema, rows=LOOKUP_ROWS)
     return df
 
 
