@@ -5,16 +5,18 @@ one-wildcard signatures, see ``simhash``. MinHash bands find what those miss: ``
 ``ROWS`` minima each meet on equal values; a pair at the bar of 0.8 shares one of them with a
 probability of 0.9999, a closer one more surely. Every candidate pair is verified on the distinct shingles both hold against those either
 holds. Shingles are compared as 64-bit hashes, written once for each text that meets another; the
-comparison itself is a built-in function on two arrays, so Spark bounds and spills what it holds.
-No pair below the bar is linked.
+comparison of the first round is a built-in function on two arrays, so Spark bounds and spills what it
+holds. No pair below the bar is linked.
 
 Texts with equal sets of shingles are one class and never meet each other. In a first round the
 classes of a band meet one of them, picked anew for each band, which joins most of what belongs
 together. In a second round all pairs of a band meet that are still in different components, so
-every candidate pair is verified or is already joined by verified links. Crowded bands are worked
-off in blocks, each only against sets of near size: at the bar the larger set is at most 5/4 of the
-smaller. ``APART`` differing bits of 128, one of every minimum, rule a pair out before its
-hashes are fetched; a pair at the bar differs in 12.8 with a deviation of 3.4.
+every candidate pair is verified or is already joined by verified links. They meet inside tasks: a
+band comes as blocks of bounded size, two at a time, with the hashes of its sets, and only a spanning
+forest of its verified links leaves, never its pairs. A pair is compared in the first band it shares.
+At the bar the larger set is at most 5/4 of the smaller. ``APART`` differing bits of 128, one of every
+minimum, rule a pair out before its hashes are compared; a pair at the bar differs in 12.8 with a
+deviation of 3.4.
 
 Defined cases: null and empty texts have no shingles and equal each other; a text of fewer words
 is one shingle; an empty table gives an empty result; ids must be neither null nor repeated.
@@ -22,9 +24,10 @@ is one shingle; an empty table gives an empty result; ids must be neither null n
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -37,14 +40,14 @@ BANDS, ROWS = 24, 5
 HASHES = 128
 APART = 32
 BLOCK = 2048
+# Hashes of the sets in one block, 16 MB; a larger set is a block of its own at worst.
+BLOCK_HASHES = 1 << 21
 SEED = 42
 _rnd = np.random.default_rng(SEED)
 _FLIP = _rnd.integers(0, 1 << 64, (HASHES, 1), "u8")
 _ODD = _rnd.integers(0, 1 << 64, (HASHES, 1), "u8") | np.uint64(1)
 _CHUNK = 1024
 _PIECE = 1 << 16
-# A little above 5/4, so that sets at the bar lie in the same or in neighbouring classes of size.
-_SIZE_STEP = 1.26
 
 
 def shingles(text: str) -> set[bytes]:
@@ -99,14 +102,16 @@ def _near(a: str, b: str) -> Column:
 
 
 def _sets(nodes: DataFrame, classes: DataFrame, plain: DataFrame, id_column: str) -> DataFrame:
-    """``node, hashes`` of the classes that ``nodes`` names, from the text of each one's least id."""
-    wanted = materialize(classes.join(nodes, "node", "left_semi").select(F.col("least").alias(id_column), "node"), "wanted")
+    """``node, bands, hashes`` of the classes that ``nodes`` names, from the text of each one's least id."""
+    named = classes.join(nodes, "node", "left_semi").select(F.col("least").alias(id_column), "node", "bands")
+    wanted = materialize(named, "wanted")
 
     def run(columns):
-        return {"node": columns["node"], "hashes": [hashes(t).view("i8") for t in columns["text"]]}
+        return {**columns, "hashes": [hashes(t).view("i8") for t in columns["text"]]}
 
-    texts = plain.join(wanted, id_column).select("node", "text")
-    return materialize(map_rows(texts, run, "node bigint, hashes array<bigint>", rows=256), "shingle-hashes")
+    texts = plain.join(wanted, id_column).select("node", "bands", "text")
+    schema = "node bigint, bands array<bigint>, hashes array<bigint>"
+    return materialize(map_rows(texts, run, schema, rows=256), "shingle-hashes")
 
 
 def _ends(pairs: DataFrame) -> DataFrame:
@@ -130,20 +135,91 @@ def _first_pairs(members: DataFrame) -> DataFrame:
     return met.select(F.greatest("m.node", "c.node").alias("b"), F.least("m.node", "c.node").alias("a")).distinct()
 
 
-def _open_pairs(members: DataFrame, label: DataFrame, block: int) -> DataFrame:
-    """All pairs of a band that are in different components, each band in blocks of its members."""
-    named = members.join(label.select("node", "component"), "node", "left")
-    named = named.withColumn("component", F.coalesce("component", "node"))
-    sizes = named.groupBy("band").agg(F.count("*").alias("n"), F.min("component").alias("x"), F.max("component").alias("y"))
-    open_ = sizes.where("x <> y").select("band", F.ceil(F.col("n") / block).cast("int").alias("blocks"))
-    scale = F.floor(F.log(_SIZE_STEP, F.greatest("size", F.lit(1)))).cast("int")
-    dealt = materialize(named.join(open_, "band").withColumn("scale", scale), "open-bands")
-    left = dealt.withColumn("unit", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
-    right = dealt.withColumn("unit", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    right = right.withColumn("scale", F.explode(F.array(*(F.col("scale") + k for k in (-1, 0, 1)))))
-    met = left.alias("m").join(right.alias("c"), ["band", "unit", "scale"])
-    met = met.where("m.node < c.node and m.component <> c.component").where(_near("m", "c"))
-    return met.select(F.col("m.node").alias("a"), F.col("c.node").alias("b")).distinct()
+def _linked(band: int, apart: bool, own: np.ndarray, rows: dict[str, np.ndarray], ids: list[np.ndarray]) -> Iterator[tuple[int, int]]:
+    """A spanning forest of the links between components among rows of one band; ``apart``: of two blocks, ``own``."""
+    size, low, high, bands = (rows[n] for n in ("size", "low", "high", "bands"))
+    component, mark = rows["component"].copy(), np.zeros(1 + max(int(i.max(initial=0)) for i in ids), "i4")
+    for k in range(len(size) - 1):
+        after = slice(k + 1, None)
+        differ = np.bitwise_count(low[after] ^ low[k]).astype("i4") + np.bitwise_count(high[after] ^ high[k])
+        near = 5 * np.minimum(size[after], size[k]) >= 4 * np.maximum(size[after], size[k])
+        near &= (differ <= APART) & (component[after] != component[k])
+        if apart:
+            near &= own[after] != own[k]
+        met = np.flatnonzero(near) + k + 1
+        if len(met):
+            met = met[bands[k][(bands[met] == bands[k]).argmax(1)] == band]
+        if not len(met):
+            continue
+        mark[ids[k]] = 1
+        both = np.add.reduceat(mark[np.concatenate([ids[m] for m in met.tolist()])], np.cumsum(size[met]) - size[met])
+        mark[ids[k]] = 0
+        for m in met[9 * both >= 4 * (size[met] + size[k])].tolist():
+            if component[m] != component[k]:
+                component[component == component[m]] = component[k]
+                yield k, m
+
+
+def _lists(column: pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
+    """Where each list starts and ends, and all values."""
+    held = column.combine_chunks()
+    return held.offsets.to_numpy(), held.values.to_numpy()
+
+
+def _link_bands(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows come sorted by band and unit; a group that ends a batch waits for the next one."""
+
+    def links(t: pa.Table, edges: list[int]) -> pa.RecordBatch:
+        plain = {n: t[n].to_numpy() for n in ("band", "apart", "own", "node", "component", "size", "low", "high")}
+        at, values = _lists(t["hashes"])
+        starts, bands = _lists(t["bands"])
+        plain |= {n: plain[n].view("u8") for n in ("low", "high")}  # of signed numbers the bits of the amount would count
+        plain["bands"] = bands[starts[0] : starts[-1]].reshape(-1, BANDS)
+        found = []
+        for a, b in zip(edges, edges[1:]):
+            if b - a < 2:
+                continue
+            ids = np.unique(values[at[a] : at[b]], return_inverse=True)[1]
+            rows = {n: c[a:b] for n, c in plain.items()}
+            pairs = _linked(rows["band"][0], rows["apart"][0], rows["own"], rows, np.split(ids, at[a + 1 : b] - at[a]))
+            found += [(rows["node"][k], rows["node"][m]) for k, m in pairs]
+        ends = np.array(found, "i8").reshape(-1, 2)
+        return pa.RecordBatch.from_arrays([pa.array(ends.min(1)), pa.array(ends.max(1))], names=["a", "b"])
+
+    held = None
+    for batch in batches:
+        new = pa.Table.from_batches([batch])
+        held = pa.concat_tables([held, new]) if held is not None else new
+        band, unit = held["band"].to_numpy(), held["unit"].to_numpy()
+        edges = [0, *(np.flatnonzero((np.diff(band) != 0) | (np.diff(unit) != 0)) + 1).tolist()]
+        if len(edges) > 1:
+            yield links(held, edges)
+            held = held.slice(edges[-1]).combine_chunks()
+    if held is not None and held.num_rows:
+        yield links(held, [0, held.num_rows])
+
+
+def _open_pairs(members: DataFrame, nodes: DataFrame, block: int) -> DataFrame:
+    """Verified links between different components of a band, a spanning forest of each pair of blocks.
+
+    ``nodes``: node, component, bands, hashes.
+    """
+    named = members.join(nodes.select("node", F.coalesce("component", "node").alias("component")), "node")
+    sizes = named.groupBy("band").agg(
+        F.count("*").alias("n"), F.sum("size").alias("held"), F.min("component").alias("x"), F.max("component").alias("y")
+    )
+    blocks = F.greatest(F.ceil(F.col("n") / block), F.ceil(F.col("held") / BLOCK_HASHES)).cast("int")
+    open_ = materialize(sizes.where("x <> y").select("band", blocks.alias("blocks")), "open-bands")
+    # A row joins every pair of blocks that its own block is part of.
+    own = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int").alias("own")
+    dealt = named.join(open_, "band").select("*", own, F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))
+    unit = F.least("own", "other") * F.col("blocks").cast("bigint") + F.greatest("own", "other")
+    # Where two blocks meet, each was paired within itself elsewhere.
+    apart = F.floor(unit / F.col("blocks")) != unit % F.col("blocks")
+    placed = dealt.withColumns({"unit": unit, "apart": apart}).join(nodes.select("node", "bands", "hashes"), "node").select(
+        "band", "unit", "apart", "own", "node", "component", "size", "low", "high", "bands", "hashes"
+    )
+    return placed.repartition("band", "unit").sortWithinPartitions("band", "unit").mapInArrow(_link_bands, "a bigint, b bigint")
 
 
 def _signed_pairs(classes: DataFrame, links: Callable[[DataFrame], DataFrame]) -> DataFrame:
@@ -178,14 +254,10 @@ def near_copies(df: DataFrame, id_column: str = "doc_id", text_column: str = "te
     members = materialize(members.join(several, "band", "left_semi"), "band-members")
     signed = _signed_pairs(classes.select("node", "print"), links)
     first = materialize(_first_pairs(members).select("a", "b").union(signed).distinct(), "first-pairs")
-    sets = _sets(_ends(first), classes, plain, id_column)
+    sets = _sets(_ends(first).union(members.select("node")).distinct(), classes, plain, id_column)
     links = _verified(first, sets)
-    rest = materialize(
-        _open_pairs(members, components(links), block).join(first, ["a", "b"], "left_anti"), "open-pairs"
-    )
-    # Most texts have met another in the first round, so few are read again.
-    more = _sets(_ends(rest).join(sets.select("node"), "node", "left_anti"), classes, plain, id_column)
-    member = components(links.union(_verified(rest, sets.union(more))))
+    rest = _open_pairs(members, sets.join(components(links), "node", "left"), block)
+    member = components(links.union(materialize(rest, "open-links")))
     joined = classes.select("node", "least").join(member, "node", "left")
     joined = joined.withColumn("component", F.coalesce("component", "node"))
     least = joined.groupBy("component").agg(F.min("least").alias("component_id"))

@@ -48,3 +48,26 @@ def test_crowded_bands_equal_brute_force(documents):
 
 def test_no_rows(documents):
     assert overlap.near_copies(documents()).count() == 0
+
+
+def test_a_crowded_group_below_the_bar_leaves_no_pairs(documents, monkeypatch):
+    rnd = random.Random(4)
+    template, rows = [f"t{k}" for k in range(200)], []
+    for k in range(120):
+        words = list(template)
+        for at in range(3 + k % 9, 200, 29):  # all pairs agree by about a half to four fifths
+            words[at] = f"x{rnd.randrange(10**9)}"
+        rows.append((k, " ".join(words)))
+    rows += [(200, rows[5][1] + " end"), (201, rows[5][1] + " other end")]
+    written, materialize = {}, overlap.materialize
+
+    def seen(df, label):
+        out = materialize(df, label)
+        written[label] = out.count()
+        return out
+
+    monkeypatch.setattr(overlap, "materialize", seen)
+    found = {r.doc_id: r.component_id for r in overlap.near_copies(documents(*rows)).collect()}
+    assert found[200] == found[201] == 5 and len(set(found.values())) > 60
+    # A pair for every two texts would be some 7,000; without bands a row has at most 24.
+    assert max(n for label, n in written.items() if label != "band-members") < 10 * len(rows)
