@@ -5,8 +5,9 @@ import os
 import pytest
 from pyspark.sql import functions as F
 
-from orderloom import session
+from orderloom import registry, session
 from orderloom.operators import privacy, quality
+from orderloom.plans import inputs
 from orderloom.sources import table_extracts as extracts
 from orderloom.spec import ORDER_HISTORY
 
@@ -63,3 +64,24 @@ def test_held_tables_go_with_their_block(spark):
         assert rows.count() == 3 and len(folders()) == 1
         raise KeyError
     assert not folders()
+
+
+def test_gates_store_no_batch_and_batches_share_their_product_mapping(spark, monkeypatch):
+    stored, built = [], []
+    monkeypatch.setattr(registry, "materialize", lambda df, label: stored.append(label) or df)
+    rows = spark.range(4).select(F.lit("b").alias("batch_id"), F.lit("s").alias("snapshot_date"), F.lit("h").alias("row_hash"))
+    for name in ("pseudonymized_history", "pseudonymized_open_orders", "pseudonymized_inventory", "raw_open_orders"):
+        monkeypatch.setattr(inputs.Inputs, name, lambda self: rows)
+    queries = registry.queries()
+    for name in ("order_history", "open_orders", "inventory"):
+        report = {r.metric: r.value for r in queries[f"quality_gate_{name}"](spark, "").collect()}
+        assert report["row_count"] == 4 and report["duplicate_row_hash_count"] == 3
+    assert sorted(r.dataset for r in queries["gate_status"](spark, "").collect()) == ["inventory", "open_orders", "order_history"]
+    assert not stored
+
+    for name in ("stored_product_profile", "prior_products", "categories"):
+        monkeypatch.setattr(inputs.Inputs, name, lambda self: None)
+    monkeypatch.setattr(inputs.identities, "build_product_mapping", lambda *_: built.append(1) or rows)
+    monkeypatch.setattr(inputs, "materialize", lambda df, label: df)
+    i = inputs.Inputs(spark, "")
+    assert i.products() is i.products() and len(built) == 1
