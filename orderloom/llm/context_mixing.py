@@ -32,6 +32,7 @@ import heapq
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import cached_property
 from itertools import chain, repeat
 
 import numpy as np
@@ -52,6 +53,8 @@ BLOCK_BYTES = 32_000_000
 LANES = 1024
 OWN_SLOTS = 4096
 STEPS = 24
+# Tokens whose inputs are prepared in one go; their arrays stay in a core's cache.
+INPUT_TOKENS = 1 << 12
 # Tokens counted in one go; a megabyte of common text is one go.
 COUNT_TOKENS = 1 << 18
 MEMORY_WORDS = 1_000_000
@@ -209,8 +212,11 @@ class Words:
         return self.table[found]
 
 
+_SPREAD = np.uint64(0x9E3779B97F4A7C15)
+
+
 def _mixed(value: np.ndarray) -> np.ndarray:
-    value = value * np.uint64(0x9E3779B97F4A7C15)
+    value = value * _SPREAD
     return value ^ (value >> np.uint64(29))
 
 
@@ -230,18 +236,19 @@ def raised(nodes: np.ndarray) -> np.ndarray:
 
 
 def slots(hashes: np.ndarray, high: np.ndarray) -> np.ndarray:
-    mixed = _mixed(hashes + high)
+    """Both are multiplied by ``_SPREAD`` before, once per token and node in place of once per bit."""
+    mixed = hashes + high
+    mixed ^= mixed >> np.uint64(29)
     mixed >>= np.uint64(20)
     mixed &= np.uint64(_MASK)
     return mixed.view("i8")
 
 
 def events(code: Code, number: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """For the bits of all tokens in order: which token each belongs to, and its place in the paths."""
+    """For the bits of all tokens in order: how many each token has, and their places in the paths."""
     sizes = code.first[number + 1] - code.first[number]
-    token = np.repeat(np.arange(len(number)), sizes)
-    place = np.arange(len(token)) - np.repeat(np.cumsum(sizes) - sizes, sizes) + np.repeat(code.first[number], sizes)
-    return token, place
+    ends = np.cumsum(sizes)
+    return sizes, np.arange(sizes.sum()) + np.repeat(code.first[number] - (ends - sizes), sizes)
 
 
 # --- counting contexts ----------------------------------------------------------------------
@@ -250,16 +257,16 @@ def events(code: Code, number: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 def _count_contexts(code) -> callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, counts, own = code(), np.zeros((CONTEXTS, 2 << TABLE_BITS), "u4"), 0
-        words = HashedWords(held)
+        words, spread_nodes = HashedWords(held), raised(held.nodes) * _SPREAD
 
         def add(texts: list[bytes]) -> int:
             seen, lengths = words.look(texts)
-            hashes = contexts(seen[:, 1], lengths)
+            hashes = contexts(seen[:, 1], lengths) * _SPREAD
             for start in range(0, len(seen), COUNT_TOKENS):
-                token, place = events(held, seen[start : start + COUNT_TOKENS, 0])
-                high, bit = raised(held.nodes[place]), held.bits[place]
+                sizes, place = events(held, seen[start : start + COUNT_TOKENS, 0])
+                high, bit = spread_nodes[place], held.bits[place]
                 for k in range(CONTEXTS):
-                    at = slots(hashes[k, start : start + COUNT_TOKENS][token], high) * 2 + bit
+                    at = slots(np.repeat(hashes[k, start : start + COUNT_TOKENS], sizes), high) * 2 + bit
                     np.add(counts[k], np.bincount(at, minlength=2 << TABLE_BITS), out=counts[k], casting="unsafe")
             return len(seen)
 
@@ -319,6 +326,26 @@ class Mixer:
     tables: np.ndarray
     weights: np.ndarray  # gate, input
 
+    def __getstate__(self) -> dict:
+        """What is derived below is made where it is needed, not sent."""
+        return {"code": self.code, "tables": self.tables, "weights": self.weights}
+
+    @cached_property
+    def paths(self) -> tuple[np.ndarray, ...]:
+        """By place in the paths: stretched chance of a one, the chance, sign of the bit, first gate, own slot, high part of slots."""
+        code = self.code
+        odds = np.exp(code.ahead)
+        ahead = np.clip(code.ahead, -_LIMIT, _LIMIT).astype("f4")
+        return (
+            ahead[code.nodes], (odds / (1 + odds)).astype("f4")[code.nodes], (2 * code.bits - 1).astype("f4"),
+            (code.depth * SEEN).astype("i2"), (code.nodes % OWN_SLOTS).astype("i4"), raised(code.nodes) * _SPREAD,
+        )
+
+    @cached_property
+    def pairs(self) -> list[np.ndarray]:
+        """Both counts of a slot as one 64-bit number, so that they are fetched at once."""
+        return [np.ascontiguousarray(t, "f4").view("c8")[:, 0] for t in self.tables]
+
     def bits_of(
         self, seen: np.ndarray, lengths: np.ndarray, rate: float, leave_out: bool = False, common: bool = False
     ) -> np.ndarray:
@@ -329,7 +356,7 @@ class Mixer:
         one per text.
         """
         out = np.zeros(len(lengths))
-        hashes, starts = contexts(seen[:, 1], lengths), np.cumsum(lengths) - lengths
+        hashes, starts = contexts(seen[:, 1], lengths) * _SPREAD, np.cumsum(lengths) - lengths
         order = np.argsort(-lengths, kind="stable")
         for first in range(0, len(order), LANES):
             lanes = order[first : first + LANES]
@@ -337,57 +364,79 @@ class Mixer:
         return out
 
     def _lanes(self, number, hashes, starts, lengths, rate, leave_out, common):
-        code, count, gates = self.code, len(lengths), DEPTHS * SEEN
+        count, gates = len(lengths), DEPTHS * SEEN
         weights = np.tile(self.weights.T, 1 if common else count).astype("f4")  # input, lane and gate
-        own = np.zeros(count * OWN_SLOTS * 2, "f4")
-        odds, pairs = np.exp(code.ahead), [np.ascontiguousarray(t).view("<u8")[:, 0] for t in self.tables]
-        chance, signs = (odds / (1 + odds)).astype("f4"), (2 * code.bits - 1).astype("f4")
-        ahead = np.clip(code.ahead, -_LIMIT, _LIMIT).astype("f4")
-        bits = np.zeros(count)
-        for at in range(0, int(lengths[0]), STEPS):
-            alive = int(np.searchsorted(-lengths, -at, "left"))
-            size = np.minimum(lengths[:alive] - at, STEPS)
-            lane = np.repeat(np.arange(alive), size)
-            spot = np.arange(len(lane)) - np.repeat(np.cumsum(size) - size, size) + np.repeat(starts[:alive] + at, size)
-            token, place = events(code, number[spot])
-            node, bit, on = code.nodes[place], code.bits[place].astype("i8"), lane[token]
-            # Every input is the log of chances: counts pull the order-0 chance to what was shown.
-            one = chance[node]
-            zero, high = 1 - one, raised(node)
-            pull_one, pull_zero = 0.7 * one, 0.7 * zero
-            x = np.empty((INPUTS, len(token)), "f4")
-            x[0], x[-1] = ahead[node], 0.3
-            for k in range(CONTEXTS):
-                # Both counts of a slot are fetched as one 64-bit number.
-                n = pairs[k][slots(hashes[k][spot][token], high)].view("<u4")
-                zeros, ones = n[::2].astype("f4"), n[1::2].astype("f4")
-                if leave_out:
-                    zeros, ones = np.maximum(zeros - (bit == 0), 0), np.maximum(ones - bit, 0)
-                np.log((ones + pull_one) / (zeros + pull_zero), out=x[1 + k])
-                if k == 1:
-                    total = zeros + ones
-                    level = (total > 0.5).astype("i8") + (total > 1.5) + (total > 6.5)
-            mine = (on * OWN_SLOTS + node % OWN_SLOTS) * 2
-            np.log((own[mine + 1] + 2 * one) / (own[mine] + 2 * zero), out=x[-2])
-            np.clip(x[1:-1], -_LIMIT, _LIMIT, out=x[1:-1])
-            gate = code.depth[place] * SEEN + level
-            if not common:
-                gate += on * gates
-            mixed = weights[0][gate] * x[0]
-            for k in range(1, INPUTS):
-                mixed += weights[k][gate] * x[k]
-            sign = signs[place]
-            missed = np.exp(-np.clip(mixed * sign, -20, 20).astype("f8"))
-            whole = 1 + missed
-            bits += np.bincount(on, np.log(whole), count)
-            error = (rate * sign * (missed / whole)).astype("f4")
-            for k in range(INPUTS):
-                weights[k] += np.bincount(gate, error * x[k], weights.shape[1]).astype("f4")
-            np.add.at(own, mine + bit, np.float32(1))
+        own, bits = np.zeros(count * OWN_SLOTS * 2, "f4"), np.zeros(count)
+        # Tokens in the order they are coded in: by step, then by lane. Inputs are prepared for several steps at once.
+        lane = np.repeat(np.arange(count), lengths)
+        at = np.arange(len(lane)) - np.repeat(np.cumsum(lengths) - lengths, lengths)
+        order = np.argsort(at // STEPS, kind="stable")
+        spot, lane = (np.repeat(starts, lengths) + at)[order], lane[order]
+        edges = np.concatenate([[0], np.cumsum(np.bincount(at // STEPS))])
+        first, steps = 0, len(edges) - 1
+        while first < steps:
+            last = max(first + 1, int(np.searchsorted(edges, edges[first] + INPUT_TOKENS, "right")) - 1)
+            piece = slice(edges[first], edges[last])
+            sizes, place = events(self.code, number[spot[piece]])
+            on = np.repeat(lane[piece], sizes)
+            x, one, sign, gate, mine = self._inputs(hashes[:, spot[piece]], sizes, place, leave_out)
+            mine = mine + on * OWN_SLOTS
+            gate = gate.astype("i8") if common else gate + on * gates
+            ends = np.concatenate([[0], np.cumsum(sizes)])[edges[first : last + 1] - edges[first]].tolist()
+            for here in map(slice, ends, ends[1:]):
+                if here.start < here.stop:
+                    self._step(
+                        weights, own, bits, x[:, here], one[here], sign[here], gate[here], mine[here], on[here], rate,
+                        gates if common else (int(on[here.stop - 1]) + 1) * gates,
+                    )
+            first = last
         if common:
             self.weights = weights.T.astype("f8")
         return bits / np.log(2)
 
+    def _inputs(self, hashes, sizes, place, leave_out):
+        """By event the inputs that do not depend on what the text has shown so far, and what the paths and counts tell.
+
+        Every input is the log of chances: counts pull the order-0 chance to what was shown.
+        """
+        ahead, one, sign, gate, mine, high = (values.take(place) for values in self.paths)
+        x = np.empty((INPUTS, len(place)), "f4")
+        x[0], x[-1] = ahead, 0.3
+        pull_one, pull_zero = 0.7 * one, 0.7 * (1 - one)
+        if leave_out:
+            is_one = sign > 0
+            is_zero = ~is_one
+        for k in range(CONTEXTS):
+            n = self.pairs[k].take(slots(np.repeat(hashes[k], sizes), high)).view("f4")
+            zeros, ones = n[::2], n[1::2]
+            if leave_out:
+                zeros, ones = np.maximum(zeros - is_zero, 0), np.maximum(ones - is_one, 0)
+            if k == 1:
+                total = zeros + ones
+                gate += (total > 0.5).view("i1") + (total > 1.5).view("i1") + (total > 6.5).view("i1")
+            ratio = np.add(ones, pull_one, out=x[1 + k])
+            ratio /= zeros + pull_zero
+            np.log(ratio, out=ratio)
+        np.clip(x[1:-2], -_LIMIT, _LIMIT, out=x[1:-2])
+        return x, one, sign, gate, mine
+
+    def _step(self, weights, own, bits, x, one, sign, gate, mine, on, rate, reach):
+        """Bits of one step's events, and what they teach: weights and own counts stand still within a step."""
+        n = own.view("c8").take(mine).view("f4")
+        ratio = np.add(n[1::2], 2 * one, out=x[-2])
+        ratio /= n[::2] + 2 * (1 - one)
+        np.log(ratio, out=ratio)
+        np.clip(ratio, -_LIMIT, _LIMIT, out=ratio)
+        mixed = (weights.take(gate, axis=1) * x).sum(0) * sign
+        missed = np.exp(-np.clip(mixed, -20, 20).astype("f8"))
+        whole = 1 + missed
+        seen = np.bincount(on, np.log(whole))
+        bits[: len(seen)] += seen
+        error = (rate * sign * (missed / whole)).astype("f4")
+        for k in range(INPUTS):
+            weights[k, :reach] += np.bincount(gate, error * x[k], reach).astype("f4")
+        np.add.at(own, mine * 2 + (sign > 0), np.float32(1))
+
 
 def first_weights() -> np.ndarray:
     out = np.zeros((DEPTHS * SEEN, INPUTS))
@@ -399,12 +448,11 @@ def first_weights() -> np.ndarray:
 def _fit_weights(model) -> callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         code, tables = model()
-        mixer, words, n = Mixer(code, tables, first_weights()), Words(code), 0
+        mixer, words, n = Mixer(code, tables, first_weights()), HashedWords(code), 0
         for batch in batches:
             for start in range(0, batch.num_rows, 64):
-                texts = [cut(t) for t in raw(batch.column("text").slice(start, 64))]
-                lengths = np.array([len(t) for t in texts])
-                mixer.bits_of(words.look(list(chain.from_iterable(texts))), lengths, FIT_RATE, leave_out=True, common=True)
+                seen, lengths = words.look([t.lower() for t in raw(batch.column("text").slice(start, 64))])
+                mixer.bits_of(seen, lengths, FIT_RATE, leave_out=True, common=True)
                 n += int(lengths.sum())
         if n:
             yield pa.RecordBatch.from_pydict({"weights": [mixer.weights.tobytes()], "n": [n]})
@@ -503,7 +551,7 @@ def score_texts(df: DataFrame, id_column: str = "doc_id", text_column: str = "te
     code = build_code(common, rare)
     sent = shared(spark, code)
     training = rows.where(~F.col("held_out")).select("text")
-    tables = context_tables(training, sent)
+    tables = context_tables(training, sent).astype("f4")  # as the mixer reads them, so that no task holds a copy
     weights = mixer_weights(training, shared(spark, (code, tables)))
     model = shared(spark, (Mixer(code, tables, weights), rare))
     known = words.join(counts, "word").select("block", "word", "c")

@@ -4,6 +4,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from orderloom.llm import context_mixing as cm
@@ -127,3 +128,67 @@ def test_rows_without_id_spread_over_blocks(spark, monkeypatch):
     monkeypatch.setattr(cm, "BLOCK_BYTES", 300)
     parts = sorted(r.score for r in cm.score_texts(df).collect())
     assert len(parts) == 300 and parts == pytest.approx(whole, rel=1e-4)
+
+
+def _by_bits(mixer, seen, lengths, rate, leave_out, common):
+    """``Mixer.bits_of`` for one event after another."""
+    code, weights, out = mixer.code, {}, np.zeros(len(lengths))
+    hashes, starts = cm.contexts(seen[:, 1], lengths), np.cumsum(lengths) - lengths
+    chance = 1 / (1 + np.exp(-code.ahead))
+    own, mask = Counter(), (1 << 64) - 1
+    order = sorted(range(len(lengths)), key=lambda k: -lengths[k])
+    for at in range(0, max(lengths), cm.STEPS):
+        taught, shown = [], []
+        for text in order:
+            for spot in range(starts[text] + at, starts[text] + min(lengths[text], at + cm.STEPS)):
+                for place in range(code.first[seen[spot, 0]], code.first[seen[spot, 0] + 1]):
+                    node, bit = int(code.nodes[place]), int(code.bits[place])
+                    x, level = [float(np.clip(code.ahead[node], -8, 8))], 0
+                    for k in range(cm.CONTEXTS):
+                        mixed = (int(hashes[k, spot]) + (node << 32)) * 0x9E3779B97F4A7C15 & mask
+                        slot = (mixed ^ mixed >> 29) >> 20 & (1 << cm.TABLE_BITS) - 1
+                        counts = [int(n) for n in mixer.tables[k][slot]]
+                        if leave_out:
+                            counts[bit] = max(counts[bit] - 1, 0)
+                        x.append(math.log((counts[1] + 0.7 * chance[node]) / (counts[0] + 0.7 * (1 - chance[node]))))
+                        if k == 1:
+                            level = sum(sum(counts) > limit for limit in (0.5, 1.5, 6.5))
+                    x.append(math.log((own[text, node, 1] + 2 * chance[node]) / (own[text, node, 0] + 2 * (1 - chance[node]))))
+                    x = [min(max(value, -8), 8) for value in x] + [0.3]
+                    gate = int(code.depth[place]) * cm.SEEN + level
+                    held = weights.setdefault((None if common else text, gate), np.array(mixer.weights[gate]))
+                    missed = math.exp(-float(np.clip(held @ x, -20, 20)) * (1 if bit else -1))
+                    out[text] += math.log2(1 + missed)
+                    taught.append((held, rate * (1 if bit else -1) * missed / (1 + missed) * np.array(x)))
+                    shown.append((text, node, bit))
+        for held, change in taught:
+            held += change
+        own.update(shown)
+    return out, {gate: held for (_, gate), held in weights.items()}
+
+
+@pytest.mark.parametrize("leave_out", [False, True])
+@pytest.mark.parametrize("tokens_at_once", [1, 70, 1 << 12])
+def test_bits_equal_those_of_one_event_after_another(leave_out, tokens_at_once, monkeypatch):
+    monkeypatch.setattr(cm, "INPUT_TOKENS", tokens_at_once)
+    rnd = np.random.default_rng(4)
+    code = cm.build_code([(f"t{k}".encode(), int(c)) for k, c in enumerate(rnd.integers(1, 90, 30))], 20)
+    tables = rnd.integers(0, 9, (cm.CONTEXTS, 1 << cm.TABLE_BITS, 2)).astype("u4")
+    mixer = cm.Mixer(code, tables, cm.first_weights())
+    texts = [b" ".join(b"t%d" % k for k in rnd.integers(0, 33, n)) for n in (60, 0, 24, 23, 100, 3)]
+    seen, lengths = cm.HashedWords(code).look(texts)
+    expected, weights = _by_bits(mixer, seen, lengths, 0.02, leave_out, common=leave_out)
+    got = mixer.bits_of(seen, lengths, 0.02, leave_out=leave_out, common=leave_out)
+    assert got == pytest.approx(expected, rel=1e-5)
+    if leave_out:
+        assert all(mixer.weights[gate] == pytest.approx(held, abs=1e-5) for gate, held in weights.items())
+
+
+def test_fit_looks_up_no_word_by_itself(monkeypatch):
+    """The fit reads whole texts at once; it met every word as an object of its own before."""
+    code = cm.build_code([(b"the", 9), (b"", 7), (b"x", 2)], 30)
+    tables = np.zeros((cm.CONTEXTS, 1 << cm.TABLE_BITS, 2), "u4")
+    monkeypatch.setattr(cm, "Words", None)
+    batch = pa.RecordBatch.from_pydict({"text": ["The x y", "", "X the the"]})
+    (row,) = (r for b in cm._fit_weights(lambda: (code, tables))(iter([batch])) for r in b.to_pylist())
+    assert row["n"] == 9 and len(row["weights"]) == 8 * cm.DEPTHS * cm.SEEN * cm.INPUTS
