@@ -85,3 +85,28 @@ def test_gates_store_no_batch_and_batches_share_their_product_mapping(spark, mon
     monkeypatch.setattr(inputs, "materialize", lambda df, label: df)
     i = inputs.Inputs(spark, "")
     assert i.products() is i.products() and len(built) == 1
+
+
+def test_orders_come_before_parts_where_only_their_date_is_asked_for(spark, sf_dir):
+    """Lines outside the wanted time are gone before parts add their text; parts came first before."""
+    columns = ("full_sku_code", "product_description", "order_date")
+    rows = extracts.order_history(spark, sf_dir, columns).where(F.col("order_date") < "19950102")
+    text = plan(rows)
+    assert text.index("Relation [l_orderkey#") < text.index("Relation [o_orderkey#") < text.index("Relation [p_partkey#")
+    # Line 3 has no order, so no date.
+    found = sorted(tuple(r) for r in rows.collect())
+    assert found == [(f"010000-{k:05d}", f"a b {k}", "19950101") for k in (0, 0, 1, 2)]
+    wide = plan(extracts.order_history(spark, sf_dir, (*columns, "order_status")))
+    assert wide.index("Relation [p_partkey#") < wide.index("Relation [o_orderkey#")
+
+
+def test_repeated_fingerprints_are_grouped_by_their_bytes(spark):
+    """They were grouped as text of twice the size; text that is no fingerprint stays apart from all others."""
+    digest = "0123456789abcdef" * 2
+    hashes = [digest, digest, digest.upper(), digest + "\n", digest[:-1], digest[2:], "", "", None, None, None]
+    names = [n for n in dict.fromkeys(ORDER_HISTORY.validator_required) if n != "row_hash"]
+    rows = spark.createDataFrame([(h,) for h in hashes], "row_hash string").select("row_hash", *(F.lit("real").alias(n) for n in names))
+    found = privacy.violations(rows, ORDER_HISTORY)
+    assert "unhex(" in plan(found)
+    counts = {(r.column_name, r.problem): r.row_count for r in found.collect()}
+    assert counts[("row_hash", "missing")] == 3 and counts[("row_hash", "duplicate")] == 4
