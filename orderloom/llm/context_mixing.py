@@ -404,19 +404,16 @@ class Mixer:
         x[0], x[-1] = ahead, 0.3
         pull_one, pull_zero = 0.7 * one, 0.7 * (1 - one)
         if leave_out:
-            is_one = sign > 0
-            is_zero = ~is_one
+            bit = (sign > 0).astype("i8")  # what it is taken from becomes double
         for k in range(CONTEXTS):
             n = self.pairs[k].take(slots(np.repeat(hashes[k], sizes), high)).view("f4")
             zeros, ones = n[::2], n[1::2]
             if leave_out:
-                zeros, ones = np.maximum(zeros - is_zero, 0), np.maximum(ones - is_one, 0)
+                zeros, ones = np.maximum(zeros - (bit == 0), 0), np.maximum(ones - bit, 0)
             if k == 1:
                 total = zeros + ones
                 gate += (total > 0.5).view("i1") + (total > 1.5).view("i1") + (total > 6.5).view("i1")
-            ratio = np.add(ones, pull_one, out=x[1 + k])
-            ratio /= zeros + pull_zero
-            np.log(ratio, out=ratio)
+            np.log((ones + pull_one) / (zeros + pull_zero), out=x[1 + k])
         np.clip(x[1:-2], -_LIMIT, _LIMIT, out=x[1:-2])
         return x, one, sign, gate, mine
 
