@@ -29,14 +29,13 @@ are ignored.
 from __future__ import annotations
 
 import heapq
-from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
-from functools import cached_property
-from itertools import chain, repeat
+from functools import cached_property, lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import zstandard
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -50,32 +49,31 @@ CONTEXTS = 3
 CHUNK_SLOTS = 1 << 16
 FAN_IN = 64
 BLOCK_BYTES = 32_000_000
-LANES = 1024
+# Bytes of texts that are cut into words in one go.
+PIECE_BYTES = 1 << 20
+LANES = 128
 OWN_SLOTS = 4096
 STEPS = 24
 # Tokens whose inputs are prepared in one go; their arrays stay in a core's cache.
-INPUT_TOKENS = 1 << 12
+INPUT_TOKENS = 1 << 13
 # Tokens counted in one go; a megabyte of common text is one go.
 COUNT_TOKENS = 1 << 18
-MEMORY_WORDS = 1_000_000
 RATE = 0.015
 FIT_RATE = 0.004
 OTHER_CONTEXTS = 1 << 18
+# Up to so many events the sums for all inputs are taken in one call.
+FEW_EVENTS = 1 << 12
 DEPTHS, SEEN = 8, 4
 INPUTS = CONTEXTS + 3
 END = b""
 _MASK = (1 << TABLE_BITS) - 1
 _LIMIT = 8.0
+_ONCE = np.float32(1)
 
 
 def tokens(text: str) -> list[bytes]:
     """Lower-cased words between ASCII white space, and the end."""
-    return cut(text.encode())
-
-
-def cut(data: bytes) -> list[bytes]:
-    """``tokens`` of a text in UTF-8."""
-    return [*data.lower().split(), END]
+    return [*text.encode().lower().split(), END]
 
 
 def raw(column: pa.Array | pa.ChunkedArray) -> list[bytes]:
@@ -132,6 +130,13 @@ _BASE = 0x9E3779B97F4A7C15 | 1
 _INVERSE = pow(_BASE, -1, 1 << 64)
 
 
+def bounds(letters: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Which bytes are in words between ASCII white space, and where words start and end."""
+    inside = np.concatenate([[False], ~_SPACE[letters], [False]])
+    edges = np.flatnonzero(inside[1:] != inside[:-1])
+    return inside[1:-1], edges[::2], edges[1::2]
+
+
 def spelled(data: bytes) -> tuple[np.ndarray, np.ndarray]:
     """Starts and 64-bit hashes of the words between ASCII white space, in order.
 
@@ -139,16 +144,45 @@ def spelled(data: bytes) -> tuple[np.ndarray, np.ndarray]:
     word is made an object of its own.
     """
     letters = np.frombuffer(data, "u1")
-    inside = np.concatenate([[False], ~_SPACE[letters], [False]])
-    starts = np.flatnonzero(inside[1:] & ~inside[:-1])
-    ends = np.flatnonzero(~inside[1:] & inside[:-1])
-    powers = np.cumprod(np.full(len(letters), _BASE, "u8"), dtype="u8")
+    _, starts, ends = bounds(letters)
+    powers, back = _powers(max(16, len(letters) - 1).bit_length())
     sums = np.zeros(len(letters) + 1, "u8")
-    np.cumsum((letters.astype("u8") + np.uint64(1)) * powers, dtype="u8", out=sums[1:])
-    back = np.cumprod(np.full(len(letters) + 1, _INVERSE, "u8"), dtype="u8")
+    np.cumsum((letters.astype("u8") + np.uint64(1)) * powers[: len(letters)], dtype="u8", out=sums[1:])
     return starts, _mixed((sums[ends] - sums[starts]) * back[starts])
 
 
+@lru_cache(2)
+def _powers(bits: int) -> tuple[np.ndarray, np.ndarray]:
+    return tuple(np.cumprod(np.full(1 << bits, base, "u8"), dtype="u8") for base in (_BASE, _INVERSE))
+
+
+def spell_out(texts: list[bytes]) -> tuple[pa.ChunkedArray, np.ndarray]:
+    """``tokens`` of all texts in order as they lie in Arrow, and how many each text has."""
+    pieces, lengths, first = [], [np.zeros(0, "i8")], 0
+    sizes = np.cumsum([len(t) + 1 for t in texts])
+    while first < len(texts):
+        last = int(np.searchsorted(sizes, (sizes[first - 1] if first else 0) + PIECE_BYTES)) + 1
+        part = texts[first:last]
+        letters = np.frombuffer(b" ".join(part).lower(), "u1")
+        inside, starts, ends = bounds(letters)
+        words = np.searchsorted(starts, np.cumsum([len(t) + 1 for t in part]))
+        edges = np.cumsum(np.insert(ends - starts, [0, *words], 0)).astype("i4")  # the end is a word of no letters
+        pieces.append(pa.BinaryArray.from_buffers(
+            pa.binary(), len(edges) - 1, [None, pa.py_buffer(edges), pa.py_buffer(letters[inside])]
+        ))
+        lengths.append(np.diff(words, prepend=0) + 1)
+        first = last
+    return pa.chunked_array(pieces, pa.binary()), np.concatenate(lengths)
+
+
+def distinct_words(words: pa.ChunkedArray) -> tuple[pa.Array, np.ndarray]:
+    """The distinct words, and per word its place among them."""
+    chunks = words.dictionary_encode().chunks
+    if not chunks:
+        return pa.array([], pa.binary()), np.zeros(0, "i4")
+    return chunks[-1].dictionary, np.concatenate([c.indices.to_numpy() for c in chunks])
+
+
 def spread_contexts(hashes: np.ndarray, other: int) -> np.ndarray:
     return (hashes % np.uint64(OTHER_CONTEXTS)).astype("i8") + other + 1
 
@@ -162,6 +196,9 @@ class HashedWords:
         order = np.argsort(hashes)
         self.other, self.end = len(code.number), code.number.get(END, len(code.number))
         self.hashes, self.numbers = hashes[order], np.array([code.number[w] for w in words], "i8")[order]
+        # Where hashes with the same first 16 bits begin, and how many there are at most.
+        self.begin = np.searchsorted(self.hashes >> np.uint64(48), np.arange(1 << 16, dtype="u8")).astype("i4")
+        self.most = int(np.diff(self.begin, append=len(words)).max())
 
     def look(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """Rows (token number, context number) of the texts' tokens, each with its end, and their lengths."""
@@ -169,9 +206,11 @@ class HashedWords:
         edges = np.cumsum([len(t) + 1 for t in texts])
         words = np.diff(np.searchsorted(starts, edges), prepend=0)
         number, spread = np.full(len(starts), self.other, "i8"), spread_contexts(hashes, self.other)
-        if len(self.hashes):
-            at = np.minimum(np.searchsorted(self.hashes, hashes), len(self.hashes) - 1)
-            number = np.where(self.hashes[at] == hashes, self.numbers[at], self.other)
+        begin = self.begin.take(hashes >> np.uint64(48))
+        for k in range(self.most):
+            at = np.minimum(begin + k, len(self.hashes) - 1)
+            found = np.flatnonzero(self.hashes.take(at) == hashes)
+            number[found] = self.numbers.take(at.take(found))
         ends = np.cumsum(words)
         context = np.insert(np.where(number < self.other, number, spread), ends, self._end_context())
         return np.stack([np.insert(number, ends, self.end), context], 1), words + 1
@@ -181,35 +220,37 @@ class HashedWords:
 
 
 class Words:
-    """What is known of the distinct words met: token number, context number, training count.
+    """What is known of words: token number, context number, training count.
 
-    Words outside the code share a token number; a hash tells them apart as contexts.
+    Words outside the code share a token number; a hash tells them apart as contexts. ``known`` are
+    words (``word``), each once, and their counts (``c``); all others count as never met.
     """
 
-    def __init__(self, code: Code, counts: dict[bytes, int] | None = None):
-        self.code, self.counts = code, counts or {}
-        self.ids: dict[bytes, int] = {}
-        self.table = np.zeros((0, 3), "i8")
+    def __init__(self, code: Code, known: pa.Table | None = None):
+        self.code, self.known = code, known
 
     def look(self, words: list[bytes]) -> np.ndarray:
         """Rows (token number, context number, count), one per word."""
-        ids, other = self.ids, len(self.code.number)
-        if len(ids) > MEMORY_WORDS:
-            ids.clear()
-            self.table = self.table[:0]
-        found = np.fromiter(map(ids.get, words, repeat(-1)), "i8", len(words))
-        fresh = np.flatnonzero(found < 0).tolist()
-        if fresh:
-            met = [words[k] for k in fresh]
-            new, get, count = list(dict.fromkeys(met)), self.code.number.get, self.counts.get
-            number = np.array([get(w, other) for w in new], "i8")
-            spread = np.full(len(new), other + 1, "i8")
-            spread[[k for k, w in enumerate(new) if w]] = spread_contexts(spelled(b" ".join(new))[1], other)
-            facts = (number, np.where(number < other, number, spread), np.array([count(w, 0) for w in new], "i8"))
-            ids.update(zip(new, range(len(ids), len(ids) + len(new))))
-            self.table = np.concatenate([self.table, np.stack(facts, 1)])
-            found[fresh] = [ids[w] for w in met]
-        return self.table[found]
+        met, ids = distinct_words(pa.chunked_array([pa.array(words, pa.binary())]))
+        return self.facts(met)[ids]
+
+    def facts(self, met: pa.Array) -> np.ndarray:
+        """``look`` for words that are not repeated."""
+        other = len(self.code.number)
+        number = _places(met, pa.array(list(self.code.number), pa.binary()), other)
+        context = np.full(len(met), other + 1)
+        for start in range(0, len(met), 1 << 16):
+            part = met.slice(start, 1 << 16).to_pylist()
+            context[[start + k for k, w in enumerate(part) if w]] = spread_contexts(spelled(b" ".join(part))[1], other)
+        count = np.zeros(len(met), "i8")
+        if self.known is not None:
+            c = np.append(self.known["c"].to_numpy(), 0)
+            count = c[_places(met, self.known["word"].combine_chunks().cast(pa.binary()), -1)]
+        return np.stack([number, np.where(number < other, number, context), count], 1)
+
+
+def _places(words: pa.Array, among: pa.Array, missing: int) -> np.ndarray:
+    return pc.index_in(words, value_set=among).fill_null(missing).to_numpy().astype("i8")
 
 
 _SPREAD = np.uint64(0x9E3779B97F4A7C15)
@@ -231,24 +272,32 @@ def contexts(context: np.ndarray, lengths: np.ndarray) -> np.ndarray:
 
 
 def raised(nodes: np.ndarray) -> np.ndarray:
-    """Node numbers where ``slots`` adds them to context hashes."""
-    return nodes.view("u8") << np.uint64(32)
+    """What ``slots`` adds to the upper halves of context hashes: a node counts from bit 32 up, spread like the hash."""
+    return nodes.astype("u4") * np.uint32(_SPREAD & np.uint64(0xFFFFFFFF))
 
 
-def slots(hashes: np.ndarray, high: np.ndarray) -> np.ndarray:
-    """Both are multiplied by ``_SPREAD`` before, once per token and node in place of once per bit."""
-    mixed = hashes + high
-    mixed ^= mixed >> np.uint64(29)
-    mixed >>= np.uint64(20)
-    mixed &= np.uint64(_MASK)
-    return mixed.view("i8")
+def slots(spread: np.ndarray, token: np.ndarray, high: np.ndarray) -> np.ndarray:
+    """Per event the 20th and further bits of h ^ (h >> 29), where h is its token's context hash and its node, both spread.
 
+    Hashes are spread once per token; a node changes the upper half only, so halves are enough.
+    """
+    parts = spread.take(token).view("u4")
+    upper = parts[1::2] + high
+    out = upper << np.uint32(12)
+    out ^= parts[::2] >> np.uint32(20)
+    upper >>= np.uint32(17)
+    out ^= upper
+    out &= np.uint32(_MASK)
+    return out
 
-def events(code: Code, number: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """For the bits of all tokens in order: how many each token has, and their places in the paths."""
+
+def events(code: Code, number: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """For the bits of all tokens in order: how many each token has, which token each is of, and their places in the paths."""
     sizes = code.first[number + 1] - code.first[number]
-    ends = np.cumsum(sizes)
-    return sizes, np.arange(sizes.sum()) + np.repeat(code.first[number] - (ends - sizes), sizes)
+    token = np.repeat(np.arange(len(number)), sizes)
+    place = (code.first[number] - (np.cumsum(sizes) - sizes)).take(token)
+    place += np.arange(len(token))
+    return sizes, token, place
 
 
 # --- counting contexts ----------------------------------------------------------------------
@@ -257,17 +306,21 @@ def events(code: Code, number: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 def _count_contexts(code) -> callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, counts, own = code(), np.zeros((CONTEXTS, 2 << TABLE_BITS), "u4"), 0
-        words, spread_nodes = HashedWords(held), raised(held.nodes) * _SPREAD
+        words, nodes = HashedWords(held), raised(held.nodes)
+        mark = held.bits.astype("u4")
 
         def add(texts: list[bytes]) -> int:
             seen, lengths = words.look(texts)
             hashes = contexts(seen[:, 1], lengths) * _SPREAD
             for start in range(0, len(seen), COUNT_TOKENS):
-                sizes, place = events(held, seen[start : start + COUNT_TOKENS, 0])
-                high, bit = spread_nodes[place], held.bits[place]
+                piece = slice(start, start + COUNT_TOKENS)
+                _, token, place = events(held, seen[piece, 0])
+                high, bit = nodes.take(place), mark.take(place)
                 for k in range(CONTEXTS):
-                    at = slots(np.repeat(hashes[k, start : start + COUNT_TOKENS], sizes), high) * 2 + bit
-                    np.add(counts[k], np.bincount(at, minlength=2 << TABLE_BITS), out=counts[k], casting="unsafe")
+                    at = slots(hashes[k, piece], token, high)
+                    at <<= np.uint32(1)
+                    at |= bit
+                    np.add.at(counts[k], at.astype("i8"), np.uint32(1))
             return len(seen)
 
         waiting, size = [], 0
@@ -332,14 +385,20 @@ class Mixer:
 
     @cached_property
     def paths(self) -> tuple[np.ndarray, ...]:
-        """By place in the paths: stretched chance of a one, the chance, sign of the bit, first gate, own slot, high part of slots."""
+        """By place in the paths: stretched chance of a one and the chance as one 64-bit number, node, first gate and bit as one."""
         code = self.code
         odds = np.exp(code.ahead)
-        ahead = np.clip(code.ahead, -_LIMIT, _LIMIT).astype("f4")
-        return (
-            ahead[code.nodes], (odds / (1 + odds)).astype("f4")[code.nodes], (2 * code.bits - 1).astype("f4"),
-            (code.depth * SEEN).astype("i2"), (code.nodes % OWN_SLOTS).astype("i4"), raised(code.nodes) * _SPREAD,
-        )
+        chances = np.stack([np.clip(code.ahead, -_LIMIT, _LIMIT), odds / (1 + odds)], 1).astype("f4")
+        return chances.view("c8")[code.nodes, 0], code.nodes.astype("i4"), (code.depth * SEEN * 2 + code.bits).astype("i2")
+
+    def own_counts(self, lanes: int) -> np.ndarray:
+        """Room for what texts have shown, the same each time, cleared."""
+        size = lanes * OWN_SLOTS * 2
+        if len(self.__dict__.get("room", ())) < size:
+            self.room = np.empty(size, "f4")
+        own = self.room[:size]
+        own.fill(0)
+        return own
 
     @cached_property
     def pairs(self) -> list[np.ndarray]:
@@ -356,17 +415,27 @@ class Mixer:
         one per text.
         """
         out = np.zeros(len(lengths))
+        self._run(seen, lengths, rate, leave_out, common, out)
+        return out
+
+    def refine(self, seen: np.ndarray, lengths: np.ndarray, rate: float) -> None:
+        """``bits_of`` counted texts under common weights, of which the weights are all that is asked for."""
+        self._run(seen, lengths, rate, True, True, None)
+
+    def _run(self, seen, lengths, rate, leave_out, common, out):
         hashes, starts = contexts(seen[:, 1], lengths) * _SPREAD, np.cumsum(lengths) - lengths
-        order = np.argsort(-lengths, kind="stable")
+        order, number = np.argsort(-lengths, kind="stable"), np.ascontiguousarray(seen[:, 0])
         for first in range(0, len(order), LANES):
             lanes = order[first : first + LANES]
-            out[lanes] = self._lanes(seen[:, 0], hashes, starts[lanes], lengths[lanes], rate, leave_out, common)
-        return out
+            bits = None if out is None else np.zeros(len(lanes))
+            self._lanes(number, hashes, starts[lanes], lengths[lanes], rate, leave_out, common, bits)
+            if out is not None:
+                out[lanes] = bits / np.log(2)
 
-    def _lanes(self, number, hashes, starts, lengths, rate, leave_out, common):
+    def _lanes(self, number, hashes, starts, lengths, rate, leave_out, common, bits):
         count, gates = len(lengths), DEPTHS * SEEN
         weights = np.tile(self.weights.T, 1 if common else count).astype("f4")  # input, lane and gate
-        own, bits = np.zeros(count * OWN_SLOTS * 2, "f4"), np.zeros(count)
+        own = self.own_counts(count)
         # Tokens in the order they are coded in: by step, then by lane. Inputs are prepared for several steps at once.
         lane = np.repeat(np.arange(count), lengths)
         at = np.arange(len(lane)) - np.repeat(np.cumsum(lengths) - lengths, lengths)
@@ -377,62 +446,81 @@ class Mixer:
         while first < steps:
             last = max(first + 1, int(np.searchsorted(edges, edges[first] + INPUT_TOKENS, "right")) - 1)
             piece = slice(edges[first], edges[last])
-            sizes, place = events(self.code, number[spot[piece]])
-            on = np.repeat(lane[piece], sizes)
-            x, one, sign, gate, mine = self._inputs(hashes[:, spot[piece]], sizes, place, leave_out)
-            mine = mine + on * OWN_SLOTS
+            sizes, token, place = events(self.code, number.take(spot[piece]))
+            on = lane[piece].take(token)
+            x, one, bit, gate, node = self._inputs(hashes.take(spot[piece], axis=1), token, place, leave_out)
+            mine = on * OWN_SLOTS
+            mine += node & (OWN_SLOTS - 1)
             gate = gate.astype("i8") if common else gate + on * gates
+            sign = 2 * bit.astype("f4") - 1
+            facts = (one + one, 2 * (1 - one), -sign, np.float32(rate) * sign, gate, mine, mine * 2 + bit, on)
             ends = np.concatenate([[0], np.cumsum(sizes)])[edges[first : last + 1] - edges[first]].tolist()
             for here in map(slice, ends, ends[1:]):
                 if here.start < here.stop:
-                    self._step(
-                        weights, own, bits, x[:, here], one[here], sign[here], gate[here], mine[here], on[here], rate,
-                        gates if common else (int(on[here.stop - 1]) + 1) * gates,
-                    )
+                    reach = gates if common else (int(on[here.stop - 1]) + 1) * gates
+                    self._step(weights, own, bits, x[:, here], *(values[here] for values in facts), reach)
             first = last
         if common:
             self.weights = weights.T.astype("f8")
-        return bits / np.log(2)
 
-    def _inputs(self, hashes, sizes, place, leave_out):
+    def _inputs(self, hashes, token, place, leave_out):
         """By event the inputs that do not depend on what the text has shown so far, and what the paths and counts tell.
 
         Every input is the log of chances: counts pull the order-0 chance to what was shown.
         """
-        ahead, one, sign, gate, mine, high = (values.take(place) for values in self.paths)
+        chances, node, gate = (values.take(place) for values in self.paths)
+        bit = (gate & 1).astype("i1")
+        gate >>= 1
+        high, one = raised(node), np.ascontiguousarray(chances.view("f4")[1::2])
         x = np.empty((INPUTS, len(place)), "f4")
-        x[0], x[-1] = ahead, 0.3
+        x[0], x[-1] = chances.view("f4")[::2], 0.3
         pull_one, pull_zero = 0.7 * one, 0.7 * (1 - one)
         if leave_out:
-            bit = (sign > 0).astype("i8")  # what it is taken from becomes double
+            is_zero, is_one = (1 - bit).astype("f4"), bit.astype("f8")  # in double, so that large counts are told apart
         for k in range(CONTEXTS):
-            n = self.pairs[k].take(slots(np.repeat(hashes[k], sizes), high)).view("f4")
+            n = self.pairs[k].take(slots(hashes[k], token, high)).view("f4")
             zeros, ones = n[::2], n[1::2]
             if leave_out:
-                zeros, ones = np.maximum(zeros - (bit == 0), 0), np.maximum(ones - bit, 0)
+                zeros, ones = zeros - is_zero, ones - is_one
+                np.maximum(zeros, 0, out=zeros)
+                np.maximum(ones, 0, out=ones)
             if k == 1:
                 total = zeros + ones
                 gate += (total > 0.5).view("i1") + (total > 1.5).view("i1") + (total > 6.5).view("i1")
             np.log((ones + pull_one) / (zeros + pull_zero), out=x[1 + k])
         np.clip(x[1:-2], -_LIMIT, _LIMIT, out=x[1:-2])
-        return x, one, sign, gate, mine
+        return x, one, bit, gate, node
 
-    def _step(self, weights, own, bits, x, one, sign, gate, mine, on, rate, reach):
+    def _step(self, weights, own, bits, x, one, zero, flip, pace, gate, mine, shown, on, reach):
         """Bits of one step's events, and what they teach: weights and own counts stand still within a step."""
         n = own.view("c8").take(mine).view("f4")
-        ratio = np.add(n[1::2], 2 * one, out=x[-2])
-        ratio /= n[::2] + 2 * (1 - one)
+        ratio = np.add(n[1::2], one, out=x[-2])
+        ratio /= n[::2] + zero
         np.log(ratio, out=ratio)
-        np.clip(ratio, -_LIMIT, _LIMIT, out=ratio)
-        mixed = (weights.take(gate, axis=1) * x).sum(0) * sign
-        missed = np.exp(-np.clip(mixed, -20, 20).astype("f8"))
+        np.maximum(ratio, -_LIMIT, out=ratio)
+        np.minimum(ratio, _LIMIT, out=ratio)
+        products = weights.take(gate, axis=1)
+        products *= x
+        mixed = np.add.reduce(products, 0)
+        mixed *= flip
+        np.maximum(mixed, -20, out=mixed)
+        np.minimum(mixed, 20, out=mixed)
+        missed = mixed.astype("f8")
+        np.exp(missed, out=missed)
         whole = 1 + missed
-        seen = np.bincount(on, np.log(whole))
-        bits[: len(seen)] += seen
-        error = (rate * sign * (missed / whole)).astype("f4")
-        for k in range(INPUTS):
-            weights[k, :reach] += np.bincount(gate, error * x[k], reach).astype("f4")
-        np.add.at(own, mine * 2 + (sign > 0), np.float32(1))
+        if bits is not None:
+            told = np.bincount(on, np.log(whole))
+            bits[: len(told)] += told
+        missed /= whole
+        missed *= pace
+        np.multiply(x, missed.astype("f4"), out=products)
+        if len(gate) > FEW_EVENTS:
+            for k in range(INPUTS):
+                weights[k, :reach] += np.bincount(gate, products[k], reach).astype("f4")
+        else:
+            bins = np.add.outer(np.arange(0, INPUTS * reach, reach), gate).ravel()
+            weights[:, :reach] += np.bincount(bins, products.ravel(), INPUTS * reach).astype("f4").reshape(INPUTS, reach)
+        np.add.at(own, shown, _ONCE)
 
 
 def first_weights() -> np.ndarray:
@@ -449,7 +537,7 @@ def _fit_weights(model) -> callable:
         for batch in batches:
             for start in range(0, batch.num_rows, 64):
                 seen, lengths = words.look([t.lower() for t in raw(batch.column("text").slice(start, 64))])
-                mixer.bits_of(seen, lengths, FIT_RATE, leave_out=True, common=True)
+                mixer.refine(seen, lengths, FIT_RATE)
                 n += int(lengths.sum())
         if n:
             yield pa.RecordBatch.from_pydict({"weights": [mixer.weights.tobytes()], "n": [n]})
@@ -471,20 +559,13 @@ def mixer_weights(texts: DataFrame, model) -> np.ndarray:
 
 def _block_words(t: pa.Table) -> pa.Table:
     """The distinct words of a block with their number in training texts."""
-    train: Counter = Counter()
-    other: set[bytes] = set()
-    for text, held in zip(raw(t["text"]), t["held_out"].to_pylist()):
-        words = cut(text)
-        if held:
-            other.update(words)
-        else:
-            train.update(words)
-    other.difference_update(train)
-    words = [*train, *other]
+    words, lengths = spell_out(raw(t["text"]))
+    met, ids = distinct_words(words)
+    counted = np.repeat(~np.array(t["held_out"].to_pylist(), bool), lengths)
     return pa.table({
-        "block": pa.array([t["block"][0].as_py()] * len(words), pa.int32()),
-        "word": pa.array(words, pa.binary()),
-        "n": pa.array([*train.values(), *[0] * len(other)], pa.int64()),
+        "block": pa.array(np.full(len(met), t["block"][0].as_py(), "i4")),
+        "word": met,
+        "n": pa.array(np.bincount(ids[counted], minlength=len(met))),
     })
 
 
@@ -496,31 +577,40 @@ def _score_block(model, total: int, distinct: int, id_name: str, id_type) -> cal
     ]
 
     def run(docs: pa.Table, known: pa.Table) -> pa.Table:
+        if not docs.num_rows:
+            return pa.table({n: pa.array([], t) for n, t in empty})
         mixer, rare = model()
-        words = Words(mixer.code, dict(zip(known["word"].to_pylist(), known["c"].to_pylist())))
-        other, parts = len(mixer.code.number), []
-        for start in range(0, docs.num_rows, LANES):
-            part = docs.slice(start, LANES)
-            data = raw(part["text"])
-            texts = [cut(t) for t in data]
-            lengths = np.array([len(t) for t in texts])
-            seen = words.look(list(chain.from_iterable(texts)))
-            bits = mixer.bits_of(seen, lengths, RATE)
-            edges, c = np.cumsum(lengths) - lengths, seen[:, 2]
-            # Words of the shared leaf: their weight among all that share it.
-            shared_leaf = np.where(seen[:, 0] == other, np.log10((c + 0.5) / rare), 0.0)
-            score = np.add.reduceat(shared_leaf, edges) - bits * np.log10(2)
-            size = np.array([len(t) + 1 for t in data])
-            parts.append(pa.table({
-                id_name: part[id_name].cast(id_type),
-                "held_out": part["held_out"],
-                "n_tokens": lengths.astype("i8"),
-                "n_known": np.add.reduceat((c > 0).astype("i8"), edges),
-                "base_score": np.add.reduceat(np.log10((c + 0.5) / unit), edges),
-                "score": np.minimum(score, 0.0),
-                "bits_per_byte": np.maximum(-score, 0.0) / np.log10(2) / size,
-            }))
-        return pa.concat_tables(parts) if parts else pa.table({n: pa.array([], t) for n, t in empty})
+        data = raw(docs["text"])
+        words, lengths = spell_out(data)
+        met, ids = distinct_words(words)
+        size = np.array([len(t) + 1 for t in data])
+        del data, words
+        facts = Words(mixer.code, known).facts(met)
+        c = facts[:, 2]
+        # Words of the shared leaf: their weight among all that share it.
+        shared_leaf = np.where(facts[:, 0] == len(mixer.code.number), np.log10((c + 0.5) / rare), 0.0)
+        weight, is_known = np.log10((c + 0.5) / unit), (c > 0).astype("i8")
+        starts = np.cumsum(lengths) - lengths
+        n_known, base, score = np.zeros(len(lengths), "i8"), np.zeros(len(lengths)), np.zeros(len(lengths))
+        order = np.argsort(-lengths, kind="stable")  # texts of near lengths end together
+        for first in range(0, len(order), LANES):
+            lanes = order[first : first + LANES]
+            some = lengths[lanes]
+            edges = np.cumsum(some) - some
+            held = ids[np.repeat(starts[lanes] - edges, some) + np.arange(some.sum())]
+            bits = mixer.bits_of(facts[held], some, RATE)
+            n_known[lanes] = np.add.reduceat(is_known[held], edges)
+            base[lanes] = np.add.reduceat(weight[held], edges)
+            score[lanes] = np.add.reduceat(shared_leaf[held], edges) - bits * np.log10(2)
+        return pa.table({
+            id_name: docs[id_name].cast(id_type),
+            "held_out": docs["held_out"],
+            "n_tokens": lengths,
+            "n_known": n_known,
+            "base_score": base,
+            "score": np.minimum(score, 0.0),
+            "bits_per_byte": np.maximum(-score, 0.0) / np.log10(2) / size,
+        })
 
     return run
 

@@ -5,6 +5,7 @@ from collections import Counter
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import pytest
 
 from orderloom.llm import context_mixing as cm
@@ -192,3 +193,73 @@ def test_fit_looks_up_no_word_by_itself(monkeypatch):
     batch = pa.RecordBatch.from_pydict({"text": ["The x y", "", "X the the"]})
     (row,) = (r for b in cm._fit_weights(lambda: (code, tables))(iter([batch])) for r in b.to_pylist())
     assert row["n"] == 9 and len(row["weights"]) == 8 * cm.DEPTHS * cm.SEEN * cm.INPUTS
+
+
+ODD = [b"The x  unknown \xc3\xa9\xc2\x85 the", b"", b" \n", b"x" * 300 + b" THE", b"a b\x0bc\td\x1ce ", b"", b"\r\r"]
+
+
+@pytest.mark.parametrize("piece", [1, 5, 1 << 20])
+def test_texts_cut_in_arrow_have_the_words_of_texts_cut_one_by_one(piece, monkeypatch):
+    monkeypatch.setattr(cm, "PIECE_BYTES", piece)
+    words, lengths = cm.spell_out(ODD)
+    plain = [[*t.lower().split(), b""] for t in ODD]
+    assert words.to_pylist() == [w for t in plain for w in t] and lengths.tolist() == [len(t) for t in plain]
+    met, ids = cm.distinct_words(words)
+    assert len(set(met.to_pylist())) == len(met) and met.take(pa.array(ids)).to_pylist() == words.to_pylist()
+    assert cm.spell_out([])[0].to_pylist() == [] and len(cm.distinct_words(cm.spell_out([])[0])[0]) == 0
+
+
+def test_blocks_are_counted_without_an_object_per_word(monkeypatch):
+    """Every word of a block was met as an object of its own before, for its counts and for its scores."""
+    for name in ("cut", "tokens"):
+        monkeypatch.setattr(cm, name, None, raising=False)
+    held = [k % 3 == 1 for k in range(len(ODD))]
+    docs = pa.table({"block": pa.array([4] * len(ODD), pa.int32()), "text": pa.array([t.decode() for t in ODD]), "held_out": held})
+    expected = Counter()
+    for text, h in zip(ODD, held):
+        for word in [*text.lower().split(), b""]:
+            expected[word] += not h
+    got = cm._block_words(docs)
+    assert dict(zip(got["word"].to_pylist(), got["n"].to_pylist())) == dict(expected) and len(got) == len(expected)
+    assert set(got["block"].to_pylist()) == {4}
+    code = cm.build_code([(b"the", 3), (b"", 7)], 30)
+    tables = np.zeros((cm.CONTEXTS, 1 << cm.TABLE_BITS, 2), "f4")
+    run = cm._score_block(lambda: (cm.Mixer(code, tables, cm.first_weights()), 30.0), 40, 9, "doc_id", pa.int64())
+    known = got.filter(pc.greater(got["n"], 0)).select(["word", "n"]).rename_columns(["word", "c"])
+    out = run(docs.append_column("doc_id", pa.array(range(len(ODD)))), known)
+    count = lambda text: [expected[w] for w in [*text.lower().split(), b""]]
+    assert out["doc_id"].to_pylist() == [*range(len(ODD))]
+    assert out["n_known"].to_pylist() == [sum(c > 0 for c in count(t)) for t in ODD]
+    assert out["base_score"].to_pylist() == pytest.approx([sum(math.log10((c + 0.5) / 45) for c in count(t)) for t in ODD])
+
+
+def test_thousands_of_words_are_told_apart_at_once():
+    code = cm.build_code([(b"w%d" % k, 9000 - k) for k in range(cm.TOP_WORDS)], 30)
+    hashed = cm.HashedWords(code)
+    texts = [b" ".join(b"w%d" % k for k in range(start, 6000, 7)) for start in range(7)]
+    seen, _ = hashed.look(texts)
+    assert hashed.most > 1 and (seen == cm.Words(code).look([w for t in texts for w in [*t.split(), b""]])[:, :2]).all()
+    known = pa.table({"word": [b"w7", b"zz", b""], "c": [5, 6, 7]})
+    assert cm.Words(code, known).look([b"", b"w7", b"w8", b"zz", b"w7"])[:, 2].tolist() == [7, 5, 0, 6, 5]
+
+
+def test_slots_from_halves_are_those_of_whole_hashes():
+    rnd = np.random.default_rng(8)
+    spread, token = rnd.integers(0, 1 << 64, 50, "u8"), np.sort(rnd.integers(0, 50, 900))
+    nodes = rnd.integers(0, cm.TOP_WORDS, 900)
+    got = cm.slots(spread, token, cm.raised(nodes))
+    whole = [(int(spread[t]) + (int(n) << 32) * 0x9E3779B97F4A7C15) % (1 << 64) for t, n in zip(token, nodes)]
+    assert got.tolist() == [(h ^ h >> 29) >> 20 & (1 << cm.TABLE_BITS) - 1 for h in whole]
+
+
+@pytest.mark.parametrize("few", [0, 1 << 30])
+def test_weights_refined_without_bits_are_the_same(few, monkeypatch):
+    monkeypatch.setattr(cm, "FEW_EVENTS", few)
+    rnd = np.random.default_rng(6)
+    code = cm.build_code([(f"t{k}".encode(), int(c)) for k, c in enumerate(rnd.integers(1, 90, 30))], 20)
+    tables = rnd.integers(0, 9, (cm.CONTEXTS, 1 << cm.TABLE_BITS, 2)).astype("f4")
+    seen, lengths = cm.HashedWords(code).look([b" ".join(b"t%d" % k for k in rnd.integers(0, 33, n)) for n in (60, 0, 24, 200)])
+    one, other = (cm.Mixer(code, tables, cm.first_weights()) for _ in range(2))
+    one.refine(seen, lengths, 0.02)
+    other.bits_of(seen, lengths, 0.02, leave_out=True, common=True)
+    assert (one.weights == other.weights).all() and (one.weights != cm.first_weights()).any()
