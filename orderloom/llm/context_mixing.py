@@ -12,7 +12,7 @@ So the model spreads one unit of probability over the training vocabulary and on
 unknown words, the same events as the unigram base.
 
 * Word counts are exact. Documents are dealt into blocks by a hash of id and text; a block's distinct
-  words are counted, summed over blocks by Spark, and joined back to the block.
+  words are counted, and a window over each word's blocks gives every block the sums of its words.
 * Context counts live in tables of fixed size. Every task adds up its own, and the tables are
   merged chunk by chunk in levels of bounded fan-in.
 * What is broadcast has a fixed bound: ``TOP_WORDS`` words, the tables, the weights.
@@ -37,7 +37,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import zstandard
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from orderloom.llm.common import shared, table, text_of
@@ -56,8 +56,8 @@ OWN_SLOTS = 4096
 STEPS = 24
 # Tokens whose inputs are prepared in one go; their arrays stay in a core's cache.
 INPUT_TOKENS = 1 << 13
-# Tokens counted in one go; a megabyte of common text is one go.
-COUNT_TOKENS = 1 << 18
+# Tokens counted in one go.
+COUNT_TOKENS = 1 << 13
 RATE = 0.015
 FIT_RATE = 0.004
 OTHER_CONTEXTS = 1 << 18
@@ -125,14 +125,14 @@ def build_code(common: list[tuple[bytes, int]], rest: float) -> Code:
     )
 
 
-_SPACE = np.isin(np.arange(256), [9, 10, 11, 12, 13, 32])
 _BASE = 0x9E3779B97F4A7C15 | 1
 _INVERSE = pow(_BASE, -1, 1 << 64)
 
 
 def bounds(letters: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Which bytes are in words between ASCII white space, and where words start and end."""
-    inside = np.concatenate([[False], ~_SPACE[letters], [False]])
+    inside = np.zeros(len(letters) + 2, bool)
+    np.logical_and(letters != 32, letters - np.uint8(9) > 4, out=inside[1:-1])  # nine to thirteen, the rest wraps or is above
     edges = np.flatnonzero(inside[1:] != inside[:-1])
     return inside[1:-1], edges[::2], edges[1::2]
 
@@ -147,7 +147,10 @@ def spelled(data: bytes) -> tuple[np.ndarray, np.ndarray]:
     _, starts, ends = bounds(letters)
     powers, back = _powers(max(16, len(letters) - 1).bit_length())
     sums = np.zeros(len(letters) + 1, "u8")
-    np.cumsum((letters.astype("u8") + np.uint64(1)) * powers[: len(letters)], dtype="u8", out=sums[1:])
+    terms = letters.astype("u8")
+    terms += np.uint64(1)
+    terms *= powers[: len(letters)]
+    np.cumsum(terms, out=sums[1:])
     return starts, _mixed((sums[ends] - sums[starts]) * back[starts])
 
 
@@ -625,10 +628,16 @@ def score_texts(df: DataFrame, id_column: str = "doc_id", text_column: str = "te
     size = rows.agg(F.sum(F.octet_length("text") + 1)).first()[0] or 0
     blocks = max(1, -(-size // BLOCK_BYTES))
     dealt = rows.withColumn("block", F.pmod(F.xxhash64(id_column, "text"), F.lit(blocks)).cast("int"))
-    words = materialize(
-        dealt.groupBy("block").applyInArrow(_block_words, "block int, word binary, n bigint"), "block-words"
-    )
-    counts = materialize(words.groupBy("word").agg(F.sum("n").alias("c")).where("c > 0"), "word-counts")
+    words = dealt.groupBy("block").applyInArrow(_block_words, "block int, word binary, n bigint")
+    # One shuffle by word both sums the counts of its blocks and gives each of them the sum.
+    blocks_of = Window.partitionBy("word")
+    known = materialize(
+        words.select(
+            "block", "word", F.sum("n").over(blocks_of).alias("c"),
+            (F.min("block").over(blocks_of) == F.col("block")).alias("once"),
+        ).where("c > 0"), "word-counts",
+    )
+    counts = known.where("once")
     summed = counts.agg(F.count("*").alias("v"), F.sum("c").alias("n")).first()
     distinct, total = summed.v, summed.n or 0
     top = counts.orderBy(F.desc("c"), "word").limit(TOP_WORDS).collect()
@@ -641,12 +650,11 @@ def score_texts(df: DataFrame, id_column: str = "doc_id", text_column: str = "te
     tables = context_tables(training, sent).astype("f4")  # as the mixer reads them, so that no task holds a copy
     weights = mixer_weights(training, shared(spark, (code, tables)))
     model = shared(spark, (Mixer(code, tables, weights), rare))
-    known = words.join(counts, "word").select("block", "word", "c")
     schema = (
         f"`{id_column}` {kind.simpleString()}, held_out boolean, n_tokens bigint, n_known bigint, base_score double, "
         "score double, bits_per_byte double"
     )
-    scored = dealt.groupBy("block").cogroup(known.groupBy("block")).applyInArrow(
+    scored = dealt.groupBy("block").cogroup(known.select("block", "word", "c").groupBy("block")).applyInArrow(
         _score_block(model, total, distinct, id_column, to_arrow_type(kind)), schema
     )
     return scored.withColumn("train_tokens", F.lit(total).cast("bigint"))
