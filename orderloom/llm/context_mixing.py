@@ -56,7 +56,8 @@ OWN_SLOTS = 4096
 STEPS = 24
 # Tokens whose inputs are prepared in one go; their arrays stay in a core's cache.
 INPUT_TOKENS = 1 << 13
-# Tokens counted in one go.
+# Bytes of texts looked up, and tokens counted, in one go.
+COUNT_BYTES = 1 << 16
 COUNT_TOKENS = 1 << 13
 RATE = 0.015
 FIT_RATE = 0.004
@@ -331,7 +332,7 @@ def _count_contexts(code) -> callable:
             for text in raw(batch.column("text")):
                 waiting.append(text.lower())
                 size += len(waiting[-1])
-                if size > 1 << 20:
+                if size > COUNT_BYTES:
                     own += add(waiting)
                     waiting, size = [], 0
         if waiting:
