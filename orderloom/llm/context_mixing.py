@@ -49,6 +49,8 @@ CONTEXTS = 3
 CHUNK_SLOTS = 1 << 16
 FAN_IN = 64
 BLOCK_BYTES = 32_000_000
+# So many powers a process keeps for the hashes of words; longer texts make their own.
+KEPT_POWERS = 1 << 20
 # Bytes of texts that are cut into words in one go.
 PIECE_BYTES = 1 << 20
 LANES = 128
@@ -146,7 +148,7 @@ def spelled(data: bytes) -> tuple[np.ndarray, np.ndarray]:
     """
     letters = np.frombuffer(data, "u1")
     _, starts, ends = bounds(letters)
-    powers, back = _powers(max(16, len(letters) - 1).bit_length())
+    powers, back = _kept_powers() if len(letters) <= KEPT_POWERS else _powers(len(letters))
     sums = np.zeros(len(letters) + 1, "u8")
     terms = letters.astype("u8")
     terms += np.uint64(1)
@@ -155,9 +157,13 @@ def spelled(data: bytes) -> tuple[np.ndarray, np.ndarray]:
     return starts, _mixed((sums[ends] - sums[starts]) * back[starts])
 
 
-@lru_cache(2)
-def _powers(bits: int) -> tuple[np.ndarray, np.ndarray]:
-    return tuple(np.cumprod(np.full(1 << bits, base, "u8"), dtype="u8") for base in (_BASE, _INVERSE))
+def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+    return tuple(np.cumprod(np.full(n, base, "u8"), dtype="u8") for base in (_BASE, _INVERSE))
+
+
+@lru_cache(1)
+def _kept_powers() -> tuple[np.ndarray, np.ndarray]:
+    return _powers(KEPT_POWERS)
 
 
 def spell_out(texts: list[bytes]) -> tuple[pa.ChunkedArray, np.ndarray]:
@@ -440,6 +446,7 @@ class Mixer:
         count, gates = len(lengths), DEPTHS * SEEN
         weights = np.tile(self.weights.T, 1 if common else count).astype("f4")  # input, lane and gate
         own = self.own_counts(count)
+        pairs = own.view("c8")
         # Tokens in the order they are coded in: by step, then by lane. Inputs are prepared for several steps at once.
         lane = np.repeat(np.arange(count), lengths)
         at = np.arange(len(lane)) - np.repeat(np.cumsum(lengths) - lengths, lengths)
@@ -462,7 +469,7 @@ class Mixer:
             for here in map(slice, ends, ends[1:]):
                 if here.start < here.stop:
                     reach = gates if common else (int(on[here.stop - 1]) + 1) * gates
-                    self._step(weights, own, bits, x[:, here], *(values[here] for values in facts), reach)
+                    self._step(weights, own, pairs, bits, x[:, here], *(values[here] for values in facts), reach)
             first = last
         if common:
             self.weights = weights.T.astype("f8")
@@ -495,9 +502,9 @@ class Mixer:
         np.clip(x[1:-2], -_LIMIT, _LIMIT, out=x[1:-2])
         return x, one, bit, gate, node
 
-    def _step(self, weights, own, bits, x, one, zero, flip, pace, gate, mine, shown, on, reach):
+    def _step(self, weights, own, pairs, bits, x, one, zero, flip, pace, gate, mine, shown, on, reach):
         """Bits of one step's events, and what they teach: weights and own counts stand still within a step."""
-        n = own.view("c8").take(mine).view("f4")
+        n = pairs.take(mine).view("f4")
         ratio = np.add(n[1::2], one, out=x[-2])
         ratio /= n[::2] + zero
         np.log(ratio, out=ratio)
