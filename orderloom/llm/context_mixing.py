@@ -148,13 +148,17 @@ def spelled(data: bytes) -> tuple[np.ndarray, np.ndarray]:
     """
     letters = np.frombuffer(data, "u1")
     _, starts, ends = bounds(letters)
+    return starts, hashes_of(letters, starts, ends)
+
+
+def hashes_of(letters: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
     powers, back = _kept_powers() if len(letters) <= KEPT_POWERS else _powers(len(letters))
     sums = np.zeros(len(letters) + 1, "u8")
     terms = letters.astype("u8")
     terms += np.uint64(1)
     terms *= powers[: len(letters)]
     np.cumsum(terms, out=sums[1:])
-    return starts, _mixed((sums[ends] - sums[starts]) * back[starts])
+    return _mixed((sums[ends] - sums[starts]) * back[starts])
 
 
 def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
@@ -249,9 +253,12 @@ class Words:
         other = len(self.code.number)
         number = _places(met, pa.array(list(self.code.number), pa.binary()), other)
         context = np.full(len(met), other + 1)
-        for start in range(0, len(met), 1 << 16):
-            part = met.slice(start, 1 << 16).to_pylist()
-            context[[start + k for k, w in enumerate(part) if w]] = spread_contexts(spelled(b" ".join(part))[1], other)
+        edges, letters = _buffers(met)
+        for start in range(0, len(met), 1 << 14):
+            part = edges[start : start + (1 << 14) + 1]
+            filled = np.flatnonzero(part[1:] > part[:-1])
+            hashes = hashes_of(letters[part[0] : part[-1]], part[filled] - part[0], part[filled + 1] - part[0])
+            context[start + filled] = spread_contexts(hashes, other)
         count = np.zeros(len(met), "i8")
         if self.known is not None:
             c = np.append(self.known["c"].to_numpy(), 0)
@@ -259,6 +266,17 @@ class Words:
         return np.stack([number, np.where(number < other, number, context), count], 1)
 
 
+def _buffers(words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """Edges of the words, and the letters they are edges in."""
+    _, edges, letters = words.buffers()
+    if not len(words):
+        return np.zeros(1, "i4"), np.zeros(0, "u1")
+    return (
+        np.frombuffer(edges, "i4")[words.offset : words.offset + len(words) + 1],
+        np.frombuffer(letters, "u1") if letters is not None and letters.size else np.zeros(0, "u1"),
+    )
+
+
 def _places(words: pa.Array, among: pa.Array, missing: int) -> np.ndarray:
     return pc.index_in(words, value_set=among).fill_null(missing).to_numpy().astype("i8")
 
